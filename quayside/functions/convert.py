@@ -406,16 +406,16 @@ def _reason(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
         low, high = INT_BOUNDS[kind]
         if not isinstance(dtype, (*_NUMERIC, T.StringType, T.BooleanType)):
             return F.lit("cannot convert to an integer")
-        outside = F.concat(F.lit("value "), text.integer_text(c.cast("string")), F.lit(f" is outside {low}..{high}"))
-        return F.coalesce(outside, F.concat(quoted, F.lit(" is not an integer")))
+        shown = F.trim(c.cast("string"))
+        outside = F.concat(F.lit("value "), shown, F.lit(f" is outside {low}..{high}"))
+        return F.when(shown.rlike(text.WHOLE), outside).otherwise(F.concat(quoted, F.lit(" is not an integer")))
     if kind == "Decimal":
         if not isinstance(dtype, (*_NUMERIC, T.StringType)):
             return F.lit("cannot convert to a decimal")
         size = f"Decimal({t.precision}, {t.scale})"
-        known = text.decimal_text(c.cast("string"), 10**6, 0).isNotNull()
-        return F.when(known, F.concat(F.lit("value "), c.cast("string"), F.lit(f" does not fit in {size}"))).otherwise(
-            F.concat(quoted, F.lit(" is not a number"))
-        )
+        too_big = F.concat(F.lit("value "), c.cast("string"), F.lit(f" does not fit in {size}"))
+        number = text.is_number(F.trim(c.cast("string")))
+        return F.when(number, too_big).otherwise(F.concat(quoted, F.lit(" is not a number")))
     if kind == "FixedString":
         size = F.octet_length(c if isinstance(dtype, T.BinaryType) else c.cast("string"))
         return F.concat(F.lit("value of "), size.cast("string"), F.lit(f" bytes is longer than FixedString({t.precision})"))

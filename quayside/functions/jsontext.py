@@ -64,10 +64,15 @@ def to_json_value(c: Column, dtype: T.DataType, zone: str = "UTC") -> Column:
     return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
 
 
+def json_object(df: DataFrame, fields: list[str], local_zone: str = "UTC") -> Column:
+    """The named fields of a row as one JSON object, nulls kept."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return F.to_json(F.struct(*[jsonable(F.col(f"`{n}`"), types[n], local_zone).alias(n) for n in fields]), _OPTIONS)
+
+
 def json_rows(df: DataFrame, local_zone: str = "UTC") -> DataFrame:
-    """Each row as one JSON object, fields in column order, nulls kept."""
-    fields = [jsonable(F.col(f"`{f.name}`"), f.dataType, local_zone).alias(f.name) for f in df.schema.fields]
-    return df.select(F.to_json(F.struct(*fields), _OPTIONS).alias("json"))
+    """Each row as one JSON object, fields in column order."""
+    return df.select(json_object(df, df.columns, local_zone).alias("json"))
 
 
 def json_flatten(df: DataFrame, column: str) -> DataFrame:
@@ -75,7 +80,6 @@ def json_flatten(df: DataFrame, column: str) -> DataFrame:
 
     Keys come out sorted, values as text (``null`` for a JSON null).
     """
-    inner = "key string, value variant"  # noqa: F841  (shape of variant_explode)
     spread = df.lateralJoin(
         df.sparkSession.tvf.variant_explode(F.try_parse_json(F.col(f"`{column}`").outer())), how="inner"
     )

@@ -17,6 +17,9 @@ _NUMBER = r"^([+-]?)([0-9]*)(?:\.([0-9]*))?(?:[eE]([+-]?[0-9]+))?$"
 # More zeros than any supported number has digits: longer shifts only mean "too big".
 _MAX_SHIFT = 200
 
+# a whole number spelled without exponent
+WHOLE = r"^[+-]?[0-9]+(\.0*)?$"
+
 
 def trim(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
@@ -43,7 +46,8 @@ def _parts(text: Column) -> Column:
     )
 
 
-def _is_number(text: Column) -> Column:
+def is_number(text: Column) -> Column:
+    """Whether trimmed text is spelled like a decimal number."""
     return text.rlike(_NUMBER) & text.rlike(r"^[+-]?\.?[0-9]")
 
 
@@ -67,7 +71,7 @@ def integer_text(c: Column) -> Column:
             .when(exact, shorter)
         )
 
-    return bind(trim(c), lambda t: F.when(_is_number(t), bind(_parts(t), whole)))
+    return bind(trim(c), lambda t: F.when(is_number(t), bind(_parts(t), whole)))
 
 
 def within_bounds(digits: Column, low: int, high: int) -> Column:
@@ -121,4 +125,4 @@ def decimal_text(c: Column, precision: int, scale: int) -> Column:
         signed = F.when(digits == "", shown).otherwise(F.concat(sign, shown))
         return F.when(F.length(digits) <= precision, signed)
 
-    return bind(trim(c), lambda t: F.when(_is_number(t), bind(bind(_parts(t), unscaled), plain)))
+    return bind(trim(c), lambda t: F.when(is_number(t), bind(bind(_parts(t), unscaled), plain)))
