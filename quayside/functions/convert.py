@@ -56,15 +56,33 @@ def _null(t: ColumnType) -> Column:
     return F.lit(None).cast(storage_type(t))
 
 
-def _whole_number(c: Column, dtype: T.DataType) -> Column | None:
-    """The input as a number without fraction (bigint or decimal), null when it has one."""
+# up to 18 digits fit 64 bits whatever they are; then maybe a point and zeros
+_DIGITS = r"^[+-]?[0-9]{1,18}$"
+_DOTTED = r"^[+-]?[0-9]{1,18}\.0*$"
+
+
+def _may_be_number(c: Column) -> Column:
+    """A cheap look at the first character; a cast that fails costs a hundred times more."""
+    return (c < ":") & (c != "")
+
+
+def _whole_text(c: Column, stored: str) -> Column:
+    """Text as a whole number.
+
+    Plain digits and ``69.0`` take a pattern and a cast that cannot fail (a failing
+    cast costs far more than the pattern); anything else goes by its exact digits.
+    """
+    plain = F.when(c.rlike(_DIGITS), c.cast("bigint"))
+    dotted = F.when(c.rlike(_DOTTED), F.substring_index(c, ".", 1).cast("bigint"))
+    exact = text.bind(c, lambda v: text.bind(text.integer_text(v), lambda d: F.when(F.length(d) <= 20, d.try_cast(stored))))
+    return F.coalesce(F.coalesce(plain, dotted).cast(stored), exact)
+
+
+def _whole_number(c: Column, dtype: T.DataType, stored: str = "decimal(20,0)") -> Column | None:
+    """The input as a number without fraction, null when it has one."""
     if isinstance(dtype, T.StringType):
-        # plain digits take the fast cast; "1.0", "1e3" and blanks the exact one
-        exact = text.bind(c, lambda v: text.integer_text(v).try_cast("decimal(20,0)"))
-        return F.coalesce(c.try_cast("bigint").cast("decimal(20,0)"), exact)
-    if isinstance(dtype, _WHOLE):
-        return c.cast("bigint")
-    if isinstance(dtype, T.BooleanType):
+        return _whole_text(c, stored)
+    if isinstance(dtype, (*_WHOLE, T.BooleanType)):
         return c.cast("bigint")
     if isinstance(dtype, _FLOATING):
         wide = c.cast("double")
@@ -75,14 +93,8 @@ def _whole_number(c: Column, dtype: T.DataType) -> Column | None:
 
 
 def _integer(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
-    if isinstance(dtype, T.StringType) and t.kind != "UInt64":
-        exact = text.bind(c, lambda v: text.integer_text(v).try_cast("bigint"))
-        number = F.coalesce(c.try_cast("bigint"), exact)
-    else:
-        number = _whole_number(c, dtype)
-    if number is None:
-        return _null(t)
-    return number if t.kind.startswith("U") else number.try_cast(storage_type(t))
+    number = _whole_number(c, dtype, "decimal(20,0)" if t.kind == "UInt64" else "bigint")
+    return _null(t) if number is None else number
 
 
 def _literal(n: int) -> Column:
@@ -106,8 +118,8 @@ def _wide_integer(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
 def _floating(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
     if isinstance(dtype, T.StringType):
         # Spark also takes "inf" and "nan" in any case
-        strict = ~c.rlike("[nN]") | text.trim(c).isin(*NON_FINITE)
-        number = F.when(strict, c.try_cast("double"))
+        finite = _may_be_number(c) & ~c.contains("n") & ~c.contains("N")
+        number = F.when(finite | text.trim(c).isin(*NON_FINITE), c.try_cast("double"))
     elif isinstance(dtype, (*_NUMERIC, T.BooleanType)):
         number = c.cast("double")
     else:
@@ -122,6 +134,8 @@ def _decimal(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
         c = c.cast("double")
     if t.precision > 38:
         return text.decimal_text(c.cast("string"), t.precision, t.scale)
+    if isinstance(dtype, T.StringType):
+        return F.when(_may_be_number(c), c.try_cast(storage_type(t)))
     return c.try_cast(storage_type(t))
 
 
@@ -283,9 +297,10 @@ def raw_shape(t: ColumnType) -> T.DataType:
 
 
 def within(v: Column, t: ColumnType) -> Column | None:
-    """The range rule of a kind whose Spark type is wider than the kind, else None."""
-    if t.kind in ("UInt8", "UInt16", "UInt32", "UInt64"):
-        return v.between(F.lit(0), _literal(INT_BOUNDS[t.kind][1]))
+    """The range rule of a kind, None for a kind that takes all its Spark type holds."""
+    if t.kind in INT_BOUNDS and t.kind not in WIDE_INTS:
+        low, high = INT_BOUNDS[t.kind]
+        return v.between(_literal(low), _literal(high))
     if t.kind == "Date":
         return v.between(F.lit(dt.date(1970, 1, 1)), F.lit(LAST_DATE))
     if t.kind == "DateTime":
@@ -298,7 +313,7 @@ def within(v: Column, t: ColumnType) -> Column | None:
 def checked(v: Column, t: ColumnType) -> Column:
     """A parsed value in its stored type, null outside the range of the kind."""
     rule = within(v, t)
-    return v if rule is None else F.when(rule, v.try_cast(storage_type(t)))
+    return v if rule is None else F.when(rule, v.cast(storage_type(t)))
 
 
 def candidate(c: Column, dtype: T.DataType, t: ColumnType, zone: str = "UTC") -> Column:

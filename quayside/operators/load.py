@@ -60,6 +60,7 @@ def load(
     typed: bool = True,
     unique: bool = False,
     hot_rows: int = HOT_ROWS,
+    replace: bool = False,
 ) -> LoadResult:
     """Load the rows of ``df`` into the Parquet folder ``path``.
 
@@ -67,13 +68,16 @@ def load(
     has no such column, its value is the id of the one load the frame is. ``token``
     is ``"none"``, ``"load_id"`` or the name of a column.
 
-    Data goes to ``path/_commit=<load>-<first new batch>`` and replaces that folder,
-    then the ledger is appended. A crash between the two is repaired by running the
-    same call again; a finished load run again writes nothing. One writer per table.
+    With a token, data goes to ``path/_commit=<load>-<first new batch>`` and replaces
+    that folder, then the ledger is appended. A crash between the two is repaired by
+    running the same call again; a finished load run again writes nothing. Without a
+    token every call adds its rows, unless ``replace`` asks for the same folder.
+    One writer per table.
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}, not {unit!r}")
     spark, scratch = df.sparkSession, Scratch(df.sparkSession)
+    suffix = "" if token != "none" or replace else f"-{uuid.uuid4().hex}"
     table = table or path.rstrip("/").rsplit("/", 1)[-1]
     single = load_id not in df.columns
     if single and order_by is None and unit == "prefix":
@@ -82,7 +86,7 @@ def load(
     rows, chosen = _converted(df, columns, load_id, single, order_by or [], token, local_zone, typed, table)
     history = L.read_ledger(spark, ledger_path).where(F.col("table") == table)
     if single and unit != "prefix":
-        result = _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, scratch)
+        result = _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, suffix, scratch)
         if result is not None:
             return result
 
@@ -107,14 +111,14 @@ def load(
     sums = _sums(batches)
     if L.ACCEPTED in sums:
         held = _total(sums, "batches", L.DUPLICATE, L.FAILED)
-        _write(cut, batches, held, chosen, path)
+        _write(cut, batches, held, chosen, path, suffix)
     if sums:
         _record(batches, ledger_path)
     bad = refused.count() if unit == "row" else _total(sums, "bad", *sums)
     return _result(batches, sums, refused, bad, scratch)
 
 
-def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, scratch) -> LoadResult | None:
+def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, suffix, scratch) -> LoadResult | None:
     """The common case: one load that goes in as a whole, or not at all.
 
     Its batches only exist in the ledger then, so the rows are written once, beside
@@ -149,7 +153,7 @@ def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows
         if len(sums) > 1:
             return None
         if L.ACCEPTED in sums:
-            folder = f"{path.rstrip('/')}/{files.partition_folder(COMMIT, f'{load_id}-0')}"
+            folder = f"{path.rstrip('/')}/{files.partition_folder(COMMIT, f'{load_id}-0{suffix}')}"
             files.delete(folder)
             files.move(staging, folder)
         if sums:
@@ -222,7 +226,7 @@ def _judged(per_batch: DataFrame, rows: int, history: DataFrame, table: str, uni
     return scratch.keep(judged, "judged")
 
 
-def _write(cut: DataFrame, batches: DataFrame, held: int, chosen: list[ColumnSpec], path: str) -> None:
+def _write(cut: DataFrame, batches: DataFrame, held: int, chosen: list[ColumnSpec], path: str, suffix: str) -> None:
     """Write the accepted batches, each load into the folder of its first new batch."""
     start = F.lit("0")
     if held:
@@ -236,7 +240,7 @@ def _write(cut: DataFrame, batches: DataFrame, held: int, chosen: list[ColumnSpe
         moved = hinted(moved.where("_start > 0"), held)
         cut = cut.join(moved, cut[LOAD].eqNullSafe(moved["_l"]), "left")
         start = F.coalesce(F.col("_start"), F.lit(0)).cast("string")
-    commit = F.concat(F.coalesce(F.col(LOAD), F.lit("")), F.lit("-"), start)
+    commit = F.concat(F.coalesce(F.col(LOAD), F.lit("")), F.lit("-"), start, F.lit(suffix))
     out = cut.select(*[F.col(f"`{s.name}`") for s in chosen], commit.alias(COMMIT))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(COMMIT).parquet(path)
 

@@ -60,7 +60,7 @@ def stream_load(
         load_id = f"{name}-{batch_id}"
         result = load(
             rows, path, columns, ledger_path, load_id=load_id, order_by=order_by, max_rows=max_rows, token=token,
-            window=window, unit=unit, local_zone=local_zone, typed=typed,
+            window=window, unit=unit, local_zone=local_zone, typed=typed, replace=True,
         )
         try:
             if rejected_path and result.rejected_rows:
