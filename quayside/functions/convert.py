@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,16 +104,19 @@ def _literal(n: int) -> Column:
 
 def _wide_integer(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
     low, high = INT_BOUNDS[t.kind]
+    exact = lambda d: F.when(text.within_bounds(d, low, high), d)
     if isinstance(dtype, T.StringType):
-        digits = text.integer_text(c)
-    elif isinstance(dtype, _FLOATING):
+        # up to 37 digits go through Spark's own decimal and are in range whatever they are
+        plain = F.when(c.rlike("^-?[0-9]{1,37}$" if low else "^[0-9]{1,37}$"), c.cast("decimal(38,0)").cast("string"))
+        return F.coalesce(plain, text.bind(text.integer_text(c), exact))
+    if isinstance(dtype, _FLOATING):
         digits = text.integer_text(c.cast("double").cast("string"))
     else:
         number = _whole_number(c, dtype)
         if number is None:
             return _null(t)
         digits = number.cast("decimal(38,0)").cast("string")
-    return text.bind(digits, lambda d: F.when(text.within_bounds(d, low, high), d))
+    return text.bind(digits, exact)
 
 
 def _floating(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
@@ -133,7 +137,12 @@ def _decimal(c: Column, dtype: T.DataType, t: ColumnType) -> Column:
     if isinstance(dtype, _FLOATING):
         c = c.cast("double")
     if t.precision > 38:
-        return text.decimal_text(c.cast("string"), t.precision, t.scale)
+        c = c.cast("string")
+        exact = text.decimal_text(c, t.precision, t.scale)
+        if t.scale > 6:  # Spark would print small numbers with an exponent
+            return exact
+        short = rf"^-?[0-9]{{1,{37 - t.scale}}}(\.[0-9]*)?$"
+        return F.coalesce(F.when(c.rlike(short), c.cast(f"decimal(38,{t.scale})").cast("string")), exact)
     if isinstance(dtype, T.StringType):
         return F.when(_may_be_number(c), c.try_cast(storage_type(t)))
     return c.try_cast(storage_type(t))
@@ -467,31 +476,42 @@ def require_utc(df: DataFrame) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC for typed conversion, it is {zone}")
 
 
+@lru_cache(maxsize=128)
+def _conversion(fields: tuple[tuple[str, T.DataType], ...], columns: tuple[ColumnSpec, ...], zone: str) -> tuple[list[Column], ...]:
+    """The columns of the three selects of ``conform``. They name their inputs, so they serve every frame of the same schema."""
+    types = dict(fields)
+    raw, read, narrowed, values, messages, refused = [], [], [], [], [], F.lit(False)
+    for i, s in enumerate(columns):
+        source, c, v = F.col(f"`{s.name}`"), F.col(f"_raw_{i}"), F.col(f"_try_{i}")
+        raw.append(source.alias(f"_raw_{i}"))
+        read.append(parsed(source, types[s.name], s.type, zone).alias(f"_try_{i}"))
+        narrowed.append(checked(v, s.type).alias(f"_try_{i}"))
+        values.append(fill(c, v, s.type).alias(s.name))
+        bad = c.isNotNull() & v.isNull()
+        refused = refused | bad
+        messages.append(F.when(bad, message(c, types[s.name], s)))
+    # Spark would push a filter on the errors below the selects and so convert every
+    # value several times over. It leaves expressions alone that depend on the task,
+    # hence the partition number, which is never negative.
+    found = refused & (F.spark_partition_id() >= 0)
+    errors = F.when(found, F.array_compact(F.array(*messages))).otherwise(F.array().cast("array<string>"))
+    return [*raw, *read], [*[F.col(f"_raw_{i}") for i in range(len(columns))], *narrowed], [*values, errors.alias(ERRORS)]
+
+
 def conform(df: DataFrame, columns: list[ColumnSpec], local_zone: str = "UTC", keep: list[str] | None = None) -> DataFrame:
     """Convert the columns of ``df`` named in ``columns`` to their target types.
 
     The result has the ``keep`` columns as they are, the converted columns in the
-    order of ``columns`` and ``_errors array<string>``, empty for a clean row.
+    order of ``columns`` and ``_errors array<string>``, empty for a clean row. Filter
+    on source columns before this call: the scan cannot see a later filter.
     """
     require_utc(df)
     keep = keep or []
     types = {f.name: f.dataType for f in df.schema.fields}
-    quoted = {s.name: F.col(f"`{s.name}`") for s in columns}
-    # Parse, check and report in three selects: each looks at the one before more
-    # than once, and Spark keeps them apart so no value is parsed twice.
-    raw = [quoted[s.name].alias(f"_raw_{i}") for i, s in enumerate(columns)]
-    read = [parsed(quoted[s.name], types[s.name], s.type, local_zone).alias(f"_try_{i}") for i, s in enumerate(columns)]
-    step = df.select(*[F.col(f"`{k}`").alias(f"_keep_{i}") for i, k in enumerate(keep)], *raw, *read)
-    if any(within(F.col("v"), s.type) is not None for s in columns):
-        step = step.withColumns({f"_try_{i}": checked(F.col(f"_try_{i}"), s.type) for i, s in enumerate(columns)})
-
-    values, refused, messages = [], F.lit(False), []
-    for i, s in enumerate(columns):
-        c, v = F.col(f"_raw_{i}"), F.col(f"_try_{i}")
-        values.append(fill(c, v, s.type).alias(s.name))
-        bad = c.isNotNull() & v.isNull()
-        refused = refused | bad
-        messages.append(F.when(bad, message(c, types[s.name], s)))
-    errors = F.when(refused, F.array_compact(F.array(*messages))).otherwise(F.array().cast("array<string>"))
-    kept = [F.col(f"_keep_{i}").alias(k) for i, k in enumerate(keep)]
-    return step.select(*kept, *values, errors.alias(ERRORS))
+    # Parse, check and report in three selects: each looks at the one before more than
+    # once, and Spark keeps them apart so no value is parsed twice.
+    parse, narrow, report = _conversion(tuple((s.name, types[s.name]) for s in columns), tuple(columns), local_zone)
+    carried = [F.col(f"_keep_{i}") for i in range(len(keep))]
+    step = df.select(*[F.col(f"`{k}`").alias(f"_keep_{i}") for i, k in enumerate(keep)], *parse)
+    step = step.select(*carried, *narrow)
+    return step.select(*[c.alias(k) for c, k in zip(carried, keep, strict=True)], *report)
