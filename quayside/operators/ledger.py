@@ -79,11 +79,13 @@ def _replay(window: int):
                 rank = position - dropped
                 while seen and rank - next(iter(seen.values())) > window:
                     seen.popitem(last=False)
-                if token in seen:
+                # rows before position 0 are the ledger's own, accepted whatever they are
+                if token in seen and position >= 0:
                     dropped += 1
                     out.append((row_table, token, position))
                 else:
                     seen[token] = rank
+                    seen.move_to_end(token)
             yield pd.DataFrame(out, columns=["table", "token", "position"])
 
     return run

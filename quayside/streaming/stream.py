@@ -64,7 +64,7 @@ def stream_load(
         )
         try:
             if rejected_path and result.rejected_rows:
-                bad = result.rejected.where(F.size(ERRORS) > 0).select(F.lit(load_id).alias("load"), F.to_json(F.struct("*")).alias("record"), ERRORS)
+                bad = result.rejected.where(F.size(ERRORS) > 0).select(F.lit(load_id).alias("load"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"), ERRORS)
                 bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(rejected_path)
             if on_batch:
                 on_batch(result, batch_id)
