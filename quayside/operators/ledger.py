@@ -46,19 +46,18 @@ def append_ledger(rows: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
-def recent_tokens(ledger: DataFrame, window: int) -> DataFrame:
-    """(table, token, age): the last ``window`` accepted tokens of each table, age 1 the newest.
-
-    Spark keeps at most ``window`` rows per table and task before the shuffle.
-    """
-    newest_first = Window.partitionBy("table").orderBy(F.desc("seq"))
-    accepted = ledger.where((F.col("status") == ACCEPTED) & F.col("token").isNotNull())
-    return (
-        accepted.select("table", "token", "seq")
-        .withColumn("age", F.row_number().over(newest_first))
-        .where(F.col("age") <= window)
-        .select("table", "token", "age")
-    )
+def recent_tokens(ledger: DataFrame, window: int, hot_rows: int = HOT_ROWS, scratch: Scratch | None = None) -> DataFrame:
+    """(table, token, age): the last ``window`` accepted tokens of each table, age 1 the newest."""
+    accepted = ledger.where((F.col("status") == ACCEPTED) & F.col("token").isNotNull()).select("table", "token", "seq")
+    if window <= DEFAULT_WINDOW:
+        # Spark keeps at most ``window`` rows per table and task before the shuffle
+        newest_first = Window.partitionBy("table").orderBy(F.desc("seq"))
+        ranked = accepted.withColumn("age", F.row_number().over(newest_first))
+    else:
+        # a window this wide may take in all of a big table's history: split it
+        ranked = with_group_index(accepted, ["table"], [F.desc("seq")], "_newer", True, hot_rows, scratch)
+        ranked = ranked.withColumn("age", (F.col("_newer") + 1).cast("int"))
+    return ranked.where(F.col("age") <= window).select("table", "token", "age")
 
 
 def _replay(window: int):
@@ -119,7 +118,7 @@ def dedup(
     tokens = arrivals.where(F.col("token").isNotNull()).select("table", "seq", "token")
     numbered = with_group_index(tokens, ["table"], ["seq"], "position", True, hot_rows, scratch, rows)
     # the ledger's tokens arrived before position 0
-    recent = recent_tokens(ledger, window)
+    recent = recent_tokens(ledger, window, hot_rows, scratch)
     timeline = numbered.select("table", "token", "position").unionByName(
         recent.select("table", "token", (-F.col("age")).cast("bigint").alias("position"))
     )

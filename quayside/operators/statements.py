@@ -126,12 +126,12 @@ def _append(spark: SparkSession, table: str, rows: DataFrame, summary: Summary)
 def _folders(matching: DataFrame) -> list[str]:
     """The folders that hold rows of a table scan, at most one per partition of the table."""
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]+$", "")
-    return sorted(r[0] for r in matching.select(folder).distinct().collect())
+    return sorted(unquote(r[0]) for r in matching.select(folder).distinct().collect())
 
 
-def _plain(uri: str) -> str:
-    """A folder as a path: without scheme spelling differences and URL escapes."""
-    return unquote(uri.removeprefix("file:").replace("///", "/"))
+def _plain(path: str) -> str:
+    """A local path without its scheme, which Spark spells in several ways."""
+    return path.removeprefix("file:").replace("///", "/")
 
 
 def _exchange(spark: SparkSession, table: str, at: str, staged: str, folders: list[str]) -> None:
