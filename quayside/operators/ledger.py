@@ -6,6 +6,7 @@ hundred-thousandth of the data at the default batch size.
 
 from __future__ import annotations
 
+import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -34,16 +35,22 @@ SERVER_KIND = "server"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``; empty when nothing was loaded yet."""
-    if Storage(spark).exists(path):
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    return spark.createDataFrame([], LEDGER_SCHEMA)
+    """The ledger at ``path``; empty when nothing was loaded yet. ``commit`` names the folder a row's data went to."""
+    schema = f"{LEDGER_SCHEMA}, commit string"
+    if any(c.startswith("commit=") for c in Storage(spark).children(path)):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
 
 
-def append_ledger(rows: DataFrame, path: str) -> None:
+def append_ledger(rows: DataFrame, path: str, commit: str | None = None) -> None:
+    """Add the rows of one call. They appear all at once, by the move of their folder."""
+    files, commit = Storage(rows.sparkSession), commit or uuid.uuid4().hex
+    staged, folder = f"{path}/_staging-{commit}", f"{path}/commit={commit}"
     rows.selectExpr("seq", "table", "load_id", "token", "batch_index", "rows", "status", "attempts", "causes", "ts").write.mode(
-        "append"
-    ).parquet(path)
+        "overwrite"
+    ).parquet(staged)
+    files.delete(folder)
+    files.move(staged, folder)
 
 
 def recent_tokens(ledger: DataFrame, window: int, hot_rows: int = HOT_ROWS, scratch: Scratch | None = None) -> DataFrame:

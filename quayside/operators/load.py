@@ -60,7 +60,7 @@ def load(
     typed: bool = True,
     unique: bool = False,
     hot_rows: int = HOT_ROWS,
-    replace: bool = False,
+    commit: str | None = None,
 ) -> LoadResult:
     """Load the rows of ``df`` into the Parquet folder ``path``.
 
@@ -68,25 +68,26 @@ def load(
     has no such column, its value is the id of the one load the frame is. ``token``
     is ``"none"``, ``"load_id"`` or the name of a column.
 
-    With a token, data goes to ``path/_commit=<load>-<first new batch>`` and replaces
-    that folder, then the ledger is appended. A crash between the two is repaired by
-    running the same call again; a finished load run again writes nothing. Without a
-    token every call adds its rows, unless ``replace`` asks for the same folder.
-    One writer per table.
+    Data is written beside the target, then the ledger gets its rows, then the data
+    folder is moved to ``path/_commit=<id>``. A crash before the ledger leaves nothing
+    behind; after it, the next call (or ``recover``) finishes the move. A load run
+    again under its token writes nothing. Without a token every call adds its rows,
+    unless ``commit`` names the folder to replace. One writer per table.
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}, not {unit!r}")
-    spark, scratch = df.sparkSession, Scratch(df.sparkSession)
-    suffix = "" if token != "none" or replace else f"-{uuid.uuid4().hex}"
-    table = table or path.rstrip("/").rsplit("/", 1)[-1]
+    path, ledger_path = path.rstrip("/"), ledger_path.rstrip("/")
+    spark, scratch, commit = df.sparkSession, Scratch(df.sparkSession), commit or uuid.uuid4().hex
+    table = table or path.rsplit("/", 1)[-1]
     single = load_id not in df.columns
     if single and order_by is None and unit == "prefix":
         raise ValueError("unit='prefix' needs order_by, so that a replay cuts the same batches")
 
     rows, chosen = _converted(df, columns, load_id, single, order_by or [], token, local_zone, typed, table)
+    recover(spark, path, ledger_path)
     history = L.read_ledger(spark, ledger_path).where(F.col("table") == table)
     if single and unit != "prefix":
-        result = _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, suffix, scratch)
+        result = _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, commit, scratch)
         if result is not None:
             return result
 
@@ -111,27 +112,27 @@ def load(
     sums = _sums(batches)
     if L.ACCEPTED in sums:
         held = _total(sums, "batches", L.DUPLICATE, L.FAILED)
-        _write(cut, batches, held, chosen, path, suffix)
+        _accepted(cut, batches, held, chosen).write.mode("overwrite").parquet(_staging(path, commit))
     if sums:
-        _record(batches, ledger_path)
+        _publish(batches, path, ledger_path, commit, L.ACCEPTED in sums)
     bad = refused.count() if unit == "row" else _total(sums, "bad", *sums)
     return _result(batches, sums, refused, bad, scratch)
 
 
-def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, suffix, scratch) -> LoadResult | None:
+def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, commit, scratch) -> LoadResult | None:
     """The common case: one load that goes in as a whole, or not at all.
 
     Its batches only exist in the ledger then, so the rows are written once, beside
     the target, and the folder is moved into place. None when the ledger holds some
     of the batches back; the caller then cuts the rows.
     """
-    spark, files = rows.sparkSession, Storage(rows.sparkSession)
-    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    spark, staging = rows.sparkSession, _staging(path, commit)
     seen = Observation()
     counted = rows.observe(seen, F.sum(F.when(is_bad(), 1).otherwise(0)).alias("bad"))
     good = counted.where(~is_bad()).select(*[F.col(f"`{s.name}`") for s in chosen])
+    wanted = False
     try:
-        good.write.parquet(staging)
+        good.write.mode("overwrite").parquet(staging)
         refused = rows.where(is_bad())
         bad = 0
         if seen.get["bad"]:
@@ -152,15 +153,45 @@ def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows
         sums = _sums(batches)
         if len(sums) > 1:
             return None
-        if L.ACCEPTED in sums:
-            folder = f"{path.rstrip('/')}/{files.partition_folder(COMMIT, f'{load_id}-0{suffix}')}"
-            files.delete(folder)
-            files.move(staging, folder)
+        wanted = L.ACCEPTED in sums
         if sums:
-            _record(batches, ledger_path)
+            _publish(batches, path, ledger_path, commit, wanted)
         return _result(batches, sums, refused, bad, scratch)
     finally:
-        files.delete(staging)
+        if not wanted:
+            Storage(spark).delete(staging)
+
+
+def _staging(path: str, commit: str) -> str:
+    return f"{path}/_staging-{commit}"
+
+
+def _publish(batches: DataFrame, path: str, ledger_path: str, commit: str, data: bool) -> None:
+    """Make one call's work visible: first the ledger, which decides, then the data."""
+    _record(batches, ledger_path, commit)
+    if data:
+        _show(batches.sparkSession, path, commit)
+
+
+def _show(spark: SparkSession, path: str, commit: str) -> None:
+    files, folder = Storage(spark), f"{path}/{COMMIT}={commit}"
+    files.delete(folder)
+    files.move(_staging(path, commit), folder)
+
+
+def recover(spark: SparkSession, path: str, ledger_path: str) -> None:
+    """Finish or undo what a crashed call left: data the ledger knows is moved into place, the rest is removed."""
+    files, prefix = Storage(spark), "_staging-"
+    for name in files.children(path):
+        if name.startswith(prefix):
+            commit = name.removeprefix(prefix)
+            if files.exists(f"{ledger_path}/commit={commit}"):
+                _show(spark, path, commit)
+            else:
+                files.delete(f"{path}/{name}")
+    for name in files.children(ledger_path):
+        if name.startswith(prefix):
+            files.delete(f"{ledger_path}/{name}")
 
 
 def _sums(batches: DataFrame) -> dict:
@@ -212,7 +243,11 @@ def _judged(per_batch: DataFrame, rows: int, history: DataFrame, table: str, uni
         window = 0  # nothing loaded yet and no token twice
     per_batch = per_batch.withColumn("table", F.lit(table))
     in_order = with_group_index(per_batch, ["table"], ["load_id", "batch_index"], "seq", unique=True, scratch=scratch, rows=rows)
-    arrivals = in_order.withColumn("seq", F.col("seq") + F.lit(0 if last is None else last + 1))
+    arrivals = in_order.withColumn("seq", F.col("seq") + F.lit(0 if last is None else last + 1)).withColumn("attempts", F.lit(1))
+    if last is not None:
+        tried = history.groupBy(F.col("load_id").alias("_tried")).agg(F.max("attempts").alias("_times"))
+        arrivals = arrivals.join(tried, arrivals["load_id"] == tried["_tried"], "left")
+        arrivals = arrivals.withColumn("attempts", F.coalesce("_times", F.lit(0)) + 1).drop("_tried", "_times")
 
     fails = arrivals.where("bad > 0").groupBy(F.col("load_id").alias("_failed")).agg(F.min("batch_index").alias("first_bad"))
     late = F.col("first_bad").isNotNull() if unit == "load" else F.coalesce(F.col("batch_index") >= F.col("first_bad"), F.lit(False))
@@ -226,28 +261,18 @@ def _judged(per_batch: DataFrame, rows: int, history: DataFrame, table: str, uni
     return scratch.keep(judged, "judged")
 
 
-def _write(cut: DataFrame, batches: DataFrame, held: int, chosen: list[ColumnSpec], path: str, suffix: str) -> None:
-    """Write the accepted batches, each load into the folder of its first new batch."""
-    start = F.lit("0")
+def _accepted(cut: DataFrame, batches: DataFrame, held: int, chosen: list[ColumnSpec]) -> DataFrame:
+    """The rows of the accepted batches."""
     if held:
         out = batches.where(F.col("status") != L.ACCEPTED).select(F.col("load_id").alias("_l"), F.col("batch_index").alias("_b"))
         out = hinted(out, held)
         cut = cut.join(out, cut[LOAD].eqNullSafe(out["_l"]) & (cut["batch_index"] == out["_b"]), "left_anti")
-        # at most one row per held batch
-        moved = batches.groupBy(F.col("load_id").alias("_l")).agg(
-            F.min(F.when(F.col("status") == L.ACCEPTED, F.col("batch_index"))).alias("_start")
-        )
-        moved = hinted(moved.where("_start > 0"), held)
-        cut = cut.join(moved, cut[LOAD].eqNullSafe(moved["_l"]), "left")
-        start = F.coalesce(F.col("_start"), F.lit(0)).cast("string")
-    commit = F.concat(F.coalesce(F.col(LOAD), F.lit("")), F.lit("-"), start, F.lit(suffix))
-    out = cut.select(*[F.col(f"`{s.name}`") for s in chosen], commit.alias(COMMIT))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(COMMIT).parquet(path)
+    return cut.select(*[F.col(f"`{s.name}`") for s in chosen])
 
 
-def _record(batches: DataFrame, ledger_path: str) -> None:
+def _record(batches: DataFrame, ledger_path: str, commit: str) -> None:
     why = F.concat(F.lit("rows that could not be converted in this batch: "), F.col("bad").cast("string"))
     cause = F.struct(F.lit("data").alias("kind"), F.lit(None).cast("int").alias("code"), why.alias("message"))
     none = F.array().cast(f"array<{L.CAUSE}>")
     noted = batches.withColumn("causes", F.when(F.col("status") == L.FAILED, F.array(cause)).otherwise(none))
-    L.append_ledger(noted.withColumn("attempts", F.lit(1)).withColumn("ts", F.current_timestamp()), ledger_path)
+    L.append_ledger(noted.withColumn("ts", F.current_timestamp()), ledger_path, commit)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -46,11 +47,14 @@ def stream_load(
     """Load a stream into ``path``; a micro-batch run again after a crash writes nothing twice.
 
     Its load id and token are ``<name>-<batch id>``, so ``name`` must stay the same
-    over restarts. ``trigger`` is what ``writeStream.trigger`` takes, by default
+    over restarts. It becomes part of folder names: letters, digits, ``-`` and ``_``.
+    ``trigger`` is what ``writeStream.trigger`` takes, by default
     ``availableNow``. ``buffer`` (``"1 minute"``) gathers small units over that time
     into one write instead; it is refused together with a token, which would promise a
     replay check per unit. Bad rows go to ``rejected_path`` with their reasons.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", name):
+        raise StreamSettingError(f"the name {name!r} may only have letters, digits, '-' and '_'")
     if buffer is not None and token != "none":
         raise StreamSettingError("buffering cannot be combined with a token; pass token='none'")
     if buffer is not None and trigger is not None:
@@ -60,7 +64,8 @@ def stream_load(
         load_id = f"{name}-{batch_id}"
         result = load(
             rows, path, columns, ledger_path, load_id=load_id, order_by=order_by, max_rows=max_rows, token=token,
-            window=window, unit=unit, local_zone=local_zone, typed=typed, replace=True,
+            window=window, unit=unit, local_zone=local_zone, typed=typed,
+            commit=load_id if token == "none" else None,
         )
         try:
             if rejected_path and result.rejected_rows:

@@ -93,20 +93,33 @@ def test_many_loads_with_a_hot_one(spark, where, hot_rows):
     assert again.duplicate_inserts == again.inserts == done.inserts and len(rows(spark, path)) == 300 - len(lost)
 
 
-def test_crash_between_data_and_ledger_is_repaired(spark, where, monkeypatch):
+@pytest.mark.parametrize("many", [False, True])
+@pytest.mark.parametrize("lost_at", ["ledger", "move"])
+def test_a_crash_is_repaired_by_the_next_call(spark, where, monkeypatch, many, lost_at):
     path, book = where
+    df = records(spark, 50).withColumn("load_id", F.concat(F.lit("m"), F.col("id") % 3)) if many else records(spark, 50)
+    kwargs = {"order_by": ["id"], "max_rows": 20} if many else {"load_id": "l", "max_rows": 20}
 
     def crash(*_):
         raise RuntimeError("lost the driver")
 
-    for df, kwargs in ((records(spark, 50), {"load_id": "l"}), (records(spark, 50).withColumn("load_id", F.lit("m")), {"order_by": ["id"]})):
-        with monkeypatch.context() as m:
-            m.setattr(L, "append_ledger", crash)
-            with pytest.raises(RuntimeError):
-                load(df, path, BIG, book, max_rows=20, **kwargs)
-        load(df, path, BIG, book, max_rows=20, **kwargs)
-        load(df, path, BIG, book, max_rows=20, **kwargs)
-    assert rows(spark, path) == sorted([*range(1, 51)] * 2)
+    with monkeypatch.context() as m:
+        m.setattr(L, "append_ledger", crash) if lost_at == "ledger" else m.setattr("quayside.operators.load._show", crash)
+        with pytest.raises(RuntimeError):
+            load(df, path, BIG, book, **kwargs)
+    again = load(df, path, BIG, book, **kwargs)
+    # with the ledger written the load counts as done, and its data comes into place
+    assert (again.duplicate_inserts > 0) == (lost_at == "move")
+    assert rows(spark, path) == list(range(1, 51))
+    assert not [c for c in Storage(spark).children(path) if c.startswith("_staging")]
+
+
+def test_attempts_are_counted(spark, where):
+    path, book = where
+    bad = records(spark, 3).withColumn("amount", F.lit("x"))
+    for _ in range(3):
+        load(bad, path, BIG, book, load_id="l")
+    assert sorted(r["attempts"] for r in L.read_ledger(spark, book).collect()) == [1, 2, 3]
 
 
 def test_token_from_a_column(spark, where):

@@ -229,3 +229,16 @@ def test_stream_load_restarts_and_routes(spark, tmp_path):
     assert sorted(r["id"] for r in read_target(spark, path).collect()) == first
     with pytest.raises(StreamSettingError):
         stream_load(stream, path, target, book, str(tmp_path / "cp3"), "s", buffer="1 minute")
+    with pytest.raises(StreamSettingError):
+        stream_load(stream, path, target, book, str(tmp_path / "cp3"), "a/b")
+
+
+def test_buffered_stream(spark, tmp_path):
+    inbox, path, book = (str(tmp_path / n) for n in ("inbox", "target", "ledger"))
+    spark.range(30).select(F.col("id").cast("string").alias("id")).repartition(3).write.text(inbox)
+    stream = spark.readStream.text(inbox).select(F.col("value").alias("id"))
+    for checkpoint in ("a", "b"):  # the second run replays the first batch
+        query = stream_load(stream, path, spec(("id", "UInt32")), book, str(tmp_path / checkpoint), "s", token="none", buffer="1 second")
+        query.processAllAvailable()
+        query.stop()
+    assert sorted(r["id"] for r in read_target(spark, path).collect()) == list(range(30))
