@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.functions.convert import default_value
 from quayside.types import ColumnSpec, is_typed, storage_type
 
 
@@ -40,6 +41,11 @@ def insertable(fields: list[str], columns: list[ColumnSpec], table: str = "the t
     return chosen
 
 
+def default_column(s: ColumnSpec) -> Column:
+    """The DEFAULT of a column, else the zero of its type."""
+    return F.expr(s.default).cast(storage_type(s.type)) if s.default else default_value(s.type)
+
+
 def align(df: DataFrame, columns: list[ColumnSpec], table: str = "the target", typed: bool = True, fill_defaults: bool = False) -> DataFrame:
     """Select the input columns the target has, in table order; refuse everything else by name.
 
@@ -49,13 +55,10 @@ def align(df: DataFrame, columns: list[ColumnSpec], table: str = "the target", t
     chosen = {s.name for s in insertable(df.columns, columns, table, typed)}
     if not fill_defaults:
         return df.select(*[F.col(f"`{s.name}`") for s in columns if s.name in chosen])
-    from quayside.functions.convert import default_value
-
     out = []
     for s in columns:
         if s.name in chosen:
             out.append(F.col(f"`{s.name}`"))
         elif not s.computed:
-            value = F.expr(s.default).cast(storage_type(s.type)) if s.default else default_value(s.type)
-            out.append(value.alias(s.name))
+            out.append(default_column(s).alias(s.name))
     return df.select(*out)

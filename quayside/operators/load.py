@@ -7,16 +7,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.convert import ERRORS, conform
 from quayside.operators import ledger as L
-from quayside.operators.align import insertable
+from quayside.operators.align import default_column, insertable
 from quayside.operators.batches import MAX_ROWS, batch_token, base_token, cut_batches, token_error
 from quayside.operators.index import HOT_ROWS, with_group_index
 from quayside.operators.route import UNITS, is_bad
 from quayside.plans.session import BROADCAST_ROWS, Scratch, hinted
 from quayside.plans.storage import Storage
-from quayside.types import ColumnSpec
+from quayside.types import ColumnSpec, storage_type
 
 COMMIT, LOAD, TOKEN = "_commit", "_load", "_token"
 
@@ -39,9 +40,14 @@ class LoadResult:
 
 
 def read_target(spark: SparkSession, path: str, columns: list[ColumnSpec] | None = None) -> DataFrame:
-    """The rows loaded so far, without the commit folder names."""
-    rows = spark.read.parquet(path)
-    return rows.select(*[s.name for s in columns if s.name in rows.columns]) if columns else rows.drop(COMMIT)
+    """The rows loaded so far, without the commit folder names.
+
+    With ``columns``, a column added since reads as null in older rows.
+    """
+    if columns is None:
+        return spark.read.parquet(path).drop(COMMIT)
+    schema = T.StructType([T.StructField(s.name, storage_type(s.type)) for s in columns if not s.computed])
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
 
 
 def load(
@@ -65,7 +71,8 @@ def load(
     """Load the rows of ``df`` into the Parquet folder ``path``.
 
     ``load_id`` names the column that says which load a row belongs to; when ``df``
-    has no such column, its value is the id of the one load the frame is. ``token``
+    has no such column, its value is the id of the one load the frame is. Columns of
+    the target the records lack get their default. ``token``
     is ``"none"``, ``"load_id"`` or the name of a column.
 
     Data is written beside the target, then the ledger gets its rows, then the data
@@ -80,6 +87,8 @@ def load(
     spark, scratch, commit = df.sparkSession, Scratch(df.sparkSession), commit or uuid.uuid4().hex
     table = table or path.rsplit("/", 1)[-1]
     single = load_id not in df.columns
+    if single and load_id == "load_id":
+        raise ValueError("the frame has no column load_id; pass load_id='<id of this load>'")
     if single and order_by is None and unit == "prefix":
         raise ValueError("unit='prefix' needs order_by, so that a replay cuts the same batches")
 
@@ -220,7 +229,7 @@ def _result(batches: DataFrame, sums: dict, refused: DataFrame, bad: int, scratc
 
 
 def _converted(df, columns, load_id, single, order_by, token, zone, typed, table) -> tuple[DataFrame, list[ColumnSpec]]:
-    """Aligned and converted rows with their load id and base token, and the columns they fill."""
+    """Aligned and converted rows with their load id, base token and defaults, and the columns they fill."""
     names = {s.name for s in columns}
     helpers = {load_id, token, *[c for c in order_by if isinstance(c, str)]}
     fields = [c for c in df.columns if c in names or c not in helpers]
@@ -229,6 +238,9 @@ def _converted(df, columns, load_id, single, order_by, token, zone, typed, table
     source = source.withColumn(TOKEN, base_token(token, LOAD))
     sort_only = [c for c in order_by if isinstance(c, str) and c not in names]
     rows = conform(source, chosen, zone, keep=[LOAD, TOKEN, *sort_only])
+    absent = {s.name: default_column(s) for s in columns if not s.computed and s not in chosen}
+    if absent:
+        rows, chosen = rows.withColumns(absent), [s for s in columns if not s.computed]
     if token != "none":
         # a load without its token fails like one with a bad value
         missing = token_error(TOKEN, shown=load_id if token == "load_id" else token)

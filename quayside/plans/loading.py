@@ -156,7 +156,8 @@ def _bad_lines(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").withColumn("amount", quantity).withColumn("sort_quantity", F.col("l_quantity"))
     rows = conform(lines, spec(("amount", "Decimal(9, 2)")), keep=[*keep, "sort_quantity"])
     order = [c if c != "l_quantity" else "sort_quantity" for c in LINE_ORDER]
-    return cut_batches(rows.withColumn("load_id", F.col("l_suppkey")), order, 50, "load_id", hot_rows=600)
+    # both sides and the search for bad rows read the cut rows back
+    return Scratch(spark).keep(cut_batches(rows.withColumn("load_id", F.col("l_suppkey")), order, 50, "load_id", hot_rows=600), "cut")
 
 
 _BAD_CTE = f"""

@@ -7,7 +7,7 @@ from quayside.operators import ledger as L
 from quayside.operators.align import AlignmentError
 from quayside.operators.load import load, read_target
 from quayside.plans.storage import Storage
-from quayside.types import spec
+from quayside.types import ColumnSpec, spec
 
 BIG = spec(("id", "UInt64"), ("name", "String"), ("ts", "DateTime64(3, 'UTC')"), ("amount", "Decimal(18, 4)"))
 
@@ -149,6 +149,22 @@ def test_tokens_leave_the_window(spark, where):
     assert load(records(spark, 1), path, BIG, book, load_id="a", window=2).duplicate_inserts == 0
 
 
+def test_absent_columns_take_defaults_and_added_ones_read_as_null(spark, where):
+    path, book = where
+    table = [ColumnSpec("id", "UInt32"), ColumnSpec("name", "String", default="'none'"), ColumnSpec("created", "DateTime", default="now()"), ColumnSpec("score", "Nullable(Float64)")]
+    load(spark.createDataFrame([(1,)], "id int"), path, table, book, load_id="a")
+    wider = [*table, ColumnSpec("extra", "Int8")]
+    load(spark.createDataFrame([(2, "x", 5)], "id int, name string, extra int"), path, wider, book, load_id="b")
+    first, second = read_target(spark, path, wider).orderBy("id").collect()
+    assert (first["name"], first["score"], first["extra"]) == ("none", None, None) and first["created"].year >= 2024
+    assert (second["name"], second["extra"]) == ("x", 5)
+
+
+def test_a_load_needs_an_id(spark, where):
+    with pytest.raises(ValueError, match="load_id"):
+        load(records(spark, 1), where[0], BIG, where[1])
+
+
 def test_unknown_fields_fail_before_any_job(spark, where):
     with pytest.raises(AlignmentError, match="nope"):
         load(records(spark, 1).withColumn("nope", F.lit(1)), *(where[0], BIG, where[1]), load_id="x")
