@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 # Text handled at a time inside a task, so that a task's memory does not depend on its partition.
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 1_000_000
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str | None = None, size: int = SLICE_BYTES) -> DataFrame:
@@ -87,9 +87,8 @@ class Words:
 
 def hash64(strings: pa.Array, seed: int = 0) -> np.ndarray:
     """XXH64 of each string's UTF-8 bytes."""
-    h = xxhash.xxh64_intdigest
-    cells = strings.cast(pa.large_binary()).to_pylist()
-    return np.fromiter((h(s, seed) for s in cells), dtype=np.uint64, count=len(cells))
+    offsets, data = raw(pa.concat_arrays([strings.cast(pa.large_binary())]))
+    return xxh64_slices(data.tobytes(), offsets[:-1], np.diff(offsets), seed)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -101,22 +100,39 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SHINGLE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_seed(width: int) -> np.uint64:
+    """What the hash of a run of ``width`` words starts from, so that runs of unlike widths never meet."""
+    return mix(np.array([width], np.uint64) + _SHINGLE)[0]
+
+
+def shingle_step(so_far: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a run with one word more; ``mix`` it in the end."""
+    return (so_far ^ word) * _SHINGLE + (word >> np.uint64(32))
+
+
 def shingle_hashes(hashes: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``width`` words per text, a shorter text being one run; and where each text's runs start.
 
-    A text without words has none. The width enters the hash, so runs of unlike widths never meet.
+    A text without words has none.
     """
     counts = np.diff(starts)
     runs = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
     run_starts = np.concatenate(([0], np.cumsum(runs)))
-    owner = np.repeat(np.arange(len(counts)), runs)
-    first = starts[:-1][owner] + (np.arange(run_starts[-1]) - run_starts[:-1][owner])
-    size = np.minimum(counts, width)[owner]
-    out = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    last = max(len(hashes) - 1, 0)
-    for j in range(width):
-        word = hashes[np.minimum(first + j, last)] if len(hashes) else out
-        out = np.where(j < size, mix(out * np.uint64(0x9E3779B97F4A7C15) + word), out)
+    first = np.repeat(starts[:-1] - run_starts[:-1], runs) + np.arange(run_starts[-1])
+    out = np.full(len(hashes), shingle_seed(width))
+    for j in range(min(width, len(hashes))):
+        out[: len(out) - j] = shingle_step(out[: len(out) - j], hashes[j:])
+    out = mix(out)[first]
+    for size in range(1, width):
+        at = starts[:-1][counts == size]
+        if len(at):
+            short = np.full(len(at), shingle_seed(size))
+            for j in range(size):
+                short = shingle_step(short, hashes[at + j])
+            out[run_starts[:-1][counts == size]] = mix(short)
     return out, run_starts
 
 

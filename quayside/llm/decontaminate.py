@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.batches import Words, column, doc_ids_type, hash64, map_arrow, mapped, mix, shingle_hashes, texts
+from quayside.llm.batches import Words, column, doc_ids_type, hash64, map_arrow, mapped, mix, shingle_hashes, shingle_seed, shingle_step, texts
 from quayside.plans.session import Scratch, hinted
 
 WIDTH = 5
@@ -116,9 +116,10 @@ class _Shingles:
 
     def __init__(self, word_hash: np.ndarray, owner: np.ndarray, width: int, items: Items) -> None:
         n = len(word_hash)
-        hashes = np.full(n, mix(np.array([width], np.uint64) + np.uint64(0x9E3779B97F4A7C15))[0])
+        hashes = np.full(n, shingle_seed(width))
         for j in range(min(width, n)):
-            hashes[: n - j] = mix(hashes[: n - j] * np.uint64(0x9E3779B97F4A7C15) + word_hash[j:])
+            hashes[: n - j] = shingle_step(hashes[: n - j], word_hash[j:])
+        hashes = mix(hashes)
         whole = np.zeros(n, bool)
         whole[: max(n - width + 1, 0)] = owner[: max(n - width + 1, 0)] == owner[width - 1 :]
         spot = np.minimum(np.searchsorted(items.known, hashes), len(items.known) - 1)

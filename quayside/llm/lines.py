@@ -51,7 +51,11 @@ class LineSets:
         hashes, starts = _shingles(lines, width)
         owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         tokens = (rarity[(hashes >> _CELL_SHIFT).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (hashes >> np.uint64(8))
-        order = np.lexsort((tokens, owner))
+        if len(starts) <= 1 << 16:  # sorting short integers stably is quick
+            order = np.argsort(tokens)
+            order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
+        else:
+            order = np.lexsort((tokens, owner))
         tokens, owner = tokens[order], owner[order]
         new = np.ones(len(tokens), bool)
         new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
@@ -152,8 +156,8 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
 
     1. a fixed-size frequency table gives the order of rarity;
     2. lines with equal sets are one class, pre-aggregated, so a line that stands everywhere is one row;
-    3. two similar sets share one of their first ``n - ceil(threshold * n) + 1`` tokens: classes are dealt by these, and only
-       tokens that several classes share go on;
+    3. two similar sets share one of their first ``n - ceil(threshold * n) + 1`` tokens: classes, here named by half their
+       128 bits, are dealt by these, and only tokens that several classes share go on;
     4. in a run of classes with such a token, length and positional filters and the exact Jaccard similarity decide.
     """
     keyed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("words"))
@@ -165,7 +169,10 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         doc = np.repeat(np.arange(len(counts)), counts)
         number = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
         some = np.flatnonzero(sets.sizes)
-        first = prefix_length(sets.sizes[some], threshold)
+        # the prefix of a class once per slice
+        _, new = np.unique(sets.low[some], return_index=True)
+        first = np.zeros(len(some), np.int64)
+        first[new] = prefix_length(sets.sizes[some[new]], threshold)
         at = np.repeat(sets.starts[some] - (np.cumsum(first) - first), first) + np.arange(first.sum())
         prefix = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(first))).astype(np.int32)), pa.array(sets.tokens[at].view(np.int64)))
         take = pa.array(doc[some])
@@ -178,7 +185,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     lines = scratch.keep(map_arrow(keyed, each_line, "id long, h long, line int, low long, high long, n int, prefix array<long>", "words"), "lines")
     place = F.struct("id", "h", "line")
     classes = scratch.keep(lines.groupBy("low", "high").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "classes")
-    postings = lines.groupBy("low", "high").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")).select("low", "high", "n", F.posexplode("prefix").alias("place", "token"))
+    postings = lines.select("low", "n", F.posexplode("prefix").alias("place", "token"))
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -190,16 +197,18 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
             yield from repeated(pa.Table.from_batches(held))
 
     def repeated(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        token = np.asarray(table.column("token"))
+        token, low = np.asarray(table.column("token")), np.asarray(table.column("low"))
+        new = np.ones(len(token), bool)  # the first of each class in a run
+        new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1])
+        token = token[new]
         same = np.zeros(len(token), bool)
         same[1:] = token[1:] == token[:-1]
         same[:-1] |= same[1:]
-        yield from table.filter(pa.array(same)).to_batches()
+        yield from table.take(pa.array(np.flatnonzero(new)[same])).to_batches()
 
-    runs = scratch.keep(
-        postings.select("token", "low", "high", "n", "place").repartition("token").sortWithinPartitions("token").mapInArrow(shared, "token long, low long, high long, n int, place int"), "runs"
-    )
-    wanted = runs.select("low", "high").distinct().join(classes, ["low", "high"]).select("low", "high", "first")
+    dealt = postings.select("token", "low", "n", "place").repartition("token").sortWithinPartitions("token", "low")
+    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, n int, place int"), "runs")
+    wanted = runs.select("low").distinct().join(classes, "low").select("first")
     wanted = scratch.keep(wanted.groupBy("first.id", "first.h").agg(F.collect_list("first.line").alias("numbers")), "wanted")
     texts_again = keyed.join(few(wanted, "numbers"), ["id", "h"]).dropDuplicates(["id", "h"])
 
@@ -216,7 +225,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "line", "low", "high", "tokens"])
 
     sets = map_arrow(texts_again, sets_again, "id long, h long, line int, low long, high long, tokens array<long>", "words")
-    meeting = runs.join(sets, ["low", "high"]).select("token", "id", "h", "line", "low", "high", "place", "tokens")
+    meeting = runs.join(sets, "low").select("token", "id", "h", "line", "low", "high", "place", "tokens")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []

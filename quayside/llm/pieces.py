@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from quayside.llm.batches import column, doc_ids_type, map_arrow, mix, raw, texts
 
 # Text sampled at a time inside a task.
-SLICE = 3_000_000
+SLICE = 700_000
 # Segments up to this many bytes go through the forward pass together.
 TOGETHER = 64
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, langid, lines, pieces, simhash
+from quayside.llm import decontaminate, langid, licenses, lines, lm, pieces, simhash, sketch, tokenfile, warc
 from quayside.plans.session import Scratch
 from quayside.plans.tables import Registry, table
 
@@ -17,6 +17,14 @@ registry = Registry()
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+@registry.add()
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record of an archive, as read back from the archives."""
+    scratch = Scratch(spark)
+    archives = warc.write(table(spark, sf_dir, "pages"), scratch.path("warc"), scratch)
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
 @registry.add()
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, and whether it decodes to the text."""
@@ -32,6 +40,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score", F.to_json("shares").alias("shares"))
 
 
+@registry.add()
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and log probabilities of every document, learnt from those outside the held-out fold."""
+    return lm.scores(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @registry.add()
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -45,6 +59,26 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "text")
 
 
+@registry.add()
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's token ids, as read back from the token files."""
+    scratch = Scratch(spark)
+    files = tokenfile.write(table(spark, sf_dir, "documents"), scratch.path("ids"), scratch, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return tokenfile.read(files)
+
+
+@registry.add()
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against that of its edited text and of the next document."""
+    return sketch.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@registry.add()
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 @registry.add()
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best window of every document and benchmark item that match."""
