@@ -241,7 +241,9 @@ def _array(c: Column, dtype: T.DataType, t: ColumnType, zone: str) -> Column:
 def _map(c: Column, dtype: T.DataType, t: ColumnType, zone: str) -> Column:
     if isinstance(dtype, T.StringType):
         raw = T.MapType(T.StringType(), raw_shape(t.children[1]))
-        return _map(F.from_json(c, raw), raw, t, zone)
+        names = F.json_object_keys(c)
+        once = F.size(F.array_distinct(names)) == F.size(names)
+        return _map(F.when(once & (F.size(jsontext.unknown_in(c, t, "")) == 0), F.from_json(c, raw)), raw, t, zone)
     if isinstance(dtype, T.StructType):
         pairs = [F.struct(F.lit(f.name).alias("key"), c[f.name].cast("string").alias("value")) for f in dtype]
         return _map(F.map_from_entries(F.array(*pairs)), T.MapType(T.StringType(), T.StringType()), t, zone)
@@ -250,8 +252,9 @@ def _map(c: Column, dtype: T.DataType, t: ColumnType, zone: str) -> Column:
     key, value = t.children
     keys = _array(F.map_keys(c), T.ArrayType(dtype.keyType), _array_of(key), zone)
     values = _array(F.map_values(c), T.ArrayType(dtype.valueType), _array_of(value), zone)
-    return F.when(keys.isNotNull() & values.isNotNull(),
-                  F.map_from_arrays(F.transform(keys, lambda k: k.cast("string")), values))
+    texts = F.transform(keys, lambda k: k.cast("string"))
+    once = F.size(F.array_distinct(texts)) == F.size(texts)  # two spellings of one key are no map
+    return F.when(keys.isNotNull() & values.isNotNull() & once, F.map_from_arrays(texts, values))
 
 
 def _array_of(t: ColumnType) -> ColumnType:
@@ -262,7 +265,7 @@ def _tuple(c: Column, dtype: T.DataType, t: ColumnType, zone: str) -> Column:
     if isinstance(dtype, T.StringType):
         raw = raw_shape(t)
         # a JSON field the tuple does not have is an error, not silent loss
-        unknown = F.array_except(F.json_object_keys(c), F.array(*[F.lit(n) for n in t.child_names]))
+        unknown = F.when(F.json_object_keys(c).isNotNull(), jsontext.unknown_in(c, t, ""))
         return F.when(F.size(unknown) == 0, _tuple(F.from_json(c, raw), raw, t, zone))
     if not isinstance(dtype, T.StructType):
         return _null(t)

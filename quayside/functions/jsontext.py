@@ -78,17 +78,45 @@ def json_rows(df: DataFrame, local_zone: str = "UTC") -> DataFrame:
 def json_flatten(df: DataFrame, column: str) -> DataFrame:
     """Key and value of every flat member of a JSON object; nested members and broken text give no rows.
 
-    Keys come out sorted, values as text (``null`` for a JSON null).
+    Keys come out sorted, values as the text has them, strings without their quotes (``null`` for a JSON null). An
+    object that repeats a key counts as broken.
     """
     spread = df.lateralJoin(
         df.sparkSession.tvf.variant_explode(F.try_parse_json(F.col(f"`{column}`").outer())), how="inner"
     )
     kind = F.schema_of_variant(F.col("value"))
     flat = spread.where(F.col("key").isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"))
-    value = F.coalesce(F.try_variant_get(F.col("value"), "$", "string"), F.lit("null"))
+    # the parsed value tells the kind; its spelling comes from the text
+    spelled = F.from_json(F.col(f"`{column}`"), "map<string,string>")
+    value = F.coalesce(F.try_element_at(spelled, F.col("key")), F.lit("null"))
     return flat.select(*[F.col(f"`{c}`") for c in df.columns], "key", value.alias("value"))
 
 
 def unknown_fields(text: Column, known: list[str]) -> Column:
     """Names of the JSON object's fields that are not in ``known``; null when the text is no object."""
     return F.array_except(F.json_object_keys(text), F.array(*[F.lit(k) for k in known]).cast("array<string>"))
+
+
+def _has_tuple(t: ColumnType) -> bool:
+    return t.kind == "Tuple" or any(_has_tuple(c) for c in t.children)
+
+
+def unknown_in(text: Column, t: ColumnType, path: str) -> Column:
+    """Paths of all fields, at any depth of a JSON text, that the tuples of type ``t`` do not have; empty for other text."""
+    none = F.array().cast("array<string>")
+    if not _has_tuple(t):
+        return none
+    if t.kind == "Tuple":
+        known = F.array(*[F.lit(n) for n in t.child_names])
+        lead = f"{path}." if path else ""
+        own = F.transform(F.coalesce(F.array_except(F.json_object_keys(text), known), none), lambda k: F.concat(F.lit(lead), k))
+        below = [unknown_in(F.get_json_object(text, f"$['{n}']"), c, f"{lead}{n}") for n, c in zip(t.child_names, t.children, strict=True) if _has_tuple(c)]
+        return F.concat(own, *below) if below else own
+    if t.kind == "Map":
+        names = F.json_object_keys(text)
+        once = F.size(F.array_distinct(names)) == F.size(names)
+        parts, inner = F.map_values(F.when(once, F.from_json(text, "map<string,string>"))), t.children[1]
+    else:
+        parts, inner = F.from_json(text, "array<string>"), t.element
+    found = F.flatten(F.transform(parts, lambda x: F.coalesce(unknown_in(x, inner, f"{path}[]"), none)))
+    return F.array_distinct(F.coalesce(found, none))

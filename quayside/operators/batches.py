@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.index import HOT_ROWS, with_group_index, with_row_index
+from quayside.operators.index import with_group_index, with_row_index
 from quayside.plans.session import Scratch
 
 MAX_ROWS = 100_000
@@ -40,7 +40,6 @@ def cut_batches(
     load_id: str | None = None,
     token: str = "none",
     unique: bool = False,
-    hot_rows: int = HOT_ROWS,
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """Add ``batch_index`` (and ``batch_token`` unless ``token="none"``).
@@ -56,7 +55,7 @@ def cut_batches(
     elif order_by is None:
         raise ValueError("order_by is needed to cut several loads")
     else:
-        indexed = with_group_index(df, [load_id], order_by, "_row", unique, hot_rows, scratch)
+        indexed = with_group_index(df, [load_id], order_by, "_row", unique, scratch)
     cut = indexed.withColumn("batch_index", F.floor(F.col("_row") / F.lit(max_rows)).cast("bigint")).drop("_row")
     if token == "none":
         return cut

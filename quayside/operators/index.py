@@ -9,15 +9,12 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.plans.session import Scratch, hinted
 
-# Groups above this many rows are numbered by the range method instead of one window task.
-HOT_ROWS = 1_000_000
-
 # monotonically_increasing_id: partition number in the upper bits, position in the lower 33.
 _POSITION_BITS = 33
 
@@ -89,55 +86,24 @@ def with_row_index(
         [(b, s) for (b, _), s in zip(sizes, starts, strict=False)], "_bucket bigint, _offset bigint"
     )
     position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    numbered = kept.withColumn("_bucket", bucket).join(F.broadcast(offsets), "_bucket")
+    numbered = kept.withColumn("_bucket", bucket).join(hinted(offsets, len(sizes)), "_bucket")
     return numbered.withColumn(name, F.col("_offset") + position).drop("_bucket", "_offset", "_at")
 
 
 def with_group_index(
-    df: DataFrame,
-    group: list[str],
-    order_by: list[str | Column],
-    name: str = "row_index",
-    unique: bool = False,
-    hot_rows: int = HOT_ROWS,
-    scratch: Scratch | None = None,
-    rows: int | None = None,
+    df: DataFrame, group: list[str], order_by: list[str | Column], name: str = "row_index", unique: bool = False, scratch: Scratch | None = None
 ) -> DataFrame:
     """Add the 0-based position of every row inside its group.
 
-    ``rows`` is the row count of ``df`` where the caller knows it: with no more than
-    ``hot_rows`` rows there is no big group to look for.
-
-    Ordinary groups take one window. Groups above ``hot_rows`` rows, of which there
-    can be at most (all rows / ``hot_rows``), are split over many tasks by the range
-    method, so a group with a third of the data has no task of its own.
+    All rows are numbered in the order of (group, ``order_by``) by the range method, and each group's first number is
+    subtracted. So a group of any size is spread over as many tasks as its rows need; there is one shuffle of the rows.
     """
-    keys = _columns(order_by)
-    if not unique:
-        keys = [*keys, row_hash(df)]
-    window = Window.partitionBy(*[F.col(f"`{g}`") for g in group]).orderBy(*keys)
-    number = (F.row_number().over(window) - 1).cast("bigint")
-    if rows is not None and rows <= hot_rows:
-        return df.withColumn(name, number)
-
-    scratch = scratch or Scratch(df.sparkSession)
+    numbered = with_row_index(df, [*group, *order_by], "_global", unique, scratch=scratch)
     renamed = [F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(group)]
-    counts = df.select(*renamed).groupBy(*[f"_g{i}" for i in range(len(group))]).count()
-    hot = scratch.keep(counts.where(F.col("count") > hot_rows).drop("count"), "hot-groups")
-    n_hot = hot.count()
-    if n_hot == 0:
-        return df.withColumn(name, number)
-
-    def same(left: DataFrame, right: DataFrame) -> Column:
-        match = F.lit(True)
-        for i, g in enumerate(group):
-            match = match & left[f"`{g}`"].eqNullSafe(right[f"_g{i}"])
-        return match
-
-    few = hinted(hot, n_hot)
-    cold = df.join(few, same(df, few), "left_anti").withColumn(name, number)
-    heavy = df.join(few, same(df, few), "left_semi")
-    heavy = with_row_index(heavy, [*group, *order_by], "_global", unique, scratch=scratch)
-    starts = hinted(heavy.groupBy(*renamed).agg(F.min("_global").alias("_start")), n_hot)
-    heavy = heavy.join(starts, same(heavy, starts)).withColumn(name, F.col("_global") - F.col("_start"))
-    return cold.unionByName(heavy.select(cold.columns))
+    starts = numbered.groupBy(*renamed).agg(F.min("_global").alias("_start"))
+    starts = hinted(starts, starts.count())
+    match = F.lit(True)
+    for i, g in enumerate(group):
+        match = match & numbered[f"`{g}`"].eqNullSafe(starts[f"_g{i}"])
+    placed = numbered.join(starts, match).withColumn(name, F.col("_global") - F.col("_start"))
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], name)

@@ -7,14 +7,11 @@ hundred-thousandth of the data at the default batch size.
 from __future__ import annotations
 
 import uuid
-from collections import OrderedDict
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.index import HOT_ROWS, with_group_index
+from quayside.operators.index import with_group_index
 from quayside.plans.session import Scratch
 from quayside.plans.storage import Storage
 
@@ -25,18 +22,19 @@ LEDGER_SCHEMA = (
 )
 ACCEPTED, DUPLICATE, FAILED, RETRY = "accepted", "duplicate", "failed", "retry"
 
-# Accepted tokens of a table that count, as tables keep by default.
-DEFAULT_WINDOW = 1000
-
 # Server error codes and failure kinds worth another attempt.
-RETRYABLE_CODES = (241, 252)  # memory limit exceeded, too many parts
+RETRYABLE_CODES = (159, 209, 241, 252)  # timeout exceeded, socket timeout, memory limit exceeded, too many parts
 NETWORK_KINDS = ("connect", "transport", "transfer")
 SERVER_KIND = "server"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``; empty when nothing was loaded yet. ``commit`` names the folder a row's data went to."""
-    schema = f"{LEDGER_SCHEMA}, commit string"
+    """The ledger at ``path``; empty when nothing was loaded yet.
+
+    ``batches`` tells how many batches a row's load had in all, where the call knew it; ``commit`` names the folder its data
+    went to.
+    """
+    schema = f"{LEDGER_SCHEMA}, batches bigint, commit string"
     if any(c.startswith("commit=") for c in Storage(spark).children(path)):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
@@ -46,110 +44,53 @@ def append_ledger(rows: DataFrame, path: str, commit: str | None = None) -> None
     """Add the rows of one call. They appear all at once, by the move of their folder."""
     files, commit = Storage(rows.sparkSession), commit or uuid.uuid4().hex
     staged, folder = f"{path}/_staging-{commit}", f"{path}/commit={commit}"
-    rows.selectExpr("seq", "table", "load_id", "token", "batch_index", "rows", "status", "attempts", "causes", "ts").write.mode(
+    known = "batches" if "batches" in rows.columns else "cast(null as bigint) as batches"
+    rows.selectExpr("seq", "table", "load_id", "token", "batch_index", "rows", "status", "attempts", "causes", "ts", known).write.mode(
         "overwrite"
     ).parquet(staged)
     files.delete(folder)
     files.move(staged, folder)
 
 
-def recent_tokens(ledger: DataFrame, window: int, hot_rows: int = HOT_ROWS, scratch: Scratch | None = None) -> DataFrame:
+def recent_tokens(ledger: DataFrame, window: int, scratch: Scratch | None = None) -> DataFrame:
     """(table, token, age): the last ``window`` accepted tokens of each table, age 1 the newest."""
     accepted = ledger.where((F.col("status") == ACCEPTED) & F.col("token").isNotNull()).select("table", "token", "seq")
-    if window <= DEFAULT_WINDOW:
-        # Spark keeps at most ``window`` rows per table and task before the shuffle
-        newest_first = Window.partitionBy("table").orderBy(F.desc("seq"))
-        ranked = accepted.withColumn("age", F.row_number().over(newest_first))
-    else:
-        # a window this wide may take in all of a big table's history: split it
-        ranked = with_group_index(accepted, ["table"], [F.desc("seq")], "_newer", True, hot_rows, scratch)
-        ranked = ranked.withColumn("age", (F.col("_newer") + 1).cast("int"))
-    return ranked.where(F.col("age") <= window).select("table", "token", "age")
-
-
-def _replay(window: int):
-    """Pass over the repeated tokens of each table in arrival order.
-
-    ``position`` counts every arrival of the table, so it also tells how many tokens
-    that appear only once were accepted in between. The state is the tokens accepted
-    within the window, never more than ``window`` of them.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, dropped, seen = object(), 0, OrderedDict()
-        for batch in batches:
-            out = []
-            for row_table, token, position in zip(batch["table"], batch["token"], batch["position"], strict=True):
-                if row_table != table:
-                    table, dropped, seen = row_table, 0, OrderedDict()
-                rank = position - dropped
-                while seen and rank - next(iter(seen.values())) > window:
-                    seen.popitem(last=False)
-                # rows before position 0 are the ledger's own, accepted whatever they are
-                if token in seen and position >= 0:
-                    dropped += 1
-                    out.append((row_table, token, position))
-                else:
-                    seen[token] = rank
-                    seen.move_to_end(token)
-            yield pd.DataFrame(out, columns=["table", "token", "position"])
-
-    return run
-
-
-def dedup(
-    arrivals: DataFrame,
-    ledger: DataFrame,
-    window: int = DEFAULT_WINDOW,
-    hot_rows: int = HOT_ROWS,
-    scratch: Scratch | None = None,
-    rows: int | None = None,
-) -> DataFrame:
-    """Add ``accepted``: false for a batch whose token is among the last ``window`` accepted tokens of its table.
-
-    ``arrivals`` holds one row per batch: ``table``, ``seq`` (arrival order) and
-    ``token``. A token is compared with the tokens accepted before its own arrival,
-    those of earlier rows of this call included, whatever the batch contains. A null
-    token or ``window=0`` switches the check off.
-
-    A token seen again no more than ``window`` arrivals after its first occurrence is
-    dropped for certain, a join. Only when some token comes back later than that can
-    it be accepted again; then the repeated tokens are passed over in order, because
-    each decision shifts the window for the next.
+    ranked = with_group_index(accepted, ["table"], [F.desc("seq")], "_newer", True, scratch)
+    return ranked.where(F.col("_newer") < window).select("table", "token", (F.col("_newer") + 1).cast("int").alias("age"))
+
+
+def _counted(arrivals: DataFrame, ledger: DataFrame, window: int | None, scratch: Scratch) -> DataFrame:
+    """The (table, token) pairs that arrivals are compared with."""
+    accepted = ledger.where((F.col("status") == ACCEPTED) & F.col("token").isNotNull())
+    if window is None:
+        return accepted.select("table", "token").distinct()
+    recent = recent_tokens(ledger, window, scratch).select("table", "token")
+    if "load_id" in arrivals.columns:
+        own = arrivals.select("table", "load_id").distinct()
+        recent = recent.unionByName(accepted.join(own, ["table", "load_id"], "left_semi").select("table", "token"))
+    return recent.distinct()
+
+
+def dedup(arrivals: DataFrame, ledger: DataFrame, window: int | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """Add ``accepted``: false for a batch whose token counts already.
+
+    ``arrivals`` holds one row per batch: ``table``, ``seq`` (arrival order), ``token`` and perhaps ``load_id``. A token is a
+    duplicate when the ledger counts it at the start of the call, or when it came earlier in the call, whatever the batch
+    contains. By default every accepted token of a table counts. A ``window`` leaves only the last so many of other loads;
+    those of a load that arrives again always count, so a load is never written twice. A null token or ``window=0``
+    switches the check off.
     """
-    if window < 0:
+    if window is not None and window < 0:
         raise ValueError("window must not be negative")
     if window == 0:
         return arrivals.withColumn("accepted", F.lit(True))
     scratch = scratch or Scratch(arrivals.sparkSession)
-    tokens = arrivals.where(F.col("token").isNotNull()).select("table", "seq", "token")
-    numbered = with_group_index(tokens, ["table"], ["seq"], "position", True, hot_rows, scratch, rows)
-    # the ledger's tokens arrived before position 0
-    recent = recent_tokens(ledger, window, hot_rows, scratch)
-    timeline = numbered.select("table", "token", "position").unionByName(
-        recent.select("table", "token", (-F.col("age")).cast("bigint").alias("position"))
-    )
-    seen = timeline.groupBy("table", "token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("position").alias("first"), F.max("position").alias("last")
-    )
-    repeated = scratch.keep(seen.where("n > 1"), "repeated-tokens")
-    widest = repeated.agg(F.max(F.col("last") - F.col("first"))).first()[0]
-    if widest is None:
-        return arrivals.withColumn("accepted", F.lit(True))
-    if widest <= window:
-        late = numbered.join(repeated.select("table", "token", "first"), ["table", "token"])
-        late = late.where(F.col("position") > F.col("first")).select("table", "position")
-    else:
-        again = timeline.join(repeated, ["table", "token"], "left_semi")
-        in_order = again.repartition("table").sortWithinPartitions("table", "position")
-        late = in_order.mapInPandas(_replay(window), "table string, token string, position bigint").select("table", "position")
-    dropped = numbered.join(late, ["table", "position"], "left_semi").select(
-        F.col("table").alias("_table"), F.col("seq").alias("_seq"), F.lit(False).alias("_ok")
-    )
-    match = (arrivals["table"] == dropped["_table"]) & (arrivals["seq"] == dropped["_seq"])
-    return arrivals.join(dropped, match, "left").select(
-        *[arrivals[c] for c in arrivals.columns], F.coalesce("_ok", F.lit(True)).alias("accepted")
-    )
+    first = arrivals.where(F.col("token").isNotNull()).groupBy("table", "token").agg(F.min("seq").alias("seq"))
+    new = first.join(_counted(arrivals, ledger, window, scratch), ["table", "token"], "left_anti")
+    new = new.select(F.col("table").alias("_table"), F.col("token").alias("_token"), F.col("seq").alias("_seq"))
+    match = (arrivals["table"] == new["_table"]) & (arrivals["token"] == new["_token"]) & (arrivals["seq"] == new["_seq"])
+    joined = arrivals.join(new, match, "left")
+    return joined.select(*[arrivals[c] for c in arrivals.columns], (F.col("token").isNull() | F.col("_seq").isNotNull()).alias("accepted"))
 
 
 def load_summary(batches: DataFrame) -> DataFrame:
@@ -166,10 +107,10 @@ def _first_known(causes: Column) -> Column:
     return F.try_element_at(known, F.lit(1))
 
 
-def retryable(causes: Column) -> Column:
+def retryable(causes: Column, codes: tuple[int, ...] = RETRYABLE_CODES) -> Column:
     """Whether a failure may pass on another attempt: the first server or network cause of the chain decides."""
     first = _first_known(causes)
-    by_code = F.coalesce(first.code.isin(*RETRYABLE_CODES), F.lit(False))
+    by_code = F.coalesce(first.code.isin(*codes), F.lit(False))
     return F.when(first.isNull(), False).when(first.kind == SERVER_KIND, by_code).otherwise(True)
 
 
@@ -200,10 +141,45 @@ def retry_select(pending: DataFrame, ledger: DataFrame, max_attempts: int = 10)
     """The pending rows whose load is due for another attempt under its old id and tokens.
 
     A load is due when its last ledger row asks for a retry and it had fewer than
-    ``max_attempts`` attempts.
+    ``max_attempts`` attempts. Pending rows with a ``table`` column are matched by table as well.
     """
-    state = ledger.groupBy("load_id").agg(
+    by = ["table", "load_id"] if "table" in pending.columns and "table" in ledger.columns else ["load_id"]
+    state = ledger.groupBy(*by).agg(
         F.max_by("status", "seq").alias("_last"), F.max("attempts").alias("_attempts")
     )
-    due = state.where((F.col("_last") == RETRY) & (F.col("_attempts") < max_attempts)).select("load_id")
-    return pending.join(due, "load_id", "left_semi")
+    due = state.where((F.col("_last") == RETRY) & (F.col("_attempts") < max_attempts)).select(*by)
+    return pending.join(due, by, "left_semi")
+
+
+def cause_chain(error: BaseException) -> list[tuple[str, int | None, str | None]]:
+    """(kind, code, message) of an exception and what caused it, outermost first; network failures get their kind."""
+    out: list[tuple[str, int | None, str | None]] = []
+    seen: set[int] = set()
+    while error is not None and id(error) not in seen and len(out) < 20:
+        seen.add(id(error))
+        java = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+        while java is not None and hasattr(java, "getCause") and len(out) < 20:
+            out.append((_kind(java.getClass().getSimpleName()), None, java.getMessage()))
+            java = java.getCause()
+        if not out or error.__cause__ is not None or not hasattr(error, "_origin"):
+            out.append((_kind(type(error).__name__), None, str(error) or None))
+        error = error.__cause__ or error.__context__
+    return out
+
+
+# Exception names that mean the network.
+_NETWORK_NAMES = {
+    "ConnectException": "connect", "NoRouteToHostException": "connect", "UnknownHostException": "connect", "ConnectionRefusedError": "connect",
+    "SocketException": "transport", "SocketTimeoutException": "transport", "TimeoutException": "transport", "TimeoutError": "transport",
+    "ConnectionResetError": "transport", "EOFException": "transfer", "ClosedChannelException": "transfer", "BrokenPipeError": "transfer",
+}
+
+
+def _kind(name: str) -> str:
+    return _NETWORK_NAMES.get(name, name)
+
+
+def retryable_chain(causes: list[tuple[str, int | None, str | None]], codes: tuple[int, ...] = RETRYABLE_CODES) -> bool:
+    """``retryable`` for a chain in hand."""
+    known = [(k, c) for k, c, _ in causes if k == SERVER_KIND or k in NETWORK_KINDS]
+    return bool(known) and (known[0][0] != SERVER_KIND or known[0][1] in codes)

@@ -11,26 +11,38 @@ from pyspark.sql import types as T
 
 from quayside.functions.convert import ERRORS, conform
 from quayside.operators import ledger as L
-from quayside.operators.align import default_column, insertable
+from quayside.operators.align import AlignmentError, default_column, insertable
 from quayside.operators.batches import MAX_ROWS, batch_token, base_token, cut_batches, token_error
-from quayside.operators.index import HOT_ROWS, with_group_index
+from quayside.operators.index import with_row_index
 from quayside.operators.route import UNITS, is_bad
 from quayside.plans.session import BROADCAST_ROWS, Scratch, hinted
 from quayside.plans.storage import Storage
 from quayside.types import ColumnSpec, storage_type
 
 COMMIT, LOAD, TOKEN = "_commit", "_load", "_token"
+# Calls with such an id put their files directly into the table's folder, the only place where Spark looks for a table's files.
+FLAT = "flat-"
+
+
+class RefusedError(RuntimeError):
+    """Rows could not be loaded and nobody takes them back; nothing was changed."""
 
 
 @dataclass
 class LoadResult:
-    """What one call did. ``rejected`` can be read until ``close()``."""
+    """What one call did.
+
+    ``rejected`` holds every row that was not loaded: with ``unit="row"`` the bad ones, else all rows of the refused
+    loads or batches, ``_errors`` empty on the good ones. ``bad_rows`` counts those with errors, ``rejected_rows`` all. It
+    can be read until ``close()``.
+    """
 
     rows_written: int
     inserts: int
     duplicate_inserts: int
     failed_loads: int
     rejected_rows: int
+    bad_rows: int
     rejected: DataFrame
     batches: DataFrame
     _scratch: Scratch
@@ -59,14 +71,15 @@ def load(
     order_by: list[str | Column] | None = None,
     max_rows: int = MAX_ROWS,
     token: str = "load_id",
-    window: int = L.DEFAULT_WINDOW,
+    window: int | None = None,
     unit: str = "load",
     table: str | None = None,
     local_zone: str = "UTC",
     typed: bool = True,
     unique: bool = False,
-    hot_rows: int = HOT_ROWS,
     commit: str | None = None,
+    reread: bool = False,
+    refuse: bool = False,
 ) -> LoadResult:
     """Load the rows of ``df`` into the Parquet folder ``path``.
 
@@ -78,9 +91,58 @@ def load(
     Data is written beside the target, then the ledger gets its rows, then the data
     folder is moved to ``path/_commit=<id>``. A crash before the ledger leaves nothing
     behind; after it, the next call (or ``recover``) finishes the move. A load run
-    again under its token writes nothing. Without a token every call adds its rows,
+    again under its token writes nothing, however many batches it has; when its id is its
+    token and the ledger knows it as done, its rows are not even read (``reread`` reads them
+    all the same, for their rejects). Without a token every call adds its rows,
     unless ``commit`` names the folder to replace. One writer per table.
+
+    All rows of a load must have the same token; a load with several fails. With ``refuse``
+    a row that cannot be loaded raises ``RefusedError`` before anything changes. A call that
+    fails adds a ledger row with its causes and the status ``retry`` or ``failed``.
+    """
+    try:
+        return _load(df, path, columns, ledger_path, load_id, order_by, max_rows, token, window, unit, table, local_zone, typed, unique, commit, reread, refuse)
+    except (AlignmentError, RefusedError, ValueError):
+        raise
+    except Exception as error:
+        _note_failure(df.sparkSession, path, ledger_path, load_id, table, error)
+        raise
+
+
+def load_table(df: DataFrame, table: str, ledger_path: str, **options) -> LoadResult:
+    """``load`` into a table by its name: its columns, types and defaults are read afresh, its location is the target.
+
+    Only for tables without partition columns; ``options`` are those of ``load``. A column added since the last load is
+    filled from then on, with its default where the records lack it. Statements on the table see the rows at once.
     """
+    from quayside.operators.statements import location, partition_columns, recover_table
+    from quayside.sources.readers import table_spec
+
+    spark = df.sparkSession
+    columns = table_spec(spark, table)
+    if partition_columns(spark, table):
+        raise ValueError(f"table {table} is partitioned; load into its folders with insert_select")
+    recover_table(spark, table)
+    done = load(df, location(spark, table), columns, ledger_path, table=table, commit=f"{FLAT}{uuid.uuid4().hex}", **options)
+    spark.catalog.refreshTable(table)
+    return done
+
+
+def _note_failure(spark: SparkSession, path: str, ledger_path: str, load_id: str, table: str | None, error: Exception) -> None:
+    """The ledger row of a call that failed; when even that cannot be written, the first error stands."""
+    causes = L.cause_chain(error)
+    status = L.RETRY if L.retryable_chain(causes) else L.FAILED
+    table = table or path.rstrip("/").rsplit("/", 1)[-1]
+    try:
+        last, tried = L.read_ledger(spark, ledger_path).where(F.col("table") == table).agg(F.max("seq"), F.max(F.when(F.col("load_id") == load_id, F.col("attempts")))).first()
+        row = (0 if last is None else last + 1, table, load_id, None, 0, 0, status, (tried or 0) + 1, [(k, c, (m or "")[:2000]) for k, c, m in causes], None)
+        noted = spark.createDataFrame([row], L.LEDGER_SCHEMA).withColumn("ts", F.current_timestamp())
+        L.append_ledger(noted, ledger_path.rstrip("/"))
+    except Exception as second:  # noqa: BLE001
+        error.add_note(f"the ledger could not be written either: {second}")
+
+
+def _load(df, path, columns, ledger_path, load_id, order_by, max_rows, token, window, unit, table, local_zone, typed, unique, commit, reread, refuse) -> LoadResult:
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}, not {unit!r}")
     path, ledger_path = path.rstrip("/"), ledger_path.rstrip("/")
@@ -95,37 +157,78 @@ def load(
     rows, chosen = _converted(df, columns, load_id, single, order_by or [], token, local_zone, typed, table)
     recover(spark, path, ledger_path)
     history = L.read_ledger(spark, ledger_path).where(F.col("table") == table)
+    if single and token == "load_id" and window != 0 and not reread:
+        if _finished(history, load_id):
+            return _replayed(rows.where(F.lit(False)), load_id, history, ledger_path, commit, scratch)
+    if refuse:
+        bad = rows.where(is_bad()).limit(1).collect()
+        if bad:
+            raise RefusedError(f"a row cannot be loaded: {'; '.join(bad[0][ERRORS])}")
     if single and unit != "prefix":
         result = _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, commit, scratch)
         if result is not None:
             return result
 
-    refused = rows.where(is_bad())
+    refused, bad = rows.where(F.lit(False)), 0
     if unit == "row":
-        refused = scratch.keep(refused, "refused")
-        rows = rows.where(~is_bad())
+        refused = scratch.keep(rows.where(is_bad()), "refused")
+        rows, bad = rows.where(~is_bad()), refused.count()
     # cut, and write the cut rows once: every later step reads them back
     by_load = None if single else LOAD
-    cut = cut_batches(rows, order_by if single else order_by or [], max_rows, by_load, unique=unique, hot_rows=hot_rows, scratch=scratch)
+    cut = cut_batches(rows, order_by if single else order_by or [], max_rows, by_load, unique=unique, scratch=scratch)
     if not single:
         cut = scratch.keep(cut, "cut")
-    if unit != "row":
-        refused = cut.where(is_bad())
     per_batch = cut.groupBy(F.col(LOAD).alias("load_id"), "batch_index").agg(
-        batch_token(F.first(TOKEN), F.col("batch_index")).alias("token"),
+        batch_token(F.min(TOKEN), F.col("batch_index")).alias("token"),
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.when(is_bad(), 1).otherwise(0)).alias("bad"),
+        F.min(TOKEN).alias("_low"),
+        F.max(TOKEN).alias("_high"),
     )
     per_batch = scratch.keep(per_batch, "batches")
-    batches = _judged(per_batch, per_batch.count(), history, table, unit, window, scratch)
+    # a load whose rows carry several tokens fails from its first batch on
+    mixed = per_batch.groupBy(F.col("load_id").alias("_mixed")).agg(F.min("_low").alias("a"), F.max("_high").alias("b")).where("a <> b").select("_mixed")
+    marked = per_batch.join(mixed, per_batch["load_id"].eqNullSafe(mixed["_mixed"]), "left")
+    per_batch = marked.withColumn("bad", F.when(F.col("_mixed").isNotNull() & (F.col("batch_index") == 0) & (F.col("bad") == 0), 1).otherwise(F.col("bad"))).drop("_mixed", "_low", "_high")
+    batches = _judged(per_batch, history, table, unit, window, scratch)
     sums = _sums(batches)
     if L.ACCEPTED in sums:
         held = _total(sums, "batches", L.DUPLICATE, L.FAILED)
         _accepted(cut, batches, held, chosen).write.mode("overwrite").parquet(_staging(path, commit))
     if sums:
         _publish(batches, path, ledger_path, commit, L.ACCEPTED in sums)
-    bad = refused.count() if unit == "row" else _total(sums, "bad", *sums)
-    return _result(batches, sums, refused, bad, scratch)
+    if unit != "row":
+        bad = _total(sums, "bad", *sums)
+        if L.FAILED in sums:
+            out = hinted(batches.where(F.col("status") == L.FAILED).select(F.col("load_id").alias("_l"), F.col("batch_index").alias("_b")), sums[L.FAILED]["batches"])
+            refused = cut.join(out, cut[LOAD].eqNullSafe(out["_l"]) & (cut["batch_index"] == out["_b"]), "left_semi").drop("batch_index")
+    handed = bad if unit == "row" else _total(sums, "rows", L.FAILED)
+    return _result(batches, sums, refused, bad, handed, scratch)
+
+
+def _finished(history: DataFrame, load_id: str) -> bool:
+    """Whether the ledger says that a load went in whole under its own id."""
+    mine = history.where(F.col("load_id") == load_id)
+    found = mine.withColumnRenamed("batches", "known").agg(
+        F.max_by("status", "seq").alias("last"), F.sum(F.when(F.col("status") == L.ACCEPTED, 1)).alias("batches"), F.count(F.when(F.col("status") == L.FAILED, 1)).alias("failed"),
+        F.count(F.when((F.col("status") == L.ACCEPTED) & (F.col("token") != batch_token(F.lit(load_id), F.col("batch_index"))), 1)).alias("other"),
+        F.max(F.when(F.col("status") == L.ACCEPTED, F.col("known"))).alias("known"),
+    ).first()
+    accepted = found["last"] in (L.ACCEPTED, L.DUPLICATE) and bool(found["batches"])
+    return accepted and not found["other"] and not found["failed"] and found["known"] == found["batches"]
+
+
+def _replayed(nothing: DataFrame, load_id: str, history: DataFrame, ledger_path: str, commit: str, scratch: Scratch) -> LoadResult:
+    """A load that is known as done: its accepted batches once more, as duplicates."""
+    last, tried = history.agg(F.max("seq"), F.max(F.when(F.col("load_id") == load_id, F.col("attempts")))).first()
+    mine = history.where((F.col("load_id") == load_id) & (F.col("status") == L.ACCEPTED))
+    again = mine.select(
+        (F.lit(last + 1) + F.col("batch_index")).alias("seq"), "table", "load_id", "token", "batch_index", "rows", F.lit(0).cast("bigint").alias("bad"),
+        F.lit(L.DUPLICATE).alias("status"), F.lit(tried + 1).alias("attempts"), F.col("load_id").alias("load_key"), "batches",
+    )
+    batches = scratch.keep(again, "batches")
+    _record(batches, ledger_path, commit)
+    return _result(batches, _sums(batches), nothing, 0, 0, scratch)
 
 
 def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows, token, window, unit, commit, scratch) -> LoadResult | None:
@@ -137,35 +240,40 @@ def _load_one(rows, chosen, path, ledger_path, history, table, load_id, max_rows
     """
     spark, staging = rows.sparkSession, _staging(path, commit)
     seen = Observation()
-    counted = rows.observe(seen, F.sum(F.when(is_bad(), 1).otherwise(0)).alias("bad"))
+    counted = rows.observe(seen, F.sum(F.when(is_bad(), 1).otherwise(0)).alias("bad"), F.min(TOKEN).alias("low"), F.max(TOKEN).alias("high"))
     good = counted.where(~is_bad()).select(*[F.col(f"`{s.name}`") for s in chosen])
     wanted = False
     try:
         good.write.mode("overwrite").parquet(staging)
-        refused = rows.where(is_bad())
-        bad = 0
-        if seen.get["bad"]:
+        found = seen.get
+        mixed = found["low"] != found["high"]
+        refused, bad, handed = rows.where(F.lit(False)), 0, 0
+        if found["bad"] or mixed:
+            refused = rows.where(is_bad()) if unit == "row" and not mixed else rows
+            if mixed:
+                refused = refused.withColumn(ERRORS, F.array_append(ERRORS, F.lit(f"the rows of load '{load_id}' carry several tokens")))
             refused = scratch.keep(refused, "refused")
-            bad = refused.count()
-        total = spark.read.schema(good.schema).parquet(staging).count() + (bad if unit == "load" else 0)
+            handed, bad = refused.agg(F.count(F.lit(1)), F.count(F.when(is_bad(), 1))).first()
+        whole = unit == "load"
+        total = spark.read.schema(good.schema).parquet(staging).count() + ((found["bad"] or 0) if whole else 0)
         n = -(-total // max_rows)
-        base = load_id if token == "load_id" else rows.select(TOKEN).first()[0] if token != "none" and n else None
+        base = load_id if token == "load_id" else found["low"] if token != "none" else None
         index = F.col("id")
         per_batch = spark.range(0, n, 1, max(1, n // BROADCAST_ROWS)).select(
             F.lit(load_id).alias("load_id"),
             index.alias("batch_index"),
             batch_token(F.lit(base).cast("string"), index).alias("token"),
             F.least(F.lit(max_rows), F.lit(total) - index * max_rows).cast("bigint").alias("rows"),
-            F.when(index == 0, bad if unit == "load" else 0).otherwise(0).cast("bigint").alias("bad"),
+            F.when(index == 0, bad if whole or mixed else 0).otherwise(0).cast("bigint").alias("bad"),
         )
-        batches = _judged(per_batch, n, history, table, "load", window, scratch, once=True)
+        batches = _judged(per_batch, history, table, "load", window, scratch, once=True)
         sums = _sums(batches)
         if len(sums) > 1:
             return None
         wanted = L.ACCEPTED in sums
         if sums:
-            _publish(batches, path, ledger_path, commit, wanted)
-        return _result(batches, sums, refused, bad, scratch)
+            _publish(batches.withColumn("batches", F.lit(n).cast("bigint")), path, ledger_path, commit, wanted)
+        return _result(batches, sums, refused, bad, handed, scratch)
     finally:
         if not wanted:
             Storage(spark).delete(staging)
@@ -184,6 +292,13 @@ def _publish(batches: DataFrame, path: str, ledger_path: str, commit: str, data:
 
 def _show(spark: SparkSession, path: str, commit: str) -> None:
     files, folder = Storage(spark), f"{path}/{COMMIT}={commit}"
+    if commit.startswith(FLAT):  # file by file; what a lost driver left over, ``recover`` moves
+        staging = _staging(path, commit)
+        for name in files.children(staging):
+            if name.endswith(".parquet"):
+                files.move(f"{staging}/{name}", f"{path}/{commit}-{name}")
+        files.delete(staging)
+        return
     files.delete(folder)
     files.move(_staging(path, commit), folder)
 
@@ -215,13 +330,14 @@ def _total(sums: dict, field: str, *statuses: str) -> int:
     return sum(sums[s][field] for s in statuses if s in sums)
 
 
-def _result(batches: DataFrame, sums: dict, refused: DataFrame, bad: int, scratch: Scratch) -> LoadResult:
+def _result(batches: DataFrame, sums: dict, refused: DataFrame, bad: int, handed: int, scratch: Scratch) -> LoadResult:
     return LoadResult(
         rows_written=_total(sums, "rows", L.ACCEPTED, L.DUPLICATE),
         inserts=_total(sums, "batches", L.ACCEPTED, L.DUPLICATE),
         duplicate_inserts=_total(sums, "batches", L.DUPLICATE),
         failed_loads=_total(sums, "loads", L.FAILED),
-        rejected_rows=bad,
+        rejected_rows=handed,
+        bad_rows=bad,
         rejected=refused.drop(TOKEN).withColumnRenamed(LOAD, "load_id"),
         batches=batches.drop("load_key"),
         _scratch=scratch,
@@ -248,13 +364,14 @@ def _converted(df, columns, load_id, single, order_by, token, zone, typed, table
     return rows, chosen
 
 
-def _judged(per_batch: DataFrame, rows: int, history: DataFrame, table: str, unit: str, window: int, scratch: Scratch, once: bool = False) -> DataFrame:
+def _judged(per_batch: DataFrame, history: DataFrame, table: str, unit: str, window: int | None, scratch: Scratch, once: bool = False) -> DataFrame:
     """The batches with their sequence number and status."""
     last = history.agg(F.max("seq")).first()[0]
     if last is None and once:
         window = 0  # nothing loaded yet and no token twice
     per_batch = per_batch.withColumn("table", F.lit(table))
-    in_order = with_group_index(per_batch, ["table"], ["load_id", "batch_index"], "seq", unique=True, scratch=scratch, rows=rows)
+    # one load's batches are numbered already
+    in_order = per_batch.withColumn("seq", F.col("batch_index")) if once else with_row_index(per_batch, ["load_id", "batch_index"], "seq", unique=True, scratch=scratch)
     arrivals = in_order.withColumn("seq", F.col("seq") + F.lit(0 if last is None else last + 1)).withColumn("attempts", F.lit(1))
     if last is not None:
         tried = history.groupBy(F.col("load_id").alias("_tried")).agg(F.max("attempts").alias("_times"))
@@ -266,7 +383,7 @@ def _judged(per_batch: DataFrame, rows: int, history: DataFrame, table: str, uni
     arrivals = arrivals.join(fails, arrivals["load_id"].eqNullSafe(fails["_failed"]), "left")
     arrivals = arrivals.withColumn("blocked", late).drop("_failed", "first_bad")
 
-    checked = L.dedup(arrivals.where(~F.col("blocked")), history, window, scratch=scratch, rows=rows)
+    checked = L.dedup(arrivals.where(~F.col("blocked")), history, window, scratch=scratch)
     passed = checked.withColumn("status", F.when(F.col("accepted"), L.ACCEPTED).otherwise(L.DUPLICATE)).drop("accepted")
     failed = arrivals.where("blocked").withColumn("status", F.lit(L.FAILED))
     judged = passed.unionByName(failed).drop("blocked").withColumn("load_key", F.coalesce("load_id", F.lit("")))

@@ -36,7 +36,8 @@ def run_queries(
     ``sql`` is the column with the query, or the query itself when the control frame
     has no such column; ``args`` are the columns bound to its parameters, ``keep`` the
     columns copied to every result row. Rows without a query are rejected and start
-    nothing. The control frame comes back with a ``query_id`` per row.
+    nothing; a query that fails to compile rejects its row with the error while the others go on. The control frame
+    comes back with a ``query_id`` per row that ran.
 
     This is for control frames one would run by hand: each row adds a branch to the
     plan. When only a key varies use ``run_per_key``, which is one join.
@@ -44,18 +45,25 @@ def run_queries(
     per_row = sql in control.columns
     text = F.col(f"`{sql}`") if per_row else F.lit(sql)
     blank = text.isNull() | text.rlike(r"^\s*$")
-    results, marked = [], []
-    names = list(dict.fromkeys([*(args or []), *(keep or [])]))
+    results, marked, failed = [], [], []
+    for name in [*(args or []), *(keep or [])]:
+        if name not in control.columns:
+            raise QueryError(f"the control frame has no column '{name}'")
     for row in control.where(~blank).toLocalIterator():
-        result = run_query(spark, row[sql] if per_row else sql, {a: row[a] for a in args or []})
+        try:
+            result = run_query(spark, row[sql] if per_row else sql, {a: row[a] for a in args or []})
+        except Exception as error:  # noqa: BLE001
+            failed.append((*row, str(error).split("\n")[0][:1000]))
+            continue
         tags = [F.lit(row[k]).cast(control.schema[k].dataType).alias(k) for k in keep or []]
         query_id = uuid.uuid4().hex
         results.append(result.select(*tags, *[F.col(f"`{c}`") for c in result.columns]))
         marked.append((*row, query_id))
     rejected = control.where(blank).withColumn("error", F.lit("no SQL query"))
+    if failed:
+        rejected = rejected.unionByName(spark.createDataFrame(failed, rejected.schema))
     schema = control.select(*control.columns, F.lit("").alias("query_id")).schema
     ran = spark.createDataFrame(marked, schema)
-    assert all(n in control.columns for n in names)
     return (reduce(DataFrame.unionByName, results) if results else None), rejected, ran
 
 

@@ -2,8 +2,9 @@
 
 Parquet tables refuse DELETE and UPDATE, so those rewrite. Only the folders that hold
 matching rows are rewritten (a partition each, or the whole table when it has none);
-the new files are written aside and counted before the folders are exchanged. One
-writer per table.
+the new files are written aside and counted before the folders are exchanged. The old
+folders go only when the new ones can be read in their place; what a lost driver left
+half done is undone by the next statement on the table. One writer per table.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import json
 import time
 import uuid
 from dataclasses import dataclass
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -134,60 +135,118 @@ def _plain(path: str) -> str:
     return path.removeprefix("file:").replace("///", "/")
 
 
-def _exchange(spark: SparkSession, table: str, at: str, staged: str, folders: list[str]) -> None:
-    """Put staged folders in the place of live ones; on an error put the old ones back."""
-    files, aside = Storage(spark), f"{at}__before-{uuid.uuid4().hex}"
-    root, done = _plain(at), []
+_BEFORE, _DONE = "__before-", "__done-"
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Undo an exchange that a lost driver left half done, and remove what a finished one left."""
+    files, at = Storage(spark), location(spark, table)
+    parent, _, name = at.rpartition("/")
+    for sibling in files.children(parent):
+        if sibling.startswith(f"{name}{_DONE}"):
+            files.delete(f"{parent}/{sibling}")
+        elif sibling.startswith(f"{name}{_BEFORE}"):
+            aside = f"{parent}/{sibling}"
+            for part in files.children(f"{aside}/_parts"):
+                _restore(files, at, aside, unquote(part.removeprefix("part=")))
+            files.delete(aside)
+            spark.catalog.refreshTable(table)
+
+
+def _restore(files: Storage, at: str, aside: str, part: str) -> None:
+    """Put one old folder back, if it was moved."""
+    live, old = f"{at}/{part}".rstrip("/"), f"{aside}/old/{part}".rstrip("/")
+    if files.exists(old):
+        files.delete(live)
+        files.move(old, live)
+
+
+def _exchange(spark: SparkSession, table: str, at: str, staged: str, folders: list[str], rows: int, schema) -> None:
+    """Put staged folders in the place of live ones and read them there; on an error put the old ones back."""
+    files, call = Storage(spark), uuid.uuid4().hex
+    aside, root = f"{at}{_BEFORE}{call}", _plain(at)
+    parts = [_plain(folder).removeprefix(root).strip("/") for folder in folders]
+    for part in parts:  # what recover_table has to look at
+        files.make_dirs(f"{aside}/_parts/part={quote(part, safe='')}")
+    gone = False
     try:
-        for folder in folders:
-            part = _plain(folder).removeprefix(root).strip("/")
-            live, old, new = (f"{p}/{part}".rstrip("/") for p in (at, aside, staged))
+        for part in parts:
+            live, old, new = (f"{p}/{part}".rstrip("/") for p in (at, f"{aside}/old", staged))
             files.move(live, old)
-            done.append((live, old))
             if files.exists(new):
                 files.move(new, live)
             elif not part:
                 files.make_dirs(live)
+            else:
+                gone = True
+        places = [p for p in (f"{at}/{part}".rstrip("/") for part in parts) if files.exists(p)]
+        readable = spark.read.schema(schema).option("basePath", at).parquet(*places).count() if places else 0
+        if readable != rows:
+            raise StatementError(f"{readable} rows of {table} could be read in place of {rows}; nothing was changed")
     except BaseException:
-        for live, old in done:
-            files.delete(live)
-            files.move(old, live)
+        for part in parts:
+            _restore(files, at, aside, part)
+        files.delete(aside)
         raise
-    files.delete(aside)
-    if any(not files.exists(live) for live, _ in done):
+    files.move(aside, f"{at}{_DONE}{call}")
+    files.delete(f"{at}{_DONE}{call}")
+    if gone:
         spark.sql("MSCK REPAIR TABLE IDENTIFIER(:t) SYNC PARTITIONS", args={"t": table})
     spark.catalog.refreshTable(table)
 
 
-def _rewrite(spark: SparkSession, table: str, matching: Column, change, gone: bool) -> Summary:
-    """Rewrite the folders with matching rows through ``change``; ``gone`` tells whether matching rows disappear."""
+def _refuse_random(rows: DataFrame, predicate: Column) -> None:
+    """A predicate that differs from one reading to the next would delete other rows than it counted."""
+    if not rows.where(predicate)._jdf.queryExecution().analyzed().deterministic():
+        raise StatementError("the predicate is not deterministic")
+
+
+def _rewrite(spark: SparkSession, table: str, matching: Column, change, gone: bool, before_exchange=None) -> Summary:
+    """Rewrite the folders with matching rows through ``change``; ``gone`` tells whether matching rows disappear.
+
+    The predicate is evaluated once per row, into a column of a copy; all counts and both sides come from that copy.
+    ``before_exchange`` gets the matching rows before anything is changed.
+    """
+    recover_table(spark, table)
     files, scratch, at = Storage(spark), Scratch(spark), location(spark, table)
     parts = partition_columns(spark, table)
     with _Clock() as summary:
         live = spark.table(table)
-        folders = _folders(live.where(matching))
-        if not folders:
-            return summary
-        # only the touched folders are read, only they are written
-        rows = spark.read.schema(live.schema).option("basePath", at).parquet(*folders).select(*live.columns)
+        _refuse_random(live, matching)
         hit = F.coalesce(matching, F.lit(False))
-        seen = Observation()
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(hit, 1)).alias("hits"))
-        staged = scratch.path("rewrite")
         try:
-            change(counted, hit).write.partitionBy(*parts).parquet(staged)
+            if parts:
+                folders = _folders(live.where(matching))
+                # only the touched folders are read, only they are written
+                rows = spark.read.schema(live.schema).option("basePath", at).parquet(*folders).select(*live.columns) if folders else None
+            else:
+                folders, rows = [at], live
+            if rows is None:
+                return summary
+            marked = scratch.keep(rows.withColumn(_HIT, hit), "marked") if before_exchange else rows.withColumn(_HIT, hit)
+            seen = Observation()
+            counted = marked.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col(_HIT), 1)).alias("hits"))
+            staged = scratch.path("rewrite")
+            change(counted, F.col(_HIT)).drop(_HIT).write.partitionBy(*parts).parquet(staged)
             before, hits = seen.get["rows"], seen.get["hits"]
+            if not hits:
+                return summary
             after = spark.read.schema(live.schema).option("basePath", staged).parquet(staged).count()
             if after != before - (hits if gone else 0):
                 raise StatementError(f"rewriting {table} gave {after} rows out of {before} with {hits} matching; nothing was changed")
             summary.read_rows, summary.written_rows, summary.result_rows = before, after, hits
             summary.written_bytes = files.size(staged)
-            _exchange(spark, table, at, staged, folders)
+            if before_exchange:
+                before_exchange(marked.where(F.col(_HIT)).drop(_HIT))
+            _exchange(spark, table, at, staged, folders, after, live.schema)
         finally:
             scratch.clear()
     return summary
 
 
+_HIT = "__hit"
+
+
 def delete_where(spark: SparkSession, table: str, predicate: str) -> Summary:
     """Delete the rows for which ``predicate`` is true; ``result_rows`` says how many."""
     return _rewrite(spark, table, F.expr(_require(predicate)), lambda rows, hit: rows.where(~hit), gone=True)
@@ -227,13 +286,16 @@ def compact(spark: SparkSession, table: str, order_by: list[str], files: int) ->
 def archive_move(spark: SparkSession, source: str, target: str, predicate: str) -> Summary:
     """Move matching rows from one table to another: insert them, check the count, delete them.
 
-    Stopped in between, the rows are in both tables, never in none.
+    Which rows match is settled once, in a copy of the touched folders, so ``now()`` means one moment. Stopped in
+    between, the rows are in both tables, never in none.
     """
-    hit = F.expr(_require(predicate))
+    moved = Summary()
+
+    def insert(rows: DataFrame) -> None:
+        _append(spark, target, rows, moved)
+
     with _Clock() as summary:
-        moved = Summary()
-        _append(spark, target, spark.table(source).where(hit), moved)
-        deleted = delete_where(spark, source, predicate)
+        deleted = _rewrite(spark, source, F.expr(_require(predicate)), lambda rows, hit: rows.where(~hit), gone=True, before_exchange=insert)
         if deleted.result_rows != moved.written_rows:
             raise StatementError(f"{moved.written_rows} rows were archived but {deleted.result_rows} deleted")
         summary.read_rows, summary.written_rows, summary.result_rows = deleted.read_rows, moved.written_rows, deleted.result_rows
@@ -241,10 +303,13 @@ def archive_move(spark: SparkSession, source: str, target: str, predicate: str)
 
 
 def add_columns(spark: SparkSession, table: str, columns: list[ColumnSpec]) -> Summary:
-    """ALTER TABLE ADD COLUMNS; rows already there read as null in the new ones."""
+    """ALTER TABLE ADD COLUMNS; rows already there read as null in the new ones, later ones take the columns' defaults."""
     known = [{"name": s.name, "type": s.type_text, "computed": s.computed} for s in [*table_spec(spark, table), *columns]]
     added = ", ".join(f"`{s.name}` {storage_type(s.type).simpleString()}" for s in columns)
     summary = run(spark, f"ALTER TABLE IDENTIFIER(:t) ADD COLUMNS ({added})", {"t": table})
+    for s in columns:
+        if s.default:
+            spark.sql(f"ALTER TABLE IDENTIFIER(:t) ALTER COLUMN `{s.name}` SET DEFAULT {s.default}", args={"t": table})
     quoted = json.dumps(known).replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET TBLPROPERTIES ('{TYPES_PROPERTY}' = '{quoted}')", args={"t": table})
     return summary

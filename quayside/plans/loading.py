@@ -8,13 +8,14 @@ from pyspark.sql import types as T
 from quayside.functions.convert import ERRORS, conform
 from quayside.operators import ledger as L
 from quayside.operators.batches import batch_token, base_token, cut_batches, token_error
-from quayside.operators.load import load, read_target
+from quayside.operators import statements as S
+from quayside.operators.load import load, load_table, read_target
 from quayside.operators.route import route
 from quayside.plans.session import Scratch
 from quayside.plans.tables import Registry, table
 from quayside.sources.readers import pull_increment, read_checked, read_json_strict, read_records
 from quayside.streaming.stream import drop_replayed, stream_load
-from quayside.types import spec
+from quayside.types import ColumnSpec, spec
 
 registry = Registry()
 
@@ -131,9 +132,9 @@ def batch_cut(spark, sf_dir):
     FROM numbered GROUP BY l_suppkey, i // 50
 """)
 def batch_cut_by_load(spark, sf_dir):
-    """K1, K2: many loads, each cut on its own. The low threshold sends the big loads through the split path."""
+    """K1, K2: many loads, each cut on its own."""
     lines = table(spark, sf_dir, "lineitem").withColumn("load_id", F.col("l_suppkey").cast("string"))
-    cut = cut_batches(lines, LINE_ORDER, 50, "load_id", "load_id", hot_rows=600)
+    cut = cut_batches(lines, LINE_ORDER, 50, "load_id", "load_id")
     return cut.groupBy("load_id", "batch_index", "batch_token").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orders"))
 
 
@@ -157,7 +158,7 @@ def _bad_lines(spark, sf_dir):
     rows = conform(lines, spec(("amount", "Decimal(9, 2)")), keep=[*keep, "sort_quantity"])
     order = [c if c != "l_quantity" else "sort_quantity" for c in LINE_ORDER]
     # both sides and the search for bad rows read the cut rows back
-    return Scratch(spark).keep(cut_batches(rows.withColumn("load_id", F.col("l_suppkey")), order, 50, "load_id", hot_rows=600), "cut")
+    return Scratch(spark).keep(cut_batches(rows.withColumn("load_id", F.col("l_suppkey")), order, 50, "load_id"), "cut")
 
 
 _BAD_CTE = f"""
@@ -248,13 +249,22 @@ def dedup_window(spark, sf_dir):
     FROM arrivals LEFT JOIN known k USING (tab, token)
 """)
 def dedup_ledger(spark, sf_dir):
-    """K4: replayed tokens dropped, under a window nothing falls out of."""
-    return L.dedup(_arrivals(spark, sf_dir), _history(spark, sf_dir), window=100_000_000)
+    """K4: replayed tokens dropped."""
+    return L.dedup(_arrivals(spark, sf_dir), _history(spark, sf_dir))
 
 
-@registry.add()
+@registry.add(f"""
+    WITH arrivals AS (
+        SELECT event_type AS tab, event_id AS seq, 't' || user_id AS token,
+               row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) AS nth FROM events),
+    known AS (
+        SELECT DISTINCT tab, token FROM (
+            SELECT tab, token, row_number() OVER (PARTITION BY tab ORDER BY seq DESC) AS age FROM ({_HISTORY_SQL})) WHERE age <= 40)
+    SELECT tab AS "table", seq, token, nth = 1 AND k.token IS NULL AS accepted
+    FROM arrivals LEFT JOIN known k USING (tab, token)
+""")
 def dedup_replay(spark, sf_dir):
-    """K5: the same under a window of 40 accepted tokens, which moves as batches arrive."""
+    """K5: the same when only the 40 newest accepted tokens of a table count."""
     return L.dedup(_arrivals(spark, sf_dir), _history(spark, sf_dir), window=40)
 
 
@@ -273,7 +283,7 @@ def load_summary(spark, sf_dir):
         F.col("event_id").cast("string").alias("event_id"), "ts", "user_id", "event_type", F.col("value").cast("string").alias("value"),
     )
     for _ in range(2):
-        load(events, path, target, book, order_by=["event_id"], max_rows=20, window=10_000_000).close()
+        load(events, path, target, book, order_by=["event_id"], max_rows=20).close()
     written = read_target(spark, path, target).withColumn("load_id", F.concat(F.lit("user-"), F.col("user_id").cast("string")))
     present = written.groupBy("load_id").agg(F.count(F.lit(1)).alias("rows_in_table"), F.sum(F.col("event_id").cast("bigint")).alias("ids"))
     return L.load_summary(L.read_ledger(spark, book)).join(present, "load_id")
@@ -381,3 +391,89 @@ def stream_drop_replayed(spark, sf_dir):
     query = once.writeStream.format("parquet").option("path", path).option("checkpointLocation", scratch.path("checkpoint")).trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(events.schema).parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@registry.add("""
+    SELECT 'accepted' AS side, count(*) AS n, 0::BIGINT AS bad FROM events WHERE event_id % 101 <> 7
+    UNION ALL SELECT 'rejected', count(*), count(*) FROM events WHERE event_id % 101 = 7
+""")
+def stream_rejects(spark, sf_dir):
+    """A stream with planted bad rows, in the default unit: what was loaded and what was handed back make up the input."""
+    scratch = Scratch(spark)
+    inbox, path, back = scratch.path("inbox"), scratch.path("target"), scratch.path("rejected")
+    user = F.when(F.col("event_id") % 101 == 7, F.lit("nobody")).otherwise(F.col("user_id").cast("string"))
+    events = table(spark, sf_dir, "events").select("event_id", user.alias("user_id"))
+    events.repartition(3, "event_id").write.parquet(inbox)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    target = spec(("event_id", "Int64"), ("user_id", "UInt32"))
+    stream_load(stream, path, target, scratch.path("ledger"), scratch.path("checkpoint"), "events", rejected_path=back).awaitTermination()
+    sides = read_target(spark, path, target).select(F.lit("accepted").alias("side"), F.lit(0).alias("bad"))
+    sides = sides.unionByName(spark.read.parquet(back).select(F.lit("rejected").alias("side"), (F.size(ERRORS) > 0).cast("int").alias("bad")))
+    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+
+
+@registry.add("""
+    SELECT count(*) AS n, sum(event_id)::BIGINT AS ids, ceil(count(*) / 20)::BIGINT AS inserts, ceil(count(*) / 20)::BIGINT AS duplicates FROM events
+""")
+def load_replay_many_batches(spark, sf_dir):
+    """K4, K5: one load of more batches than a table's usual window, twice; the second adds nothing."""
+    scratch = Scratch(spark)
+    path, book = scratch.path("target"), scratch.path("ledger")
+    target = spec(("event_id", "UInt64"), ("user_id", "UInt32"))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    for _ in range(2):
+        done = load(events, path, target, book, load_id="all", max_rows=20)
+        done.close()
+    return read_target(spark, path, target).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("event_id").cast("bigint")).alias("ids")).select(
+        "n", "ids", F.lit(done.inserts).cast("bigint").alias("inserts"), F.lit(done.duplicate_inserts).cast("bigint").alias("duplicates")
+    )
+
+
+@registry.add("""
+    SELECT step, n, ids FROM (
+        SELECT 1 AS step, count(*) AS n, sum(o_orderkey)::BIGINT AS ids FROM orders
+        UNION ALL SELECT 2, count(*), sum(o_orderkey)::BIGINT FROM orders WHERE o_orderkey % 3 <> 1
+        UNION ALL SELECT 3, count(*), sum(o_orderkey)::BIGINT FROM orders WHERE o_orderkey % 3 <> 1 AND o_orderkey % 5 = 2)
+""")
+def table_life(spark, sf_dir):
+    """Create, load by name (twice under one id), delete, add a column with a default, update, count."""
+    scratch = Scratch(spark)
+    name, book = f"life_{scratch.root[-32:]}", scratch.path("ledger")
+    S.create_table(spark, name, [ColumnSpec("o_orderkey", "UInt32"), ColumnSpec("note", "String", default="'none'")], path=scratch.path("table"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"))
+    for _ in range(2):
+        load_table(orders, name, book, load_id="orders").close()
+    rows = lambda step, df: df.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").cast("bigint").alias("ids")).select(F.lit(step).alias("step"), "n", "ids")
+    one = scratch.keep(rows(1, spark.table(name).where("note = 'none'")), "one")
+    S.delete_where(spark, name, "o_orderkey % 3 = 1")
+    two = scratch.keep(rows(2, spark.table(name)), "two")
+    S.add_columns(spark, name, [ColumnSpec("mark", "Int32", default="1")])
+    S.update_where(spark, name, "o_orderkey % 5 = 2", {"mark": "2"})
+    three = scratch.keep(rows(3, spark.table(name).where("mark = 2")), "three")
+    S.drop(spark, name)
+    return one.unionByName(two).unionByName(three)
+
+
+@registry.add("""
+    SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+""")
+def csv_headers(spark, sf_dir):
+    """Two files with the same fields in another order, read by name."""
+    path = Scratch(spark).path("csv")
+    orders = table(spark, sf_dir, "orders")
+    for k, order in enumerate((["o_orderkey", "o_custkey", "o_orderpriority"], ["o_orderpriority", "o_custkey", "o_orderkey"])):
+        orders.where(F.col("o_orderkey") % 2 == k).select(*order).coalesce(1).write.mode("append").option("header", True).csv(path)
+    records = read_records(spark, path, "csv", by_header=True)
+    return conform(records, spec(("o_orderkey", "Int64"), ("o_custkey", "Int64"), ("o_orderpriority", "String"))).drop(ERRORS).select("o_orderkey", "o_custkey", "o_orderpriority")
+
+
+@registry.add("""
+    SELECT o_orderkey, 'say "' || o_orderpriority || '", he' || chr(10) || 'said' AS words FROM orders
+""")
+def csv_quotes(spark, sf_dir):
+    """Doubled quotes, commas and line breaks inside quotes."""
+    path = Scratch(spark).path("csv")
+    words = F.concat(F.lit('say "'), F.col("o_orderpriority"), F.lit('", he\nsaid'))
+    table(spark, sf_dir, "orders").select("o_orderkey", words.alias("words")).write.option("header", True).option("escape", '"').csv(path)
+    records = read_records(spark, path, "csv", multi_line=True)
+    return conform(records, spec(("o_orderkey", "Int64"), ("words", "String"))).drop(ERRORS)

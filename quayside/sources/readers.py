@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.convert import ERRORS, raw_shape
-from quayside.functions.jsontext import unknown_fields
+from quayside.functions.jsontext import unknown_fields, unknown_in
 from quayside.functions.normalize import type_text
 from quayside.types import ColumnSpec
 
@@ -23,10 +24,23 @@ def raw_schema(columns: list[ColumnSpec]) -> T.StructType:
     return T.StructType([T.StructField(s.name, raw_shape(s.type)) for s in columns if not s.computed])
 
 
-def read_records(spark: SparkSession, path: str | list[str], fmt: str, columns: list[ColumnSpec] | None = None, **options) -> DataFrame:
+def _by_header(spark: SparkSession, path: str | list[str], read) -> DataFrame:
+    """Files read under their own header lines, columns matched by name; those a file lacks are null there."""
+    line = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    first = line.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = sorted((r["header"], sorted(r["files"])) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect())
+    frames = [read(files) for _, files in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else read(path)
+
+
+def read_records(
+    spark: SparkSession, path: str | list[str], fmt: str, columns: list[ColumnSpec] | None = None, by_header: bool = False, multi_line: bool = False, **options
+) -> DataFrame:
     """Records of a file or folder.
 
-    CSV takes its field names from the header and keeps every value as text. JSON
+    CSV takes its field names from the header and keeps every value as text; a quote inside quotes is doubled. A file
+    whose header differs from the first one's is an error; with ``by_header`` each file is read under its own, at the
+    price of one more pass. ``multi_line`` allows line breaks inside quotes, which keeps a file in one task. JSON
     lines keep scalars as text too; with ``columns`` Spark needs no pass over the
     data to find the fields. Parquet, ORC and Avro bring their own types.
     """
@@ -34,7 +48,8 @@ def read_records(spark: SparkSession, path: str | list[str], fmt: str, columns:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     reader = spark.read.options(**options)
     if fmt == "csv":
-        return reader.option("header", options.get("header", True)).csv(path)
+        reader = reader.options(**{"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False} | options)
+        return _by_header(spark, path, reader.csv) if by_header else reader.csv(path)
     if fmt == "json":
         if columns is not None:
             return reader.schema(raw_schema(columns)).json(path)
@@ -65,6 +80,9 @@ def read_json_strict(df: DataFrame, column: str, columns: list[ColumnSpec], keep
     text = F.col(f"`{column}`")
     schema = raw_schema(columns)
     unknown = unknown_fields(text, schema.fieldNames())
+    for s in columns:  # and of the tuples below the top level
+        if not s.computed:
+            unknown = F.concat(unknown, unknown_in(F.get_json_object(text, f"$['{s.name}']"), s.type, s.name))
     errors = (
         F.when(unknown.isNull(), F.array(F.lit("the text is not a JSON object")))
         .when(F.size(unknown) > 0, F.transform(unknown, lambda k: F.concat(F.lit("unknown field '"), k, F.lit("'"))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
 
@@ -11,7 +12,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside.functions.convert import ERRORS
 from quayside.operators.batches import MAX_ROWS
-from quayside.operators.ledger import DEFAULT_WINDOW
 from quayside.operators.load import LoadResult, load
 from quayside.types import ColumnSpec
 
@@ -36,8 +36,8 @@ def stream_load(
     trigger: dict | None = None,
     buffer: str | None = None,
     token: str = "load_id",
-    window: int = DEFAULT_WINDOW,
-    unit: str = "load",
+    window: int | None = None,
+    unit: str = "row",
     order_by: list[str | Column] | None = None,
     rejected_path: str | None = None,
     local_zone: str = "UTC",
@@ -46,12 +46,17 @@ def stream_load(
 ) -> StreamingQuery:
     """Load a stream into ``path``; a micro-batch run again after a crash writes nothing twice.
 
-    Its load id and token are ``<name>-<batch id>``, so ``name`` must stay the same
-    over restarts. It becomes part of folder names: letters, digits, ``-`` and ``_``.
+    Its load id and token are ``<name>-<query id>-<batch id>``; the query id is the checkpoint's own, so a restart goes on
+    where it was and a new checkpoint is a new stream, under whatever name. The name becomes part of folder names:
+    letters, digits, ``-`` and ``_``.
     ``trigger`` is what ``writeStream.trigger`` takes, by default
     ``availableNow``. ``buffer`` (``"1 minute"``) gathers small units over that time
     into one write instead; it is refused together with a token, which would promise a
-    replay check per unit. Bad rows go to ``rejected_path`` with their reasons.
+    replay check per unit.
+
+    Rows that are not loaded go to ``rejected_path`` with their reasons: the bad ones, with ``unit="load"`` all of a
+    micro-batch that has one (no reasons on the good rows). A batch run again writes them again in the same
+    place. Without ``rejected_path`` a row that cannot be loaded stops the stream, before anything of its batch is loaded.
     """
     if not re.fullmatch(r"[A-Za-z0-9_-]+", name):
         raise StreamSettingError(f"the name {name!r} may only have letters, digits, '-' and '_'")
@@ -60,17 +65,27 @@ def stream_load(
     if buffer is not None and trigger is not None:
         raise StreamSettingError("buffer sets the trigger; pass one of the two")
 
+    ids: dict[str, str] = {}
+
+    def query_id(rows: DataFrame) -> str:
+        if not ids:
+            told = rows.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+            ids["own"] = json.loads(told)["id"].replace("-", "")
+        return ids["own"]
+
     def write(rows: DataFrame, batch_id: int) -> None:
-        load_id = f"{name}-{batch_id}"
+        load_id = f"{name}-{query_id(rows)}-{batch_id}"
+
         result = load(
             rows, path, columns, ledger_path, load_id=load_id, order_by=order_by, max_rows=max_rows, token=token,
-            window=window, unit=unit, local_zone=local_zone, typed=typed,
+            window=window, unit=unit, local_zone=local_zone, typed=typed, reread=True, refuse=rejected_path is None,
             commit=load_id if token == "none" else None,
-        )
+        )
         try:
             if rejected_path and result.rejected_rows:
-                bad = result.rejected.where(F.size(ERRORS) > 0).select(F.lit(load_id).alias("load"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"), ERRORS)
-                bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(rejected_path)
+                record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record")
+                back = result.rejected.select(F.lit(load_id).alias("load"), record, ERRORS)
+                back.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(rejected_path)
             if on_batch:
                 on_batch(result, batch_id)
         finally:

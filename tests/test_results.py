@@ -16,7 +16,7 @@ from quayside.operators.queries import QueryError, run_per_key, run_queries, run
 from quayside.plans.storage import Storage
 from quayside.sources.readers import pull_increment, read_checked, read_json_strict, read_records, table_spec
 from quayside.streaming.stream import StreamSettingError, stream_load
-from quayside.operators.load import read_target
+from quayside.operators.load import load_table, read_target
 from quayside.types import ColumnSpec, spec
 
 
@@ -151,6 +151,12 @@ def test_queries(spark):
     results, rejected, ran = run_queries(spark, control, args=["n"], keep=["tag"])
     assert sorted(tuple(r) for r in results.collect()) == [("a", 0), ("a", 1), ("b", 0)]
     assert sorted(r["tag"] for r in rejected.collect()) == ["c", "d"] and ran.where("query_id is not null").count() == 2
+    broken = spark.createDataFrame([("a", "select nothing from no_such_table"), ("b", "select 1 as x")], "tag string, sql string")
+    results, rejected, ran = run_queries(spark, broken, keep=["tag"])
+    assert [tuple(r) for r in results.collect()] == [("b", 1)] and ran.count() == 1
+    assert rejected.first()["tag"] == "a" and "no_such_table" in rejected.first()["error"]
+    with pytest.raises(QueryError, match="nope"):
+        run_queries(spark, broken, args=["nope"])
     keyed = run_per_key(spark.range(10), spark.createDataFrame([(3, "x"), (4, "y")], "id bigint, tag string"), "id", ["tag"])
     assert sorted(tuple(r) for r in keyed.collect()) == [(3, "x"), (4, "y")]
 
@@ -213,6 +219,59 @@ def test_a_failed_rewrite_changes_nothing(spark, people, monkeypatch):
     assert spark.table(people).count() == 1000
 
 
+def test_a_loaded_table_lives_on(spark, tmp_path):
+    name = f"loaded_{abs(hash(str(tmp_path))) % 10**8}"
+    S.create_table(spark, name, [ColumnSpec("id", "UInt32"), ColumnSpec("name", "String", default="'none'")], path=str(tmp_path / "t"))
+    book = str(tmp_path / "ledger")
+    ids = spark.range(20).select(F.col("id").cast("string").alias("id"))
+    for _ in range(2):
+        load_table(ids, name, book, load_id="one").close()
+    assert spark.table(name).count() == 20 and spark.table(name).where("name = 'none'").count() == 20
+    assert S.delete_where(spark, name, "id = 3").result_rows == 1 and spark.table(name).count() == 19
+    S.add_columns(spark, name, [ColumnSpec("score", "Int32", default="7")])
+    load_table(spark.range(20, 30).select(F.col("id").cast("string").alias("id")), name, book, load_id="two").close()
+    assert spark.table(name).count() == 29 and spark.table(name).where("score = 7").count() == 10 and spark.table(name).where("score is null").count() == 19
+    assert S.update_where(spark, name, "id >= 25", {"name": "'late'"}).result_rows == 5 and spark.table(name).where("name = 'late'").count() == 5
+    assert S.compact(spark, name, ["id"], 1).written_rows == 29 and S.delete_where(spark, name, "id < 0").read_rows == 0
+    S.drop(spark, name)
+
+
+def test_archiving_by_the_clock_loses_nothing(spark, tmp_path):
+    tag = abs(hash(str(tmp_path))) % 10**8
+    columns = [ColumnSpec("id", "UInt32"), ColumnSpec("ts", "DateTime64(6)")]
+    for t in ("live", "old"):
+        S.create_table(spark, f"{t}_{tag}", columns, path=str(tmp_path / t))
+    # every moment of the next seconds has rows that are about to match
+    S.insert_select(spark, f"live_{tag}", "select id, timestampadd(MILLISECOND, cast(id as int) * 10 - 1000, now()) as ts from range(3000)")
+    done = S.archive_move(spark, f"live_{tag}", f"old_{tag}", "ts < now()")
+    live, old = ({r["id"] for r in spark.table(f"{t}_{tag}").collect()} for t in ("live", "old"))
+    assert live | old == set(range(3000)) and not live & old and done.result_rows == len(old)
+    with pytest.raises(S.StatementError, match="deterministic"):
+        S.delete_where(spark, f"live_{tag}", "rand() < 0.5")
+
+
+def test_a_lost_driver_is_undone_by_the_next_statement(spark, people, monkeypatch):
+    real = Storage.move
+    for lost_at in range(1, 6):
+        moves = []
+
+        def lose(self, a, b, moves=moves, lost_at=lost_at):
+            moves.append(a)
+            if len(moves) >= lost_at:
+                raise KeyboardInterrupt
+            real(self, a, b)
+
+        with monkeypatch.context() as m:
+            m.setattr(Storage, "move", lose)
+            m.setattr(S, "_restore", lambda *_: None)  # the driver is gone, nobody cleans up
+            m.setattr(Storage, "delete", lambda *_: None)
+            with pytest.raises(KeyboardInterrupt):
+                S.update_where(spark, people, "id > 3", {"name": "'x'"})
+        assert S.delete_where(spark, people, "id < 0").result_rows == 0
+        spark.catalog.refreshTable(people)
+        assert spark.table(people).count() == 1000, lost_at
+
+
 def test_stream_load_restarts_and_routes(spark, tmp_path):
     inbox, path, book = (str(tmp_path / n) for n in ("inbox", "target", "ledger"))
     spark.range(40).select(F.col("id").cast("string").alias("id")).repartition(4).write.text(inbox)
@@ -224,21 +283,44 @@ def test_stream_load_restarts_and_routes(spark, tmp_path):
     first = sorted(r["id"] for r in read_target(spark, path).collect())
     assert first == [i for i in range(40) if i != 7]
     assert json.loads(spark.read.parquet(str(tmp_path / "bad")).first()["record"])["id"] is None
-    # the same micro-batches again, as after a crash before the checkpoint was written
-    stream_load(stream, path, target, book, str(tmp_path / "cp2"), "s", **kwargs).awaitTermination()
+    # the last micro-batch again, as after a crash before the checkpoint was written
+    for commit in (tmp_path / "cp" / "commits").iterdir():
+        if commit.name.strip(".").startswith("0"):
+            commit.unlink()
+    stream_load(stream, path, target, book, str(tmp_path / "cp"), "s", **kwargs).awaitTermination()
     assert sorted(r["id"] for r in read_target(spark, path).collect()) == first
+    # a new checkpoint is a new stream, whatever its name
+    stream_load(stream, path, target, book, str(tmp_path / "cp2"), "s", **kwargs).awaitTermination()
+    assert sorted(r["id"] for r in read_target(spark, path).collect()) == sorted(first * 2)
     with pytest.raises(StreamSettingError):
         stream_load(stream, path, target, book, str(tmp_path / "cp3"), "s", buffer="1 minute")
     with pytest.raises(StreamSettingError):
         stream_load(stream, path, target, book, str(tmp_path / "cp3"), "a/b")
 
 
+def test_a_refused_unit_of_a_stream_is_not_lost(spark, tmp_path):
+    inbox, path, book, bad = (str(tmp_path / n) for n in ("inbox", "target", "ledger", "bad"))
+    spark.range(50).select(F.col("id").cast("string").alias("value")).coalesce(1).write.text(inbox)
+    stream = spark.readStream.text(inbox).select(F.when(F.col("value") == "7", "seven").otherwise(F.col("value")).alias("id"))
+    target = spec(("id", "UInt32"))
+    for k, unit in enumerate(("row", "load")):  # nowhere to put them: the stream stops and nothing is loaded
+        with pytest.raises(Exception, match="cannot be loaded"):
+            stream_load(stream, path, target, book, str(tmp_path / f"cp{k}"), "s", unit=unit).awaitTermination()
+    stream_load(stream, path, target, book, str(tmp_path / "cp"), "s", unit="load", rejected_path=bad).awaitTermination()
+    back = spark.read.parquet(bad)
+    assert back.count() == 50 and back.where("size(_errors) > 0").count() == 1
+    stream_load(stream, path, target, book, str(tmp_path / "cp1"), "s", rejected_path=bad + "2").awaitTermination()
+    assert read_target(spark, path, target).count() == 49 and spark.read.parquet(bad + "2").count() == 1
+
+
 def test_buffered_stream(spark, tmp_path):
     inbox, path, book = (str(tmp_path / n) for n in ("inbox", "target", "ledger"))
     spark.range(30).select(F.col("id").cast("string").alias("id")).repartition(3).write.text(inbox)
     stream = spark.readStream.text(inbox).select(F.col("value").alias("id"))
-    for checkpoint in ("a", "b"):  # the second run replays the first batch
-        query = stream_load(stream, path, spec(("id", "UInt32")), book, str(tmp_path / checkpoint), "s", token="none", buffer="1 second")
+    for _ in range(2):  # the second run replays the first batch
+        query = stream_load(stream, path, spec(("id", "UInt32")), book, str(tmp_path / "a"), "s", token="none", buffer="1 second")
         query.processAllAvailable()
         query.stop()
+        for commit in (tmp_path / "a" / "commits").iterdir():
+            commit.unlink()
     assert sorted(r["id"] for r in read_target(spark, path).collect()) == list(range(30))
