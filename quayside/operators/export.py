@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.jsontext import json_object
@@ -35,24 +35,21 @@ def with_fragments(df: DataFrame, max_rows: int, order_by: list[str | Column] |
     return indexed.withColumn(FRAGMENT, F.floor(F.col("row_index") / F.lit(max_rows)).cast("bigint"))
 
 
-def manifest_of(fragments: DataFrame, max_rows: int, identifier: str, fmt: str) -> DataFrame:
-    """One row per fragment from a frame with ``fragment_index``; an empty result has one fragment of no rows.
+def manifest_of(spark: SparkSession, rows: int, max_rows: int, identifier: str, fmt: str) -> DataFrame:
+    """One row per fragment of ``rows`` rows; an empty result has one fragment of no rows.
 
-    With ``max_rows=0`` nothing was split and the fragment columns are null.
+    Fragments are full but for the last, so the total tells all of it and nothing is read. With ``max_rows=0`` nothing was
+    split and the fragment columns are null.
     """
-    spark = fragments.sparkSession
     if max_rows == 0:
-        counted = fragments.agg(F.count(F.lit(1)).alias("record_count"))
-        none = F.lit(None)
-        return counted.select(none.cast("string").alias("fragment_identifier"), none.cast("bigint").alias(FRAGMENT),
-                              none.cast("bigint").alias("fragment_count"), "record_count", F.lit(fmt).alias("format"))
-    counted = fragments.groupBy(FRAGMENT).agg(F.count(F.lit(1)).alias("record_count"))
-    # fragments are full but for the last, so the numbers of the last one tell the rest
-    total = counted.agg(F.coalesce(F.max(FRAGMENT) + 1, F.lit(1)).alias("fragment_count"))
-    every = total.select("fragment_count", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("fragment_count") - 1)).alias("_i"))
-    return every.join(counted, every["_i"] == counted[FRAGMENT], "left").select(
-        F.lit(identifier).alias("fragment_identifier"), F.col("_i").alias(FRAGMENT), "fragment_count",
-        F.coalesce("record_count", F.lit(0)).alias("record_count"), F.lit(fmt).alias("format"),
+        return spark.range(1).select(
+            F.lit(None).cast("string").alias("fragment_identifier"), F.lit(None).cast("bigint").alias(FRAGMENT), F.lit(None).cast("bigint").alias("fragment_count"),
+            F.lit(rows).cast("bigint").alias("record_count"), F.lit(fmt).alias("format"),
+        )
+    n = max(-(-rows // max_rows), 1)
+    size = F.least(F.lit(max_rows).cast("bigint"), F.lit(rows).cast("bigint") - F.col("id") * max_rows)
+    return spark.range(n).select(
+        F.lit(identifier).alias("fragment_identifier"), F.col("id").alias(FRAGMENT), F.lit(n).cast("bigint").alias("fragment_count"), size.alias("record_count"), F.lit(fmt).alias("format")
     )
 
 
@@ -85,29 +82,24 @@ def export(
         if max_rows == 0:
             seen = Observation()
             _write(records.observe(seen, F.count(F.lit(1)).alias("rows")), staging, fmt, options)
-            rows = seen.get["rows"]
-            manifest = manifest_of(spark.range(0), 0, identifier, fmt).withColumn("record_count", F.lit(rows).cast("bigint"))
-            fragments = 1
+            rows, fragments = seen.get["rows"], 1
         else:
             cut = with_fragments(records, max_rows, order_by, unique, scratch)
-            # one task per fragment keeps it in one file, in order
-            placed = cut.repartition(FRAGMENT).sortWithinPartitions(FRAGMENT, "row_index").drop("row_index")
-            kept = scratch.keep(manifest_of(cut.select(FRAGMENT), max_rows, identifier, fmt), "manifest")
-            fragments, rows = kept.agg(F.count(F.lit(1)), F.sum("record_count")).first()
+            rows = (cut.agg(F.max("row_index")).first()[0] or 0) + 1 if not cut.isEmpty() else 0
+            fragments = max(-(-rows // max_rows), 1)
             if rows:
+                # one task per fragment keeps it in one file, in order
+                placed = cut.repartitionById(fragments, F.col(FRAGMENT).cast("int")).sortWithinPartitions("row_index").drop("row_index")
                 _write(placed, staging, fmt, options, FRAGMENT)
             else:
                 _write(records, f"{staging}/{FRAGMENT}=0", fmt, options)
-            listed = [tuple(r) for r in kept.collect()] if fragments <= 10_000 else None
-            manifest = spark.createDataFrame(listed, kept.schema) if listed else kept
         files.move(staging, path)
     except BaseException:
         files.delete(staging)
-        scratch.clear()
         raise
-    if max_rows == 0 or fragments <= 10_000:
+    finally:
         scratch.clear()
-    return ExportResult(identifier, fragments, rows, manifest)
+    return ExportResult(identifier, fragments, rows, manifest_of(spark, rows, max_rows, identifier, fmt))
 
 
 def _write(records: DataFrame, path: str, fmt: str, options: dict, partition: str | None = None) -> None:

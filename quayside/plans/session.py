@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -35,12 +36,19 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written once in the shared folder, so that later stages read fixed rows instead of recomputing them."""
+    """Tables written once in the shared folder, so that later stages read fixed rows instead of recomputing them.
+
+    Whoever makes one clears it; what is left is cleared when the driver's Python ends, so a lazy result can still be read
+    until then.
+    """
+
+    _left: dict[str, Scratch] = {}
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.root = f"{scratch_root(spark)}/quayside-{uuid.uuid4().hex}"
         self._count = 0
+        Scratch._left[self.root] = self
 
     def path(self, label: str) -> str:
         self._count += 1
@@ -57,6 +65,16 @@ class Scratch:
         from quayside.plans.storage import Storage
 
         Storage(self.spark).delete(self.root)
+        Scratch._left.pop(self.root, None)
+
+
+@atexit.register
+def _clear_scratch() -> None:
+    for scratch in list(Scratch._left.values()):
+        try:
+            scratch.clear()
+        except Exception:  # noqa: BLE001  the session is gone, and with it the way to its file system
+            return
 
 
 def hinted(df: DataFrame, rows: int) -> DataFrame:

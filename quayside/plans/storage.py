@@ -42,8 +42,3 @@ class Storage:
         """Names directly under a path, empty when it does not exist."""
         fs, p = self._open(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-
-    def partition_folder(self, column: str, value: str) -> str:
-        """The folder name Spark gives a partition value."""
-        utils = self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        return utils.getPartitionPathString(column, value)
