@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside.functions.convert import ERRORS, conform
-from quayside.operators.align import align
+from quayside.functions.normalize import ResultError, normalize
+from quayside.operators.align import AlignmentError, align
 from quayside.plans.tables import Registry, table
 from quayside.types import ColumnSpec, spec
 
@@ -325,3 +326,29 @@ def reject_reasons(spark, sf_dir):
     pattern = r"^column '([^']+)' \(([^)]+)\): .+ \[value of type String\]$"
     named = reason.select(F.regexp_extract("reason", pattern, 1).alias("column_name"), F.regexp_extract("reason", pattern, 2).alias("type_name"))
     return named.groupBy("column_name", "type_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registry.add("""
+    SELECT kase, 1 AS refused, (SELECT count(*) FROM customer) AS n
+    FROM (VALUES ('unknown field'), ('computed column'), ('nothing matches'), ('type of the other path'), ('doubled name')) cases(kase)
+""")
+def refusals(spark, sf_dir):
+    """Frames over the customers that must be refused before any row is read."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    key = ColumnSpec("c_custkey", "Int64")
+    cases = {
+        "unknown field": lambda: align(customer, [key]),
+        "computed column": lambda: align(customer, [key, ColumnSpec("c_name", "String", computed=True)]),
+        "nothing matches": lambda: align(customer.select(F.col("c_name").alias("other")), [key, ColumnSpec("c_name", "String")]),
+        "type of the other path": lambda: align(customer, [key, ColumnSpec("c_name", "Map(String, String)")]),
+        "doubled name": lambda: normalize(customer.select("c_custkey", F.col("c_name").alias("c_custkey"))),
+    }
+    found = []
+    for name, attempt in cases.items():
+        try:
+            attempt()
+            found.append((name, 0))
+        except (AlignmentError, ResultError):
+            found.append((name, 1))
+    listed = F.array(*[F.struct(F.lit(n).alias("kase"), F.lit(r).alias("refused")) for n, r in found])
+    return customer.agg(F.count(F.lit(1)).alias("n")).select(F.explode(listed).alias("c"), "n").select("c.kase", "c.refused", "n")

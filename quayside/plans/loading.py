@@ -477,3 +477,20 @@ def csv_quotes(spark, sf_dir):
     table(spark, sf_dir, "orders").select("o_orderkey", words.alias("words")).write.option("header", True).option("escape", '"').csv(path)
     records = read_records(spark, path, "csv", multi_line=True)
     return conform(records, spec(("o_orderkey", "Int64"), ("words", "String"))).drop(ERRORS)
+
+
+@registry.add("""
+    SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY event_type
+""")
+def stream_buffered(spark, sf_dir):
+    """Many small files gathered over a time into few writes, without a token."""
+    scratch = Scratch(spark)
+    inbox, path = scratch.path("inbox"), scratch.path("target")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    events.repartition(6, "event_id").write.parquet(inbox)
+    stream = spark.readStream.schema(events.schema).parquet(inbox)
+    target = spec(("event_id", "Int64"), ("event_type", "String"))
+    query = stream_load(stream, path, target, scratch.path("ledger"), scratch.path("checkpoint"), "events", token="none", buffer="1 second", rejected_path=scratch.path("rejected"))
+    query.processAllAvailable()
+    query.stop()
+    return read_target(spark, path, target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
