@@ -149,12 +149,17 @@ def mixtures(array: pa.Array, table: np.ndarray, penalty: float = PENALTY, round
     return out
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text_col: str = "text", penalty: float = PENALTY) -> DataFrame:
+def predict(
+    docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str], text_col: str = "text", penalty: float = PENALTY, names: tuple[str, str, str] = ("lang_pred", "score", "shares")
+) -> DataFrame:
     """Columns ``keep`` of ``docs`` with ``lang_pred`` (the largest share; ties go to the first name), ``score`` (that share) and ``shares``.
 
+    ``names`` are what the three are called; a kept column of such a name is left out.
+
     Null texts, texts without a letter and an empty model give ``und`` with score 0. Only the text is looked at.
     """
     languages, table = model
+    keep = [c for c in keep if c not in names]
     sent = docs.sparkSession.sparkContext.broadcast(table)
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -165,6 +170,6 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
         pred = [languages[b] if s > 0 else UNKNOWN for b, s in zip(best.tolist(), score.tolist(), strict=True)]
         found = [[(languages[k], float(row[k])) for k in np.flatnonzero(row)] for row in shares]
         arrays = [*(column(batch, c) for c in keep), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(found, pa.map_(pa.string(), pa.float64()))]
-        return pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "shares"])
+        return pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
-    return map_arrow(docs.select(*dict.fromkeys([*keep, text_col])), run, f"{fields}, lang_pred string, score double, shares map<string,double>", text_col)
+    return map_arrow(docs.select(*dict.fromkeys([*keep, text_col])), run, f"{fields}, {names[0]} string, {names[1]} double, {names[2]} map<string,double>", text_col)

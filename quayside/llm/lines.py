@@ -261,8 +261,10 @@ def few(grouped: DataFrame, lists: str) -> DataFrame:
     return hinted(grouped, rows if entries <= BROADCAST_LINES else BROADCAST_ROWS + 1)
 
 
-def without_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the lines of ``removed_lines`` taken out of the text, and ``n_lines`` and ``n_removed`` added (both replaced if there).
+def without_repeats(
+    docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD, counts: tuple[str, str] = ("n_lines", "n_removed")
+) -> DataFrame:
+    """``docs`` with the lines of ``removed_lines`` taken out of the text, and ``n_lines`` and ``n_removed`` added (under the names ``counts``, replaced if there).
 
     Null texts stay null and have no lines. A text that loses all its lines is empty. Other columns pass through.
     """
@@ -274,8 +276,8 @@ def without_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     kept = F.array_join(F.filter(cut, lambda _, i: ~F.array_contains("__numbers", i)), "\n")
     new = {
         text_col: F.when(F.col("__numbers").isNull(), F.col(text_col)).otherwise(kept),
-        "n_lines": F.when(F.col(text_col).isNotNull(), F.size(cut)).otherwise(0).cast("long"),
-        "n_removed": F.when(F.col("__numbers").isNull(), 0).otherwise(F.size("__numbers")).cast("long"),
+        counts[0]: F.when(F.col(text_col).isNotNull(), F.size(cut)).otherwise(0).cast("long"),
+        counts[1]: F.when(F.col("__numbers").isNull(), 0).otherwise(F.size("__numbers")).cast("long"),
     }
-    names = [*docs.columns, *(c for c in ("n_lines", "n_removed") if c not in docs.columns)]
+    names = [*docs.columns, *(c for c in counts if c not in docs.columns)]
     return joined.withColumns(new).select(*names)
