@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.batches import Words, column, hash64, map_arrow, mix, raw, shingle_hashes, slices, texts
@@ -157,7 +157,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     1. a fixed-size frequency table gives the order of rarity;
     2. lines with equal sets are one class, pre-aggregated, so a line that stands everywhere is one row;
     3. two similar sets share one of their first ``n - ceil(threshold * n) + 1`` tokens: classes, here named by half their
-       128 bits, are dealt by these, and only tokens that several classes share go on;
+       128 bits, are dealt by these, and only tokens that several classes share go on, one for each set of classes;
     4. in a run of classes with such a token, length and positional filters and the exact Jaccard similarity decide.
     """
     keyed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("words"))
@@ -204,10 +204,21 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         same = np.zeros(len(token), bool)
         same[1:] = token[1:] == token[:-1]
         same[:-1] |= same[1:]
-        yield from table.take(pa.array(np.flatnonzero(new)[same])).to_batches()
+        left = table.take(pa.array(np.flatnonzero(new)[same])).combine_chunks()
+        if not left.num_rows:
+            return
+        # runs with the same classes have the same name
+        token, low = np.asarray(left.column("token")), np.asarray(left.column("low")).view(np.uint64)
+        first = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1))
+        name = np.repeat(mix(np.add.reduceat(mix(low), first)).view(np.int64), np.diff(np.append(first, len(token))))
+        yield from left.append_column("name", pa.array(name)).to_batches()
 
     dealt = postings.select("token", "low", "n", "place").repartition("token").sortWithinPartitions("token", "low")
-    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, n int, place int"), "runs")
+    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, n int, place int, name long"), "runs")
+    # copies share many tokens: of runs with the same classes the one of the first token in order is enough, as it is the
+    # first that any two of them share
+    once = runs.groupBy("name").agg(F.min(_unsigned(F.col("token"))).alias("least"))
+    runs = scratch.keep(runs.join(once, "name").where(_unsigned(F.col("token")) == F.col("least")).select("token", "low", "place"), "first-runs")
     wanted = runs.select("low").distinct().join(classes, "low").select("first")
     wanted = scratch.keep(wanted.groupBy("first.id", "first.h").agg(F.collect_list("first.line").alias("numbers")), "wanted")
     texts_again = keyed.join(few(wanted, "numbers"), ["id", "h"]).dropDuplicates(["id", "h"])
@@ -255,6 +266,11 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     return hit.where(F.col("similar") | (place != F.col("first"))).select("id", "h", "line").distinct()
 
 
+def _unsigned(token: Column) -> Column:
+    """Tokens as longs that sort as the unsigned numbers they are."""
+    return token.bitwiseXOR(F.lit(-(1 << 63)))
+
+
 def few(grouped: DataFrame, lists: str) -> DataFrame:
     """A written table of lists, with a broadcast hint when its rows and its list entries are few."""
     rows, entries = grouped.agg(F.count("*"), F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()
