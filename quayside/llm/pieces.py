@@ -14,6 +14,8 @@ from quayside.llm.batches import column, doc_ids_type, map_arrow, mix, raw, text
 SLICE = 700_000
 # Segments up to this many bytes go through the forward pass together.
 TOGETHER = 64
+_SLOT_BITS = 19
+_SLOT_SHIFT = np.uint64(64 - _SLOT_BITS)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -58,12 +60,24 @@ class Model:
         keys = np.array([_key_of(strings[i]) for i in normal], dtype=np.uint64)
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array(normal, dtype=np.int32)[order]
+        # by the first bits of a key: -1 no piece, -2 several, else the one that it may be
+        slot = (self.keys >> _SLOT_SHIFT).astype(np.int64)
+        self.slots = np.full(1 << _SLOT_BITS, -1, np.int32)
+        self.slots[slot] = np.arange(len(slot))
+        self.slots[slot[1:][slot[1:] == slot[:-1]]] = -2
         self.sizes = sorted({len(strings[i]) for i in normal})
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Piece of each key, -1 for none."""
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.key_ids[at], -1)
+        at = self.slots[(keys >> _SLOT_SHIFT).astype(np.int64)]
+        out = np.full(len(keys), -1, np.int32)
+        maybe = np.flatnonzero(at >= 0)
+        place = at[maybe]
+        out[maybe] = np.where(self.keys[place] == keys[maybe], self.key_ids[place], -1)
+        rest = np.flatnonzero(at == -2)
+        place = np.minimum(np.searchsorted(self.keys, keys[rest]), len(self.keys) - 1)
+        out[rest] = np.where(self.keys[place] == keys[rest], self.key_ids[place], -1)
+        return out
 
 
 def _prefix(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
