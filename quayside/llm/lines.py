@@ -178,14 +178,14 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         take = pa.array(doc[some])
         arrays = [
             column(batch, "id").take(take), column(batch, "h").take(take), pa.array(number[some].astype(np.int32)), pa.array(sets.low[some].view(np.int64)),
-            pa.array(sets.high[some].view(np.int64)), pa.array(sets.sizes[some].astype(np.int32)), prefix,
+            pa.array(sets.high[some].view(np.int64)), prefix,
         ]
-        return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "line", "low", "high", "n", "prefix"])
+        return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "line", "low", "high", "prefix"])
 
-    lines = scratch.keep(map_arrow(keyed, each_line, "id long, h long, line int, low long, high long, n int, prefix array<long>", "words"), "lines")
+    lines = scratch.keep(map_arrow(keyed, each_line, "id long, h long, line int, low long, high long, prefix array<long>", "words"), "lines")
     place = F.struct("id", "h", "line")
     classes = scratch.keep(lines.groupBy("low", "high").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "classes")
-    postings = lines.select("low", "n", F.posexplode("prefix").alias("place", "token"))
+    postings = lines.select("low", F.posexplode("prefix").alias("place", "token"))
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -213,8 +213,8 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         name = np.repeat(mix(np.add.reduceat(mix(low), first)).view(np.int64), np.diff(np.append(first, len(token))))
         yield from left.append_column("name", pa.array(name)).to_batches()
 
-    dealt = postings.select("token", "low", "n", "place").repartition("token").sortWithinPartitions("token", "low")
-    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, n int, place int, name long"), "runs")
+    dealt = postings.select("token", "low", "place").repartition("token").sortWithinPartitions("token", "low")
+    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, place int, name long"), "runs")
     # copies share many tokens: of runs with the same classes the one of the first token in order is enough, as it is the
     # first that any two of them share
     once = runs.groupBy("name").agg(F.min(_unsigned(F.col("token"))).alias("least"))
