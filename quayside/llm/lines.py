@@ -147,6 +147,43 @@ def _runs(held: list, batch: pa.RecordBatch) -> tuple[pa.Table | None, list]:
     return table.slice(0, cut), table.slice(cut).combine_chunks().to_batches()
 
 
+def shared_runs(postings: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(token, low, place)``: the postings of tokens that several classes share, one token for each set of classes."""
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        for batch in batches:
+            whole, held = _runs(held, batch)
+            if whole is not None:
+                yield from repeated(whole)
+        if held:
+            yield from repeated(pa.Table.from_batches(held))
+
+    def repeated(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        token, low = np.asarray(table.column("token")), np.asarray(table.column("low"))
+        new = np.ones(len(token), bool)  # the first of each class in a run
+        new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1])
+        token = token[new]
+        same = np.zeros(len(token), bool)
+        same[1:] = token[1:] == token[:-1]
+        same[:-1] |= same[1:]
+        left = table.take(pa.array(np.flatnonzero(new)[same])).combine_chunks()
+        if not left.num_rows:
+            return
+        # runs with the same classes have the same name
+        token, low = np.asarray(left.column("token")), np.asarray(left.column("low")).view(np.uint64)
+        first = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1))
+        name = np.repeat(mix(np.add.reduceat(mix(low), first)).view(np.int64), np.diff(np.append(first, len(token))))
+        yield from left.append_column("name", pa.array(name)).to_batches()
+
+    dealt = postings.select("token", "low", "place").repartition("token").sortWithinPartitions("token", "low")
+    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, place int, name long"), "runs")
+    # copies share many tokens: of runs with the same classes the one of the first token in order is enough, as it is the
+    # first that any two of them share
+    once = runs.groupBy("name").agg(F.min(_unsigned(F.col("token"))).alias("least"))
+    return scratch.keep(runs.join(once, "name").where(_unsigned(F.col("token")) == F.col("least")).select("token", "low", "place"), "first-runs")
+
+
 def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """``(id, h, line)``: the lines, numbered from 0, that have an earlier line with the same or a similar token set.
 
@@ -186,39 +223,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     place = F.struct("id", "h", "line")
     classes = scratch.keep(lines.groupBy("low", "high").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "classes")
     postings = lines.select("low", F.posexplode("prefix").alias("place", "token"))
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        for batch in batches:
-            whole, held = _runs(held, batch)
-            if whole is not None:
-                yield from repeated(whole)
-        if held:
-            yield from repeated(pa.Table.from_batches(held))
-
-    def repeated(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, low = np.asarray(table.column("token")), np.asarray(table.column("low"))
-        new = np.ones(len(token), bool)  # the first of each class in a run
-        new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1])
-        token = token[new]
-        same = np.zeros(len(token), bool)
-        same[1:] = token[1:] == token[:-1]
-        same[:-1] |= same[1:]
-        left = table.take(pa.array(np.flatnonzero(new)[same])).combine_chunks()
-        if not left.num_rows:
-            return
-        # runs with the same classes have the same name
-        token, low = np.asarray(left.column("token")), np.asarray(left.column("low")).view(np.uint64)
-        first = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1))
-        name = np.repeat(mix(np.add.reduceat(mix(low), first)).view(np.int64), np.diff(np.append(first, len(token))))
-        yield from left.append_column("name", pa.array(name)).to_batches()
-
-    dealt = postings.select("token", "low", "place").repartition("token").sortWithinPartitions("token", "low")
-    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, place int, name long"), "runs")
-    # copies share many tokens: of runs with the same classes the one of the first token in order is enough, as it is the
-    # first that any two of them share
-    once = runs.groupBy("name").agg(F.min(_unsigned(F.col("token"))).alias("least"))
-    runs = scratch.keep(runs.join(once, "name").where(_unsigned(F.col("token")) == F.col("least")).select("token", "low", "place"), "first-runs")
+    runs = shared_runs(postings, scratch)
     wanted = runs.select("low").distinct().join(classes, "low").select("first")
     wanted = scratch.keep(wanted.groupBy("first.id", "first.h").agg(F.collect_list("first.line").alias("numbers")), "wanted")
     texts_again = keyed.join(few(wanted, "numbers"), ["id", "h"]).dropDuplicates(["id", "h"])
