@@ -33,10 +33,10 @@ def _word_hashes(words: Words) -> np.ndarray:
     return hash64(words.vocabulary, 42)[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
 
 
-def _simhash(bits_before: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+def _simhash(bits_before: np.ndarray, start: np.ndarray, size: int | np.ndarray) -> np.ndarray:
     """Fingerprints of the windows of ``size`` shingles at ``start``; ``bits_before`` counts the ones before each shingle."""
     ones = bits_before[start + size] - bits_before[start]
-    return np.packbits(ones > size // 2, axis=1, bitorder="little").view("<u8").ravel()
+    return np.packbits(ones > np.reshape(size, (-1, 1)) // 2, axis=1, bitorder="little").view("<u8").ravel()
 
 
 def _ones_before(hashes: np.ndarray, longest: int) -> np.ndarray:
@@ -138,8 +138,9 @@ class _Shingles:
 def find(array: pa.Array, items: Items, threshold: float = THRESHOLD) -> list[tuple[int, int, int, int, int, float]]:
     """(text, item, first word, words, differing bits, similarity): the best window of every text and item that match.
 
-    Windows slide word by word, one size per item size. A window without any shingle of any item has similarity 0 to all
-    of them, so only the others get a fingerprint. The best is the most similar, then the nearest, then the first.
+    Windows slide word by word, one size per item size. A text with fewer words than the item is one window, if it has
+    shingles enough to reach the threshold. A window without any shingle of any item has similarity 0 to all of them, so
+    only the others get a fingerprint. The best is the most similar, then the nearest, then the first.
     """
     words = Words(mapped(array, _FOLD))
     if not len(words.codes) or not items.sizes:
@@ -160,17 +161,21 @@ def find(array: pa.Array, items: Items, threshold: float = THRESHOLD) -> list[tu
         np.add.at(edge, s.hits + 1, -1)
         start = np.flatnonzero(np.cumsum(edge[: max(len(owner) - n + 1, 0)]) > 0)
         start = start[owner[start] == owner[start + n - 1]]
-        prints = _simhash(s.before, s.rank[start], span)
+        whole = np.flatnonzero((words.counts < n) & (words.counts >= width) & (words.counts - width + 1 >= threshold * span - 1e-9))
+        whole = whole[s.known_before[words.starts[whole + 1] - width + 1] > s.known_before[words.starts[whole]]]
+        many = np.concatenate((np.full(len(start), n), words.counts[whole]))
+        start, spans = np.concatenate((start, words.starts[whole])), many - width + 1
+        prints = _simhash(s.before, s.rank[start], spans) if len(start) else np.zeros(0, np.uint64)
         window, item = _candidates(prints, size, items.radius)
         # shingles that no item has are not shared: an upper bound of the similarity before the exact one
-        hopeful = s.known_before[start[window] + span] - s.known_before[start[window]] >= threshold * span
+        hopeful = s.known_before[start[window] + spans[window]] - s.known_before[start[window]] >= threshold * span - 1e-9
         for w, i in zip(window[hopeful].tolist(), item[hopeful].tolist(), strict=True):
             vocabulary = vocabulary or words.vocabulary.to_pylist()
-            first, number = int(start[w]), int(size[0][i])
-            value = similarity([vocabulary[c] for c in words.codes[first : first + n].tolist()], items.words[number], items.width)
+            first, number, long = int(start[w]), int(size[0][i]), int(many[w])
+            value = similarity([vocabulary[c] for c in words.codes[first : first + long].tolist()], items.words[number], items.width)
             if value >= threshold:
                 text = int(owner[first])
-                mark = (-value, int(np.bitwise_count(prints[w] ^ size[1][i])), first - int(words.starts[text]), n)
+                mark = (-value, int(np.bitwise_count(prints[w] ^ size[1][i])), first - int(words.starts[text]), long)
                 best[text, number] = min(mark, best.get((text, number), mark))
     return [(text, number, first, n, bits, -value) for (text, number), (value, bits, first, n) in sorted(best.items())]
 
@@ -181,8 +186,8 @@ def leaks(
 ) -> DataFrame:
     """``(<id_col>, <item_col>, first_word, n_words, differing_bits, similarity)`` of every document and item that match.
 
-    A document matches an item when a window of as many words as the item has a weighted ``width``-word shingle
-    similarity of ``threshold`` or more and a fingerprint within ``radius`` bits. Words are runs of letters, digits and
+    A document matches an item when a window of as many words as the item, or the whole text if it has fewer, has a
+    weighted ``width``-word shingle similarity of ``threshold`` or more and a fingerprint within ``radius`` bits. Words are runs of letters, digits and
     non-ASCII bytes, A-Z folded; an item of fewer words than ``width`` is one shingle. Null and empty texts and items
     match nothing. Repeated rows of documents give repeated rows; repeated items count each. Other columns are ignored.
     Items go to the tasks in blocks of at most ``ITEMS_PER_PASS`` rows and ``BYTES_PER_PASS`` bytes, one pass each.

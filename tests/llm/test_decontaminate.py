@@ -83,3 +83,16 @@ def test_empty_tables(spark, scratch, odd_documents):
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert decontaminate.leaks(odd_documents.where(F.lit(False)), items, scratch).count() == 0
     assert decontaminate.leaks(odd_documents, items.where(F.lit(False)), scratch).count() == 0
+
+
+def test_texts_shorter_than_the_item(spark, scratch):
+    words = [f"w{i}" for i in range(59)]
+    texts = [words[1:], words[:-2], words[1:-1], words[:48], words[:47], words[11:], words, words[2:] + ["x"], words[:3], []]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "one two"), (9, " ".join(f"z{i}" for i in range(300)))], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.leaks(docs, items, scratch).collect()}
+    # 44 of 55 shingles are 0.8, 43 are below
+    assert sorted(got) == [0, 1, 2, 3, 5, 6, 7]
+    assert abs(got[0]["similarity"] - 54 / 55) < 1e-12 and (got[0]["first_word"], got[0]["n_words"]) == (0, 58)
+    assert abs(got[3]["similarity"] - 44 / 55) < 1e-12 and got[6]["similarity"] == 1.0 and got[6]["n_words"] == 59
+    assert sorted(r["doc_id"] for r in decontaminate.without_leaks(docs, items, scratch).collect()) == [4, 8, 9]
