@@ -17,10 +17,10 @@ from quayside.plans.session import Scratch, hinted
 WIDTH = 5
 THRESHOLD = 0.8
 # Fingerprints within this many of 64 bits are candidates: passages at the threshold differ in about 10, three standard deviations are 9.
-RADIUS = 15
+RADIUS = 19
 BLOCKS = 4
 # Items that go to the tasks at a time; more items mean more passes over the documents.
-ITEMS_PER_PASS = 20_000
+ITEMS_PER_PASS = 10_000
 BYTES_PER_PASS = 32_000_000
 # Text fingerprinted at a time: running counts take 128 bytes a word where passages are dense.
 SLICE = 2_000_000
@@ -79,10 +79,10 @@ def _block_table(prints: np.ndarray, block: int, reach: int) -> tuple[np.ndarray
     step = 64 // BLOCKS
     own = ((prints >> np.uint64(step * block)) & np.uint64((1 << step) - 1)).astype(np.int64)
     masks = np.array([sum(1 << b for b in c) for k in range(reach + 1) for c in combinations(range(step), k)], dtype=np.int64)
-    values = (own[:, None] ^ masks).ravel()
+    values = (own[:, None] ^ masks).ravel().astype(np.uint16)
     order = np.argsort(values, kind="stable")
     offsets = np.concatenate(([0], np.cumsum(np.bincount(values, minlength=1 << step))))
-    return offsets, np.repeat(np.arange(len(prints)), len(masks))[order]
+    return offsets, (order // len(masks)).astype(np.int32)
 
 
 def _candidates(prints: np.ndarray, size: tuple, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,11 +165,14 @@ def find(array: pa.Array, items: Items, threshold: float = THRESHOLD) -> list[tu
         whole = whole[s.known_before[words.starts[whole + 1] - width + 1] > s.known_before[words.starts[whole]]]
         many = np.concatenate((np.full(len(start), n), words.counts[whole]))
         start, spans = np.concatenate((start, words.starts[whole])), many - width + 1
-        prints = _simhash(s.before, s.rank[start], spans) if len(start) else np.zeros(0, np.uint64)
-        window, item = _candidates(prints, size, items.radius)
         # shingles that no item has are not shared: an upper bound of the similarity before the exact one
-        hopeful = s.known_before[start[window] + spans[window]] - s.known_before[start[window]] >= threshold * span - 1e-9
-        for w, i in zip(window[hopeful].tolist(), item[hopeful].tolist(), strict=True):
+        hopeful = s.known_before[start + spans] - s.known_before[start] >= threshold * span - 1e-9
+        start, spans, many = start[hopeful], spans[hopeful], many[hopeful]
+        if not len(start):
+            continue
+        prints = _simhash(s.before, s.rank[start], spans)
+        window, item = _candidates(prints, size, items.radius)
+        for w, i in zip(window.tolist(), item.tolist(), strict=True):
             vocabulary = vocabulary or words.vocabulary.to_pylist()
             first, number, long = int(start[w]), int(size[0][i]), int(many[w])
             value = similarity([vocabulary[c] for c in words.codes[first : first + long].tolist()], items.words[number], items.width)

@@ -96,3 +96,26 @@ def test_texts_shorter_than_the_item(spark, scratch):
     assert abs(got[0]["similarity"] - 54 / 55) < 1e-12 and (got[0]["first_word"], got[0]["n_words"]) == (0, 58)
     assert abs(got[3]["similarity"] - 44 / 55) < 1e-12 and got[6]["similarity"] == 1.0 and got[6]["n_words"] == 59
     assert sorted(r["doc_id"] for r in decontaminate.without_leaks(docs, items, scratch).collect()) == [4, 8, 9]
+
+
+def test_recall_of_edited_passages():
+    """Of passages at or above the threshold, the fingerprints lose no more than the radius of three deviations says."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    texts, items, wanted = [], [], set()
+    for i in range(3000):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((50, 59, 100, 120)))]
+        edited = list(words)
+        for at in rng.sample(range(len(words)), len(words) // 50):
+            edited[at] = "new"
+        items.append(" ".join(words))
+        texts.append(" ".join(["before", *edited, "after"]))
+        if similarity(edited, words) >= 0.8:
+            wanted.add((i, i))
+    block = decontaminate.Items(pa.array(range(len(items))), pa.array(items, pa.large_string()))
+    found = {(t, n) for t, n, *_ in decontaminate.find(pa.array(texts, pa.large_string()), block)}
+    assert found <= wanted and len(wanted) > 2000
+    assert len(wanted - found) <= 0.002 * len(wanted)
