@@ -16,6 +16,8 @@ BUCKETS = 1 << 16
 # Rows learnt from, per language: those with the smallest hash of their id.
 ROWS_PER_LANGUAGE = 1000
 SMOOTHING = 0.1
+# Parts of the range of hashes, to rank few rows in a task.
+STRIPES = 1 << 16
 # What one more language must add to the log likelihood, times the logarithm of the words.
 PENALTY = 4.0
 ROUNDS = 12
@@ -58,9 +60,7 @@ def learn(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     Rows without text or language are passed over. The table has ``BUCKETS`` rows whatever the input.
     """
     labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    order = Window.partitionBy("lang").orderBy("h", "id")
-    ranked = labelled.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id")).withColumn("n", F.row_number().over(order))
-    chosen = scratch.keep(ranked.where(F.col("n") <= rows).select("id", "lang").distinct(), "learnt")
+    chosen = scratch.keep(_chosen(labelled, id_col, lang_col, rows, scratch), "learnt")
     sample = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("words")).join(hinted(chosen, chosen.count()), ["id", "lang"], "left_semi")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -76,7 +76,7 @@ def learn(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
             often = np.bincount(words.codes[of_word == number], minlength=len(n_grams))
             sums = np.bincount(grams, weights=np.repeat(often, n_grams), minlength=BUCKETS)
             some = np.flatnonzero(sums)
-            rows.append((pa.array([name] * len(some)), pa.array(some.astype(np.int32)), pa.array(sums[some].astype(np.int64))))
+            rows.append((pa.array([name] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(sums[some].astype(np.int64))))
         return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*rows, strict=True)], names=["lang", "bucket", "n"])
 
     counts = map_arrow(sample.select("lang", "words"), count, "lang string, bucket int, n long", "words").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
@@ -87,6 +87,27 @@ def learn(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     return languages, np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
+def _chosen(labelled: DataFrame, id_col: str, lang_col: str, rows: int, scratch: Scratch) -> DataFrame:
+    """(id, lang): of each language the ``rows`` ids with the least hashes.
+
+    A histogram of the hashes' upper bits tells up to which of ``STRIPES`` stripes ids are needed, so that only about so many
+    rows of a language are ever ranked in one task.
+    """
+    ids = scratch.keep(labelled.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id")).distinct(), "ids")
+    stripe = F.shiftrightunsigned("h", 64 - STRIPES.bit_length() + 1).cast("int")
+    sizes = ids.groupBy("lang", stripe.alias("stripe")).count().groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("stripe", "count"))).alias("sizes"))
+    # the first stripe with which the languages' count reaches what is asked for
+    sums = F.aggregate(
+        "sizes", F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(-1).alias("last")),
+        lambda a, s: F.when(a["sum"] >= rows, a).otherwise(F.struct((a["sum"] + s["count"]).alias("sum"), s["stripe"].alias("last"))),
+    )
+    needed = scratch.keep(sizes.select(F.col("lang").alias("_lang"), sums["last"].alias("last")), "stripes")
+    needed = hinted(needed, needed.count())
+    few = ids.withColumn("stripe", stripe).join(needed, (F.col("lang") == F.col("_lang")) & (F.col("stripe") <= F.col("last")))
+    order = Window.partitionBy("lang").orderBy("stripe", F.hex("h"), "id")
+    return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows).select("id", "lang")
+
+
 def mixtures(array: pa.Array, table: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> np.ndarray:
     """Shares of the languages in each text, [text, language]; all zero for a text without a letter.
 

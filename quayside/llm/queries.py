@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontaminate, langid, licenses, lines, lm, pieces, simhash, sketch, tokenfile, warc
+from quayside.llm import decontaminate, langid, licenses, lines, lm, manifest, pieces, quality, runs, simhash, sketch, tokenfile, warc
 from quayside.plans.session import Scratch
 from quayside.plans.tables import Registry, table
 
@@ -83,3 +83,22 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best window of every document and benchmark item that match."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
+@registry.add()
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, distances to the nearest language and verdict of every document."""
+    documents = table(spark, sf_dir, "documents")
+    return quality.judge(documents, quality.learn(documents, Scratch(spark)))
+
+
+@registry.add(sql=manifest.oracle_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that its tampered form folds to."""
+    return manifest.proofs(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@registry.add()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them made to end in a repeated piece."""
+    return runs.scan(table(spark, sf_dir, "documents"), repeat=True)

@@ -45,3 +45,21 @@ def test_nothing_to_learn_from(spark, scratch, odd_documents):
     model = langid.learn(odd_documents.where(F.lit(False)), scratch)
     assert model[0] == [] and {r["lang_pred"] for r in langid.predict(odd_documents, model, ["doc_id"]).collect()} == {langid.UNKNOWN}
     assert langid.predict(odd_documents.where(F.lit(False)), model, ["doc_id"]).count() == 0
+
+
+def test_learning_where_one_language_has_only_wordless_texts(spark, scratch):
+    docs = spark.createDataFrame([(0, "123", "en"), (1, "bonjour le monde", "fr"), (2, "", "de")], "doc_id long, text string, lang string").coalesce(1)
+    languages, table = langid.learn(docs, scratch)
+    assert languages == ["fr"] and table.shape == (langid.BUCKETS, 1)
+
+
+def test_the_ids_with_the_least_hashes_are_learnt_from(spark, scratch):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "'x' AS text", "IF(id % 50 = 0, 'rare', 'often') AS lang")
+    docs = docs.unionByName(docs.where("doc_id < 100"))
+    got = {(r["lang"], r["id"]) for r in langid._chosen(docs, "doc_id", "lang", 300, scratch).collect()}
+    rows = docs.distinct().selectExpr("lang", "doc_id", "xxhash64(doc_id) AS h").collect()
+    expected = set()
+    for lang in ("rare", "often"):
+        some = sorted((r["h"] % 2**64, r["doc_id"]) for r in rows if r["lang"] == lang)[:300]
+        expected |= {(lang, i) for _, i in some}
+    assert got == expected
