@@ -223,6 +223,7 @@ def leaks(
 
 
 _built: dict[str, Items] = {}
+_KEY = "__leak_key"
 
 
 def _items(name: str, sent, width: int, radius: int) -> Items:
@@ -233,8 +234,12 @@ def _items(name: str, sent, width: int, radius: int) -> Items:
     return _built[name]
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id matches no benchmark item; rows without an id stay only if their text matches none."""
-    found = scratch.keep(leaks(docs, benchmark, scratch, id_col, **options).select(id_col).distinct(), "leaks")
-    n = found.count()
-    return docs.join(hinted(found, n), docs[id_col].eqNullSafe(found[id_col]), "left_anti").select(*docs.columns)
+def without_leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text matches no benchmark item.
+
+    Rows go by id and text, so a clean row stays whatever other rows share its id, a null one too.
+    """
+    key = F.md5(F.concat(*[F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in (F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))]))
+    keyed = docs.select(key.alias(_KEY), text_col)
+    found = scratch.keep(leaks(keyed, benchmark, scratch, _KEY, text_col, **options).select(_KEY).distinct(), "leaks")
+    return docs.join(hinted(found, found.count()), key == found[_KEY], "left_anti").select(*docs.columns)

@@ -252,11 +252,12 @@ def decode(starts: np.ndarray, ids: np.ndarray, m: Model) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(out), pa.py_buffer(np.ascontiguousarray(data[kept])))
 
 
-def encode_sampled(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 0) -> DataFrame:
+def encode_sampled(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", alpha: float = 1.0, seed: int = 0, size: int = SLICE) -> DataFrame:
     """``(<id_col>, n_pieces, ids, lossless)``: a sampled segmentation of every whole text, and whether it decodes to the text.
 
     The row key is the id as text together with ``seed``; repeated rows come out alike, a null id counts as empty text. A
-    null or empty text has no ids. Other columns are ignored. ``model_path`` must be readable on every executor.
+    null or empty text has no ids. Other columns are ignored. ``model_path`` must be readable on every executor. ``size``
+    bytes of text are in work at a time; fewer take less memory and more time, and give the same ids.
     """
     from quayside.llm.batches import hash64
 
@@ -270,7 +271,7 @@ def encode_sampled(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
         return pa.RecordBatch.from_arrays([column(batch, id_col), pa.array(np.diff(starts)), lists, same], names=[id_col, "n_pieces", "ids", "lossless"])
 
     schema = f"{id_col} {doc_ids_type(docs, id_col)}, n_pieces long, ids array<int>, lossless boolean"
-    return map_arrow(docs.select(id_col, text_col), run, schema, text_col, SLICE)
+    return map_arrow(docs.select(id_col, text_col), run, schema, text_col, size)
 
 
 def decoded(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids", alpha: float = 1.0) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.batches import Words, column, doc_ids_type, map_arrow, texts, xxh64_slices
 from quayside.llm.components import connected
-from quayside.plans.session import Scratch
+from quayside.plans.session import Scratch, hinted
 
 BYTES = 8
 
@@ -41,6 +41,8 @@ def batch_fingerprints(array: pa.Array, width: int = 3, seed: int = 42) -> np.nd
         out[some] = np.packbits(2 * ones > runs[some, None], axis=1, bitorder="little").view("<u8").ravel()
     return out
 
+_KEY = "__near_key"
+
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seed: int = 42) -> DataFrame:
     """``(id, fp)``, one row per row of ``docs``; a null text counts as empty and has fingerprint 0."""
@@ -160,20 +162,19 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` with one document of each near-duplicate group left: that with the smallest id.
+    """The rows of ``docs`` with one document of each near-duplicate group left: that with the smallest id, null ids last.
 
-    Rows without an id stay. Rows that repeat the id that stays are one document: the one whose text is smallest stays.
+    Rows go by id and text, so an unlike text under a repeated id is a document of its own. Rows that repeat both are one
+    document, and of those the one with the smallest hash over all columns stays.
     """
-    from quayside.plans.session import hinted
-
-    found = near_duplicates(docs, scratch, id_col, text_col, width, most_bits)
-    drop = scratch.keep(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "drop")
-    kept = docs.join(hinted(drop, drop.count()), id_col, "left_anti").select(*docs.columns)
-    twice = scratch.keep(docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col), "twice")
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("none"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"))
+    found = near_duplicates(docs.select(key.alias(_KEY), F.col(f"`{text_col}`").alias("text")), scratch, _KEY, "text", width, most_bits)
+    drop = scratch.keep(found.where(F.col(_KEY) != F.col("component_id")).select(_KEY).distinct(), "drop")
+    kept = docs.join(hinted(drop, drop.count()), key == F.col(_KEY), "left_anti")
+    twice = scratch.keep(docs.groupBy(key.alias(_KEY)).count().where("count > 1").select(_KEY), "twice")
     n = twice.count()
-    once = kept.join(hinted(twice, n), id_col, "left_anti").select(*docs.columns)
     if not n:
-        return once
-    first = F.min_by(F.struct(*docs.columns), F.struct(text_col, F.xxhash64(*docs.columns))).alias("row")
-    repeated = kept.join(hinted(twice, n), id_col, "left_semi").groupBy(id_col).agg(first).select("row.*")
-    return once.unionByName(repeated)
+        return kept
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    repeated = kept.join(hinted(twice, n), key == F.col(_KEY), "left_semi").groupBy(key).agg(first.alias("__row")).select("__row.*")
+    return kept.join(hinted(twice, n), key == F.col(_KEY), "left_anti").unionByName(repeated)

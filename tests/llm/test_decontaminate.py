@@ -79,6 +79,15 @@ def test_odd_rows(spark, scratch, odd_documents):
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 5]
 
 
+def test_clean_rows_stay_beside_leaks_of_the_same_id(spark, scratch):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, words), (None, "a clean text"), (None, None), (5, words), (5, "another clean text"), (5, ""), (6, "clean too"), (6, "clean too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    left = decontaminate.without_leaks(docs, items, scratch).collect()
+    assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] != words), key=str)
+
+
 def test_empty_tables(spark, scratch, odd_documents):
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert decontaminate.leaks(odd_documents.where(F.lit(False)), items, scratch).count() == 0

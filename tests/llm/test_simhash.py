@@ -98,3 +98,9 @@ def test_odd_rows(spark, scratch, odd_documents):
 def test_empty_table(spark, scratch, odd_documents):
     none = odd_documents.where(F.lit(False))
     assert simhash.near_duplicates(none, scratch).count() == 0 and simhash.keep_one(none, scratch).count() == 0
+
+
+def test_one_of_each_group_stays_by_id_and_text(spark, scratch):
+    rows = [(1, "a b c d e f g"), (1, "unlike text under the same id"), (None, "A b c d e f g"), (None, "its own text"), (None, "its own text"), (5, "its  own text"), (1, "a b c d e f g")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()
+    assert sorted(map(tuple, kept)) == [(1, "a b c d e f g"), (1, "unlike text under the same id"), (5, "its  own text")]
