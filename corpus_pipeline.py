@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import copies, decontaminate, langid, lines, pieces
+from quayside.llm import decontaminate, langid, lines, pieces, simhash
 from quayside.llm.queries import TOKENIZERS
 from quayside.plans.session import Scratch, configure
 from quayside.plans.tables import table
@@ -18,6 +18,8 @@ from quayside.plans.tables import table
 ORACLE_SQL = None
 # A document stays when one language has at least this share of its words.
 MIN_SHARE = 0.5
+# Text in the last stage's work at a time: workers still hold what earlier stages needed, so it takes less than the operator alone.
+ENCODED_BYTES = 250_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +39,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, Jaccard similarity 0.8 or more."""
-    return copies.keep_one(docs, Scratch(spark))
+    """One document of each group of near duplicates: three-word shingles, fingerprints that differ in at most two bits."""
+    return simhash.keep_one(docs, Scratch(spark))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sampled piece ids of every document that is left."""
-    return pieces.encode_sampled(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    return pieces.encode_sampled(docs, f"{TOKENIZERS}/piece_bpe_32k.model", size=ENCODED_BYTES)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
