@@ -6,12 +6,14 @@ hundred-thousandth of the data at the default batch size.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators.index import with_group_index
+from quayside.operators.log import MERGE_AFTER, Log, Snapshot
 from quayside.plans.session import Scratch
 from quayside.plans.storage import Storage
 
@@ -28,28 +30,59 @@ NETWORK_KINDS = ("connect", "transport", "transfer")
 SERVER_KIND = "server"
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``; empty when nothing was loaded yet.
+FULL_SCHEMA = f"{LEDGER_SCHEMA}, batches bigint, commit string"
+_FIELDS = ("seq", "table", "load_id", "token", "batch_index", "rows", "status", "attempts", "causes", "ts", "batches", "commit")
+
+
+class ConflictError(RuntimeError):
+    """Another writer added to the log since it was read."""
+
+
+def read_ledger(spark: SparkSession, path: str, at: Snapshot | None = None) -> DataFrame:
+    """The ledger at ``path``, or as it was in a snapshot; empty when nothing was loaded yet.
 
     ``batches`` tells how many batches a row's load had in all, where the call knew it; ``commit`` names the folder its data
     went to.
     """
-    schema = f"{LEDGER_SCHEMA}, batches bigint, commit string"
-    if any(c.startswith("commit=") for c in Storage(spark).children(path)):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
-
-def append_ledger(rows: DataFrame, path: str, commit: str | None = None) -> None:
-    """Add the rows of one call. They appear all at once, by the move of their folder."""
-    files, commit = Storage(rows.sparkSession), commit or uuid.uuid4().hex
-    staged, folder = f"{path}/_staging-{commit}", f"{path}/commit={commit}"
-    known = "batches" if "batches" in rows.columns else "cast(null as bigint) as batches"
-    rows.selectExpr("seq", "table", "load_id", "token", "batch_index", "rows", "status", "attempts", "causes", "ts", known).write.mode(
-        "overwrite"
-    ).parquet(staged)
-    files.delete(folder)
-    files.move(staged, folder)
+    log = Log(spark, path)
+    return log.rows(at or log.snapshot(), FULL_SCHEMA)
+
+
+def append_ledger(rows: DataFrame | list[dict], path: str, commit: str | None = None, after: Snapshot | None = None, spark: SparkSession | None = None) -> None:
+    """Add the rows of one call. They appear all at once, as one entry of the log.
+
+    With ``after`` the entry must be the next one after that snapshot, else ``ConflictError``; without it the rows go in
+    behind whatever is there. Rows in hand (few) are part of the entry, a frame is written as a part of the ledger.
+    """
+    spark = spark or rows.sparkSession
+    log, commit = Log(spark, path), commit or uuid.uuid4().hex
+    entry: dict = {"commit": commit}
+    if isinstance(rows, list):
+        now = time.time()
+        entry["rows"] = [[(r.get(f) if f not in ("ts", "commit") else now if f == "ts" else commit) for f in _FIELDS] for r in rows]
+        entry["count"] = len(rows)
+        last: dict[str, int] = {}
+        for r in rows:
+            last[r["table"]] = max(last.get(r["table"], -1), r["seq"])
+    else:
+        known = "batches" if "batches" in rows.columns else "cast(null as bigint) as batches"
+        full = rows.selectExpr("seq", "table", "load_id", "token", "batch_index", "rows", "status", "attempts", "causes", "ts", known).withColumn("commit", F.lit(commit))
+        entry["part"] = log.write_part(full)
+        sums = spark.read.schema(FULL_SCHEMA).parquet(f"{log.path}/{entry['part']}").groupBy("table").agg(F.max("seq").alias("last"), F.count(F.lit(1)).alias("n")).collect()
+        last = {r["table"]: r["last"] for r in sums if r["last"] is not None}
+        entry["count"] = sum(r["n"] for r in sums)
+    at = after or log.snapshot()
+    while True:
+        entry["next"] = {t: max(n + 1, at.next.get(t, 0)) for t, n in last.items()}
+        if log.put(entry, at):
+            break
+        if after is not None:
+            if "part" in entry:
+                Storage(spark).delete(f"{log.path}/{entry['part']}")
+            raise ConflictError(f"another writer added entry {at.number + 1} to {path}")
+        at = log.snapshot()
+    if len(at.tail) + 1 >= MERGE_AFTER:
+        log.merge(FULL_SCHEMA)
 
 
 def recent_tokens(ledger: DataFrame, window: int, scratch: Scratch | None = None) -> DataFrame:
