@@ -75,21 +75,35 @@ def json_rows(df: DataFrame, local_zone: str = "UTC") -> DataFrame:
     return df.select(json_object(df, df.columns, local_zone).alias("json"))
 
 
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# A string without quotes inside, or a number, as JSON spells them.
+_SCALAR = r'"([^"]*+)"|(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+\-]?[0-9]++)?+)'
+_MARK = "\x01"
+
+
 def json_flatten(df: DataFrame, column: str) -> DataFrame:
     """Key and value of every flat member of a JSON object; nested members and broken text give no rows.
 
-    Keys come out sorted, values as the text has them, strings without their quotes (``null`` for a JSON null). An
-    object that repeats a key counts as broken.
+    Values come out as the text has them (``1e3``, ``1.0``), strings without their quotes (``null`` for a JSON
+    null). An object that repeats a key counts as broken.
     """
-    spread = df.lateralJoin(
-        df.sparkSession.tvf.variant_explode(F.try_parse_json(F.col(f"`{column}`").outer())), how="inner"
-    )
-    kind = F.schema_of_variant(F.col("value"))
-    flat = spread.where(F.col("key").isNotNull() & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY"))
-    # the parsed value tells the kind; its spelling comes from the text
-    spelled = F.from_json(F.col(f"`{column}`"), "map<string,string>")
-    value = F.coalesce(F.try_element_at(spelled, F.col("key")), F.lit("null"))
-    return flat.select(*[F.col(f"`{c}`") for c in df.columns], "key", value.alias("value"))
+    # With escaped quotes and backslashes spelled by number no string has a quote inside, and one pattern finds strings and
+    # numbers. Numbers become strings, so the parser keeps their spelling; a mark behind a string and before a number
+    # tells them from each other and from true, false and nested text.
+    text = F.replace(F.replace(F.col(f"`{column}`"), F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022"))
+    marked = F.regexp_replace(text, _SCALAR, '"$1\\\\u0001$2"')
+    members = df.withColumn("_members", F.from_json(marked, "map<string,string>", _STRICT))
+    once = F.size(F.array_distinct(F.map_keys("_members"))) == F.size("_members")
+    # the outer form, as the plain one comes with a filter that would parse the text a second time
+    spread = members.select(*[F.col(f"`{c}`") for c in df.columns], F.explode_outer(F.when(once, F.col("_members"))).alias("_key", "_value"))
+    value = F.col("_value")
+    plain = (
+        F.when(value.isNull(), F.lit("null")).when(value.endswith(_MARK), F.expr("left(_value, length(_value) - 1)"))
+        .when(value.startswith(_MARK), F.substr(value, F.lit(2))).otherwise(value)
+    )
+    flat = value.isNull() | value.endswith(_MARK) | ~(value.startswith("{") | value.startswith("["))
+    kept = spread.where(F.col("_key").isNotNull() & flat)
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns], F.expr("left(_key, length(_key) - 1)").alias("key"), plain.alias("value"))
 
 
 def unknown_fields(text: Column, known: list[str]) -> Column:

@@ -114,12 +114,15 @@ def json_rows(spark, sf_dir):
     SELECT event_id, 'k' AS key, regexp_extract(props, '[0-9]+') AS value FROM events WHERE event_id % 23 <> 9
     UNION ALL SELECT event_id, 'type', '{' || event_type FROM events WHERE event_id % 23 <> 9
     UNION ALL SELECT event_id, 'nothing', 'null' FROM events WHERE event_id % 23 <> 9
+    UNION ALL SELECT event_id, 'big', event_id || 'e400' FROM events WHERE event_id % 23 <> 9
+    UNION ALL SELECT event_id, 'fine', event_id || '.0' FROM events WHERE event_id % 23 <> 9
+    UNION ALL SELECT event_id, 'a "key" ' || chr(92), '"' || event_type || '" ' || chr(92) FROM events WHERE event_id % 23 <> 9
 """)
 def flatten_json(spark, sf_dir):
-    """Flat members of JSON objects; nested members and broken text give nothing."""
-    text = F.concat(F.lit('{"type": "{'), F.col("event_type"), F.lit('", "nothing": null, "deep": {"x": 1}, "list": [1], "k": '),
-                    F.regexp_extract("props", "[0-9]+", 0), F.lit("}"))
-    broken = F.when(F.col("event_id") % 46 == 9, F.lit("not json")).when(F.col("event_id") % 23 == 9, F.lit("")).otherwise(text)
+    """Flat members of JSON objects, as they are spelled; nested members, broken text and repeated keys give nothing."""
+    text = F.concat(F.lit('{"type": "{'), F.col("event_type"), F.lit('", "nothing": null, "deep": {"x": 1}, "list": [1], "big": '), F.col("event_id"), F.lit('e400, "fine": '), F.col("event_id"),
+                    F.lit('.0, "a \\"key\\" \\\\": "\\"'), F.col("event_type"), F.lit('\\" \\\\", "k": '), F.regexp_extract("props", "[0-9]+", 0), F.lit("}"))
+    broken = F.when(F.col("event_id") % 92 == 9, F.lit('{"a": 1, "a": 2}')).when(F.col("event_id") % 46 == 9, F.lit("not json")).when(F.col("event_id") % 23 == 9, F.lit("")).otherwise(text)
     return json_flatten(table(spark, sf_dir, "events").select("event_id", broken.alias("summary")), "summary").select("event_id", "key", "value")
 
 
