@@ -20,6 +20,8 @@ from quayside.functions import instants, jsontext, text
 from quayside.types import INT_BOUNDS, WIDE_INTS, ColumnSpec, ColumnType, storage_type
 
 ERRORS = "_errors"
+# Where a reader says why it could not parse a record; such a record is a bad row, for this reason alone.
+UNREADABLE = "_unreadable"
 
 # Accepted spellings of a boolean.
 TRUE_TEXT = ("true", "1", "yes", "y", "t")
@@ -505,7 +507,8 @@ def conform(df: DataFrame, columns: list[ColumnSpec], local_zone: str = "UTC", k
     """Convert the columns of ``df`` named in ``columns`` to their target types.
 
     The result has the ``keep`` columns as they are, the converted columns in the
-    order of ``columns`` and ``_errors array<string>``, empty for a clean row. Filter
+    order of ``columns`` and ``_errors array<string>``, empty for a clean row. A kept ``_unreadable`` becomes the row's only
+    error where it is not null. Filter
     on source columns before this call: the scan cannot see a later filter.
     """
     require_utc(df)
@@ -517,4 +520,8 @@ def conform(df: DataFrame, columns: list[ColumnSpec], local_zone: str = "UTC", k
     carried = [F.col(f"_keep_{i}") for i in range(len(keep))]
     step = df.select(*[F.col(f"`{k}`").alias(f"_keep_{i}") for i, k in enumerate(keep)], *parse)
     step = step.select(*carried, *narrow)
-    return step.select(*[c.alias(k) for c, k in zip(carried, keep, strict=True)], *report)
+    done = step.select(*[c.alias(k) for c, k in zip(carried, keep, strict=True)], *report)
+    if UNREADABLE not in keep:
+        return done
+    told = F.when(F.col(UNREADABLE).isNotNull() & (F.spark_partition_id() >= 0), F.array(UNREADABLE)).otherwise(F.col(ERRORS))
+    return done.withColumn(ERRORS, told).drop(UNREADABLE)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.convert import ERRORS, conform
+from quayside.functions.convert import ERRORS, UNREADABLE, conform
 from quayside.operators import ledger as L
 from quayside.operators.align import AlignmentError, default_column, insertable
 from quayside.operators.batches import MAX_ROWS, batch_token, base_token, cut_batches, token_error
@@ -568,13 +568,14 @@ def _result(batches: DataFrame, sums: dict, refused: DataFrame, bad: int, handed
 def _converted(df, columns, load_id, single, order_by, token, zone, typed, table) -> tuple[DataFrame, list[ColumnSpec]]:
     """Aligned and converted rows with their load id, base token and defaults, and the columns they fill."""
     names = {s.name for s in columns}
-    helpers = {load_id, token, *[c for c in order_by if isinstance(c, str)]}
+    told = [UNREADABLE] if UNREADABLE in df.columns else []
+    helpers = {load_id, token, *told, *[c for c in order_by if isinstance(c, str)]}
     fields = [c for c in df.columns if c in names or c not in helpers]
     chosen = insertable(fields, columns, table, typed)
     source = df.withColumn(LOAD, F.lit(load_id) if single else F.col(f"`{load_id}`").cast("string"))
     source = source.withColumn(TOKEN, base_token(token, LOAD))
     sort_only = [c for c in order_by if isinstance(c, str) and c not in names]
-    rows = conform(source, chosen, zone, keep=[LOAD, TOKEN, *sort_only])
+    rows = conform(source, chosen, zone, keep=[LOAD, TOKEN, *sort_only, *told])
     absent = {s.name: default_column(s) for s in columns if not s.computed and s not in chosen}
     if absent:
         rows, chosen = rows.withColumns(absent), [s for s in columns if not s.computed]

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 from quayside.operators import ledger as L
 from quayside.operators import statements as S
 from quayside.operators.load import load, load_table, read_target
+from quayside.operators.queries import outcomes, read_results, run_each
 from quayside.plans.session import Scratch
 from quayside.plans.tables import Registry, table
+from quayside.sources.readers import read_units
 from quayside.types import ColumnSpec, spec
 
 registry = Registry()
 
 _ORDERS = spec(("o_orderkey", "UInt64"), ("o_custkey", "UInt32"), ("o_totalprice", "Decimal(18, 2)"))
-CALLS = 22
+CALLS = 12
 
 
 def _texts(df, *names):
@@ -25,7 +27,7 @@ def _texts(df, *names):
 @registry.add(f"""
     SELECT 'call-' || k AS load_id, count(o_orderkey) AS in_table, count(o_orderkey) * (CASE WHEN k < 2 THEN 2 ELSE 1 END) AS rows_written,
            ceil(count(o_orderkey) / 100)::BIGINT * (CASE WHEN k < 2 THEN 2 ELSE 1 END) AS inserts,
-           CASE WHEN k < 2 THEN ceil(count(o_orderkey) / 100)::BIGINT ELSE 0 END AS duplicates, sum(o_totalprice)::DECIMAL(38, 2) AS total
+           CASE WHEN k < 2 THEN ceil(count(o_orderkey) / 100)::BIGINT ELSE 0 END AS duplicates, sum(o_custkey)::BIGINT AS customers
     FROM range({CALLS}) t(k) LEFT JOIN orders ON o_orderkey % {CALLS} = k GROUP BY k
 """)
 def load_many_calls(spark, sf_dir):
@@ -38,7 +40,7 @@ def load_many_calls(spark, sf_dir):
         load(some, path, _ORDERS, book, load_id=f"call-{k}", max_rows=100).close()
     told = L.load_summary(L.read_ledger(spark, book))
     rows = read_target(spark, path, _ORDERS).groupBy(F.concat(F.lit("call-"), F.col("o_orderkey") % CALLS).alias("load_id"))
-    return rows.agg(F.count(F.lit(1)).alias("in_table"), F.sum("o_totalprice").cast("decimal(38,2)").alias("total")).join(told, "load_id")
+    return rows.agg(F.count(F.lit(1)).alias("in_table"), F.sum(F.col("o_custkey").cast("bigint")).alias("customers")).join(told, "load_id")
 
 
 @registry.add("""
@@ -110,3 +112,74 @@ def load_partitioned(spark, sf_dir):
     found = scratch.keep(found, "found")
     S.drop(spark, name)
     return found
+
+
+@registry.add("""
+    SELECT 'in' AS fate, 'part-' || k AS unit, count(*) AS n, sum(event_id)::BIGINT AS ids, 0 AS bad FROM (SELECT *, event_id % 3 AS k FROM events) WHERE k <> 1 GROUP BY k
+    UNION ALL SELECT 'back', 'part-1', count(*) + 1, sum(event_id)::BIGINT, 1 FROM events WHERE event_id % 3 = 1
+""")
+def load_corrupt(spark, sf_dir):
+    """Three files, a broken line in one of them: two go in, the third comes back whole with the parse error."""
+    scratch = Scratch(spark)
+    folder, path, book = scratch.path("json"), scratch.path("target"), scratch.path("ledger")
+    events, target = table(spark, sf_dir, "events").select("event_id", "user_id"), spec(("event_id", "UInt64"), ("user_id", "UInt32"))
+    for k in range(3):
+        lines = events.where(F.col("event_id") % 3 == k).select(F.to_json(F.struct("event_id", "user_id")).alias("line"))
+        if k == 1:
+            lines = lines.unionByName(spark.range(1).select(F.lit('{"event_id": 1, "user_id"').alias("line")))
+        lines.coalesce(1).write.text(f"{folder}/part-{k}")
+    unit = F.regexp_extract("load_id", "(part-[0-9])/", 1)
+    records = read_units(spark, f"{folder}/*", "json", target).withColumn("load_id", unit)
+    done = load(records, path, target, book, order_by=["event_id"])
+    told = F.count(F.when(F.size("_errors") > 0, 1)).cast("int").alias("bad")
+    went = read_target(spark, path, target).groupBy(F.concat(F.lit("part-"), F.col("event_id") % 3).alias("unit")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").cast("bigint").alias("ids"), F.lit(0).alias("bad")
+    )
+    good = F.when(F.size("_errors") == 0, F.col("event_id"))
+    back = done.rejected.groupBy(F.col("load_id").alias("unit")).agg(F.count(F.lit(1)).alias("n"), F.sum(good).cast("bigint").alias("ids"), told)
+    return went.select(F.lit("in").alias("fate"), "*").unionByName(back.select(F.lit("back").alias("fate"), "*"))
+
+
+@registry.add("""
+    SELECT 'file-' || k AS file, count(*) AS n, sum(o_orderkey)::BIGINT AS ids, sum(CASE WHEN k = 2 THEN 0 ELSE o_custkey END)::BIGINT AS customers,
+           ceil(count(*) / 500)::BIGINT AS inserts, ceil(count(*) / 500)::BIGINT AS duplicates
+    FROM (SELECT *, o_orderkey % 3 AS k FROM orders) GROUP BY k
+""")
+def load_by_file(spark, sf_dir):
+    """Each file is a unit under its own header, its name the token; the second run adds nothing."""
+    scratch = Scratch(spark)
+    folder, path, book = scratch.path("csv"), scratch.path("target"), scratch.path("ledger")
+    orders, target = table(spark, sf_dir, "orders"), spec(("o_orderkey", "UInt64"), ("o_custkey", "UInt32"), ("kind", "String"))
+    headers = (["o_orderkey", "o_custkey", "kind"], ["kind", "o_orderkey", "o_custkey"], ["kind", "o_orderkey"])
+    for k, fields in enumerate(headers):
+        some = orders.where(F.col("o_orderkey") % 3 == k).withColumn("kind", F.lit(f"file-{k}"))
+        some.select(*fields).coalesce(1).write.option("header", True).csv(f"{folder}/file-{k}")
+    records = read_units(spark, f"{folder}/*", "csv", target, by_header=True).withColumn("load_id", F.regexp_extract("load_id", "(file-[0-9])/", 1))
+    for _ in range(2):
+        done = load(records, path, target, book, order_by=["o_orderkey"], max_rows=500)
+        told = L.load_summary(done.batches).select(F.col("load_id").alias("file"), "inserts", "duplicates")
+    rows = read_target(spark, path, target).groupBy(F.col("kind").alias("file"))
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").cast("bigint").alias("ids"), F.sum(F.col("o_custkey").cast("bigint")).alias("customers"))
+    return found.join(told, "file")
+
+
+@registry.add("""
+    SELECT c_nationkey AS nation, CASE WHEN c_nationkey % 5 = 3 THEN 'failed' WHEN c_nationkey % 5 = 4 THEN 'no query' ELSE 'ran' END AS fate,
+           CASE WHEN c_nationkey % 5 < 3 THEN count(*) ELSE 0 END AS n, CASE WHEN c_nationkey % 5 < 3 THEN sum(c_custkey)::BIGINT ELSE 0 END AS ids
+    FROM customer GROUP BY c_nationkey
+""")
+def control_failures(spark, sf_dir):
+    """A query per control row as jobs of its own; those that divide by zero at some row fail alone."""
+    scratch = Scratch(spark)
+    into = scratch.path("results")
+    customer = table(spark, sf_dir, "customer")
+    customer.createOrReplaceTempView(f"customer_{scratch.root[-32:]}")
+    good = f"SELECT c_custkey FROM customer_{scratch.root[-32:]} WHERE c_nationkey = :nation"
+    bad = f"SELECT assert_true(c_custkey < 0, 'no such customer') AS c_custkey FROM customer_{scratch.root[-32:]} WHERE c_nationkey = :nation"
+    fate = F.pmod(F.col("nation"), F.lit(5))
+    control = customer.select(F.col("c_nationkey").alias("nation")).distinct().withColumn("sql", F.when(fate == 3, F.lit(bad)).when(fate == 4, F.lit(" ")).otherwise(F.lit(good)))
+    found = outcomes(spark, control, list(run_each(spark, control, into, args=["nation"], keep=["nation"])))
+    sums = read_results(spark, into).groupBy(F.col("nation").alias("of")).agg(F.count(F.lit(1)).alias("got"), F.sum("c_custkey").cast("bigint").alias("ids"))
+    said = F.when(F.col("error").isNull() & (F.col("rows") == F.coalesce("got", F.lit(0))), "ran").when(F.col("error") == "no SQL query", "no query").otherwise("failed")
+    joined = found.join(sums, F.col("nation") == F.col("of"), "left")
+    return joined.select("nation", said.alias("fate"), F.coalesce("got", F.lit(0)).alias("n"), F.coalesce("ids", F.lit(0)).alias("ids"))

@@ -60,6 +60,19 @@ class Storage:
         fs, p = self._open(path)
         return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
 
+    def first_line(self, path: str, most: int = 1 << 20) -> str:
+        """The first line of a text file, without its end; at most ``most`` bytes are read."""
+        fs, p = self._open(path)
+        factory = self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf)
+        codec, stream = factory.getCodec(p), fs.open(p)
+        try:
+            inner = codec.createInputStream(stream) if codec is not None else stream
+            line = self._jvm.org.apache.hadoop.io.Text()
+            self._jvm.org.apache.hadoop.util.LineReader(inner).readLine(line, most, most)
+            return line.toString()
+        finally:
+            stream.close()
+
     def read_text(self, path: str) -> str | None:
         """A small file whole, None when it does not exist."""
         fs, p = self._open(path)

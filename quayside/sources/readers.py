@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import csv
 import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.convert import ERRORS, raw_shape
+from quayside.functions.convert import ERRORS, UNREADABLE, raw_shape
 from quayside.functions.jsontext import unknown_fields, unknown_in
 from quayside.functions.normalize import type_text
+from quayside.plans.storage import Storage
 from quayside.types import ColumnSpec
 
 CORRUPT = "_corrupt_record"
+HEADS_AT_ONCE = 16
 FORMATS = ("csv", "json", "parquet", "orc", "avro", "xml")
 TYPES_PROPERTY = "quayside.columns"
 
@@ -24,13 +29,65 @@ def raw_schema(columns: list[ColumnSpec]) -> T.StructType:
     return T.StructType([T.StructField(s.name, raw_shape(s.type)) for s in columns if not s.computed])
 
 
+def _files(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files under a path, as Spark would read them; no job runs."""
+    return sorted(unquote(f) for f in spark.read.text(path).inputFiles())
+
+
 def _by_header(spark: SparkSession, path: str | list[str], read) -> DataFrame:
-    """Files read under their own header lines, columns matched by name; those a file lacks are null there."""
-    line = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
-    first = line.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups = sorted((r["header"], sorted(r["files"])) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect())
-    frames = [read(files) for _, files in groups]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else read(path)
+    """Files read under their own header lines, columns matched by name; those a file lacks are null there.
+
+    Only the head of each file is opened for its header, as many at a time as ``HEADS_AT_ONCE``. ``read`` gets a header line
+    and the files that have it; an empty file has none and no rows.
+    """
+    files, store = _files(spark, path), Storage(spark)
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        heads = list(pool.map(store.first_line, files))
+    groups: dict[str, list[str]] = {}
+    for name, head in zip(files, heads, strict=True):
+        if head:
+            groups.setdefault(head.removeprefix("\ufeff"), []).append(name)
+    frames = [read(head, some) for head, some in sorted(groups.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else read("", files)
+
+
+def read_units(
+    spark: SparkSession, path: str | list[str], fmt: str, columns: list[ColumnSpec], by_header: bool = False, names_only: bool = False, **options
+) -> DataFrame:
+    """Records of CSV or JSON-lines files, each file a load of its own.
+
+    Adds ``load_id``, the file's path (its name with ``names_only``), and ``_unreadable``, the reason why a record could not be
+    parsed, null for the others. ``load`` fails the unit of such a record like that of any bad value, and hands it back whole.
+    CSV files are read under the first one's header, or with ``by_header`` each under its own; a record with too few or too many
+    values is unreadable. JSON fields that the columns do not have are unknown to the reader and left out.
+    """
+    if fmt not in ("csv", "json"):
+        raise ValueError("only csv and json lines are read record by record")
+    reader = spark.read.options(**options).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    corrupt = T.StructField(CORRUPT, T.StringType())
+
+    def framed(rows: DataFrame, fields: list[str]) -> DataFrame:
+        # Spark refuses to read nothing but the corrupt text, so the test looks at the fields as well
+        looked_at = F.xxhash64(*[F.col(f"`{f}`") for f in fields]) >= F.lit(-(2**63))
+        reason = F.concat(F.lit(f"malformed {fmt} record: "), F.substring(CORRUPT, 1, 200))
+        place = F.col("_metadata.file_name") if names_only else F.col("_metadata.file_path")
+        told = F.when(F.col(CORRUPT).isNotNull() & looked_at, reason)
+        return rows.select(*[F.col(f"`{f}`") for f in fields], place.alias("load_id"), told.alias(UNREADABLE))
+
+    if fmt == "json":
+        schema = raw_schema(columns)
+        return framed(reader.schema(T.StructType([*schema, corrupt])).json(path), schema.fieldNames())
+
+    def headed(head: str, files: list[str]) -> DataFrame:
+        fields = next(csv.reader([head], delimiter=options.get("sep", ",")), [])
+        schema = T.StructType([*[T.StructField(f, T.StringType()) for f in fields], corrupt])
+        return framed(reader.schema(schema).options(header=True, escape='"').csv(files), fields)
+
+    if by_header:
+        return _by_header(spark, path, headed)
+    files = _files(spark, path)
+    head = next((h for h in map(Storage(spark).first_line, files) if h), "")
+    return headed(head, files)
 
 
 def read_records(
@@ -39,8 +96,8 @@ def read_records(
     """Records of a file or folder.
 
     CSV takes its field names from the header and keeps every value as text; a quote inside quotes is doubled. A file
-    whose header differs from the first one's is an error; with ``by_header`` each file is read under its own, at the
-    price of one more pass. ``multi_line`` allows line breaks inside quotes, which keeps a file in one task. JSON
+    whose header differs from the first one's is an error; with ``by_header`` each file is read under its own, for
+    which the head of each is opened. ``multi_line`` allows line breaks inside quotes, which keeps a file in one task. JSON
     lines keep scalars as text too; with ``columns`` Spark needs no pass over the
     data to find the fields. Parquet, ORC and Avro bring their own types.
     """
@@ -49,7 +106,7 @@ def read_records(
     reader = spark.read.options(**options)
     if fmt == "csv":
         reader = reader.options(**{"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False} | options)
-        return _by_header(spark, path, reader.csv) if by_header else reader.csv(path)
+        return _by_header(spark, path, lambda _, files: reader.csv(files)) if by_header else reader.csv(path)
     if fmt == "json":
         if columns is not None:
             return reader.schema(raw_schema(columns)).json(path)
