@@ -151,7 +151,7 @@ def normalize(df: DataFrame, columns: list[ColumnSpec] | None = None, schema: T.
 
     ``columns`` gives the source type of each column (by name; Spark's own types
     otherwise). ``schema`` projects the records onto a writer's schema: its fields, in
-    its order, a missing field as null.
+    its order, a missing field as null. Every field may be null, also one the query says never is.
     """
     refuse_duplicates(df)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -162,4 +162,5 @@ def normalize(df: DataFrame, columns: list[ColumnSpec] | None = None, schema: T.
         records = records.select(
             *[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
         )
-    return records
+    # a condition that is always true: the plan drops it, the schema keeps what it allows
+    return records.select(*[F.col(f"`{f.name}`") if f.nullable else F.when(F.col(f"`{f.name}`").isNotNull(), F.col(f"`{f.name}`")).alias(f.name) for f in records.schema])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -61,6 +62,7 @@ def export(
     columns: list[ColumnSpec] | None = None,
     order_by: list[str | Column] | None = None,
     unique: bool = False,
+    in_place: bool = False,
     **options,
 ) -> ExportResult:
     """Write a result under ``path`` and say what was written.
@@ -68,7 +70,8 @@ def export(
     ``max_rows=0`` writes one output. Otherwise each ``fragment_index=<i>`` folder
     holds one file of at most ``max_rows`` rows in result order. ``json`` writes one
     exact object per line. Everything is written beside ``path`` first and moved there
-    when complete: a failed query leaves nothing behind.
+    when complete: a failed query leaves nothing behind. Where moving a folder means copying it (object stores), ``in_place``
+    writes to ``path`` itself and puts a manifest beside the data last; ``read_export`` only takes what has one.
     """
     if max_rows < 0:
         raise ValueError("max_rows must not be negative")
@@ -76,7 +79,7 @@ def export(
     if files.exists(path):
         raise FileExistsError(f"{path} already exists")
     identifier = uuid.uuid4().hex
-    staging = f"{path.rstrip('/')}__writing-{identifier}"
+    staging = path.rstrip("/") if in_place else f"{path.rstrip('/')}__writing-{identifier}"
     records = normalize(df, columns)
     try:
         if max_rows == 0:
@@ -93,7 +96,11 @@ def export(
                 _write(placed, staging, fmt, options, FRAGMENT)
             else:
                 _write(records, f"{staging}/{FRAGMENT}=0", fmt, options)
-        files.move(staging, path)
+        if in_place:
+            told = {"fragment_identifier": identifier, "fragments": fragments, "rows": rows, "format": fmt}
+            files.put_new(f"{staging}/{MANIFEST}", json.dumps(told))
+        else:
+            files.move(staging, path)
     except BaseException:
         files.delete(staging)
         raise
@@ -102,6 +109,17 @@ def export(
     return ExportResult(identifier, fragments, rows, manifest_of(spark, rows, max_rows, identifier, fmt))
 
 
+MANIFEST = "_manifest.json"
+
+
+def read_export(spark: SparkSession, path: str, **options) -> DataFrame:
+    """The rows of an export that was written in place; one without its manifest, not ended or failed, does not exist."""
+    text = Storage(spark).read_text(f"{path.rstrip('/')}/{MANIFEST}")
+    if text is None:
+        raise FileNotFoundError(f"{path} holds no finished export")
+    return spark.read.options(**options).format(json.loads(text)["format"]).load(path)
+
+
 def _write(records: DataFrame, path: str, fmt: str, options: dict, partition: str | None = None) -> None:
     by = [partition] if partition else []
     if fmt == "json":

@@ -113,7 +113,7 @@ def load(
     except (AlignmentError, RefusedError, ValueError):
         raise
     except Exception as error:
-        _note_failure(df.sparkSession, path, ledger_path, load_id, table, error)
+        note_failure(df.sparkSession, ledger_path, load_id, table or path.rstrip("/").rsplit("/", 1)[-1], error)
         raise
 
 
@@ -139,11 +139,12 @@ def load_table(df: DataFrame, table: str, ledger_path: str, **options) -> LoadRe
         spark.catalog.refreshTable(table)
 
 
-def _note_failure(spark: SparkSession, path: str, ledger_path: str, load_id: str, table: str | None, error: Exception) -> None:
-    """The ledger row of a call that failed; when even that cannot be written, the first error stands."""
+def note_failure(spark: SparkSession, ledger_path: str, load_id: str, table: str, error: Exception) -> None:
+    """The ledger row of a load that failed, once per error; when even that cannot be written, the first error stands."""
+    if getattr(error, "_noted", False):
+        return
     causes = L.cause_chain(error)
     status = L.RETRY if L.retryable_chain(causes) else L.FAILED
-    table = table or path.rstrip("/").rsplit("/", 1)[-1]
     try:
         at = Log(spark, ledger_path).snapshot()
         tried = L.read_ledger(spark, ledger_path, at).where((F.col("table") == table) & (F.col("load_id") == load_id)).agg(F.max("attempts")).first()[0]
@@ -152,6 +153,7 @@ def _note_failure(spark: SparkSession, path: str, ledger_path: str, load_id: str
             "attempts": (tried or 0) + 1, "causes": [(k, c, (m or "")[:2000]) for k, c, m in causes],
         }
         L.append_ledger([row], ledger_path.rstrip("/"), spark=spark)
+        error._noted = True
     except Exception as second:  # noqa: BLE001
         error.add_note(f"the ledger could not be written either: {second}")
 

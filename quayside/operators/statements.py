@@ -34,9 +34,11 @@ class Summary:
     """What a statement did. Counts that do not apply are 0."""
 
     read_rows: int = 0
+    read_bytes: int = 0
     written_rows: int = 0
     written_bytes: int = 0
     result_rows: int = 0
+    result_bytes: int = 0
     elapsed_ns: int = 0
 
     def flat(self) -> dict[str, str]:
@@ -72,12 +74,42 @@ def run(spark: SparkSession, sql: str, args: dict | None = None) -> Summary:
     with _Clock() as summary:
         result = spark.sql(_require(sql), args=args or {})
         if result.columns:
-            seen = Observation()
-            result.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
-            summary.result_rows = summary.read_rows = seen.get["rows"]
+            # a row's bytes as it would be sent, one JSON object
+            once = len(set(result.columns)) == len(result.columns)
+            size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in result.columns]))) if once else F.lit(0)
+            counted = result.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
+            summary.result_rows, summary.result_bytes = counted.collect()[0]
+            _take_read(summary, counted)
     return summary
 
 
+def _nodes(plan):
+    """The nodes of a plan as it ran, each once."""
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        name = node.getClass().getSimpleName()
+        inner = {"AdaptiveSparkPlanExec": "executedPlan", "CommandResultExec": "commandPhysicalPlan"}.get(name, "plan" if name.endswith("QueryStageExec") else None)
+        if inner:
+            waiting.append(getattr(node, inner)())
+            continue
+        yield node
+        for some in (node.children(), node.subqueries()):
+            each = some.iterator()
+            while each.hasNext():
+                waiting.append(each.next())
+
+
+def _take_read(summary: Summary, ran: DataFrame) -> None:
+    """Rows and bytes that the scans of a finished plan read: rows of files after the filters a format applies itself."""
+    for node in _nodes(ran._jdf.queryExecution().executedPlan()):
+        metrics = node.metrics()
+        if node.getClass().getSimpleName().endswith("ScanExec") or "Scan" in node.nodeName():
+            for name, field in (("numOutputRows", "read_rows"), ("filesSize", "read_bytes")):
+                if metrics.contains(name):
+                    setattr(summary, field, getattr(summary, field) + metrics.apply(name).value())
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -118,10 +150,11 @@ def _append(spark: SparkSession, table: str, rows: DataFrame, summary: Summary)
     rows.observe(seen, F.count(F.lit(1)).alias("rows")).createOrReplaceTempView(view)
     names = ", ".join(f"`{c}`" for c in rows.columns)
     try:
-        spark.sql(f"INSERT INTO IDENTIFIER(:t) ({names}) SELECT {names} FROM {view}", args={"t": table})
+        ran = spark.sql(f"INSERT INTO IDENTIFIER(:t) ({names}) SELECT {names} FROM {view}", args={"t": table})
     finally:
         spark.catalog.dropTempView(view)
-    summary.written_rows = summary.read_rows = seen.get["rows"]
+    summary.written_rows = seen.get["rows"]
+    _take_read(summary, ran)
 
 
 def _folders(matching: DataFrame) -> list[str]:

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from quayside.operators import ledger as L
 from quayside.operators import statements as S
+from quayside.operators.export import export, read_export
 from quayside.operators.load import load, load_table, read_target
 from quayside.operators.queries import outcomes, read_results, run_each
+from quayside.operators.retry import run_loads
 from quayside.plans.session import Scratch
+from quayside.plans.storage import Storage
 from quayside.plans.tables import Registry, table
-from quayside.sources.readers import read_units
+from quayside.sources.readers import note_pulled, pull_increment, pulled_to, read_units
 from quayside.types import ColumnSpec, spec
 
 registry = Registry()
@@ -183,3 +186,100 @@ def control_failures(spark, sf_dir):
     said = F.when(F.col("error").isNull() & (F.col("rows") == F.coalesce("got", F.lit(0))), "ran").when(F.col("error") == "no SQL query", "no query").otherwise("failed")
     joined = found.join(sums, F.col("nation") == F.col("of"), "left")
     return joined.select("nation", said.alias("fate"), F.coalesce("got", F.lit(0)).alias("n"), F.coalesce("ids", F.lit(0)).alias("ids"))
+
+
+@registry.add("""
+    SELECT 'load-' || k AS load_id, CASE k WHEN 2 THEN 'retry' WHEN 3 THEN 'failed' ELSE 'accepted' END AS status, CASE k WHEN 1 THEN 3 WHEN 2 THEN 4 ELSE 1 END AS attempts,
+           CASE WHEN k IN (2, 3) THEN 0 ELSE count(*) END AS n, k IN (2, 3) AS handed_back
+    FROM (SELECT c_nationkey % 5 AS k FROM customer) GROUP BY k
+""")
+def retry_real(spark, sf_dir):
+    """five loads; the source of one resets the connection twice, of one always, of one it is refused: tried again, at most four times."""
+    scratch = Scratch(spark)
+    path, book, customer = scratch.path("target"), scratch.path("ledger"), table(spark, sf_dir, "customer")
+    faults = {"load-1": [ConnectionResetError("reset by peer")] * 2, "load-2": [ConnectionResetError("reset by peer")] * 9, "load-3": [PermissionError("not allowed")]}
+    target = spec(("c_custkey", "UInt32"), ("k", "UInt8"))
+
+    def attempt(load_id: str):
+        waiting = faults.get(load_id)
+        if waiting:
+            raise waiting.pop()
+        some = customer.select("c_custkey", (F.col("c_nationkey") % 5).alias("k")).where(F.concat(F.lit("load-"), F.col("k")) == load_id)
+        return load(some, path, target, book, load_id=load_id, table="customers")
+
+    back = run_loads(spark, book, "customers", attempt, [f"load-{k}" for k in range(5)], max_attempts=4, pause=lambda _: 0)
+    mine = L.read_ledger(spark, book).groupBy("load_id").agg(F.max_by("status", "seq").alias("status"), F.max("attempts").alias("attempts"))
+    rows = read_target(spark, path, target).groupBy(F.concat(F.lit("load-"), F.col("k")).alias("load_id")).agg(F.count(F.lit(1)).alias("n"))
+    handed = back.select("load_id", F.lit(True).alias("back"))
+    joined = mine.join(rows, "load_id", "left").join(handed, "load_id", "left")
+    return joined.select("load_id", "status", "attempts", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("back", F.lit(False)).alias("handed_back"))
+
+
+@registry.add("""
+    SELECT pull, count(*) AS n, min(l_key)::BIGINT AS first, max(l_key)::BIGINT AS last FROM (
+        SELECT l_orderkey * 10 + l_linenumber AS l_key, least((row_number() OVER (ORDER BY l_orderkey * 10 + l_linenumber) - 1) // ((SELECT count(*) FROM lineitem) // 3), 3) AS pull FROM lineitem)
+    GROUP BY pull
+""")
+def pull_marks(spark, sf_dir):
+    """A third of all lines a pull, until nothing is left; how far each came stands in the ledger, the target is never read."""
+    scratch = Scratch(spark)
+    path, book = scratch.path("target"), scratch.path("ledger")
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("l_key"))
+    size, target, kind = lines.count() // 3, spec(("l_key", "UInt64"), ("pull", "UInt8")), lines.schema["l_key"].dataType
+    for k in range(4):
+        some = pull_increment(lines, None, "l_key", size, after=pulled_to(spark, book, "lines", kind))
+        load(some.withColumn("pull", F.lit(k)), path, target, book, load_id=f"pull-{k}").close()
+        note_pulled(spark, book, "lines", some, "l_key")
+    rows = read_target(spark, path, target).groupBy(F.col("pull").cast("bigint").alias("pull"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.min("l_key").cast("bigint").alias("first"), F.max("l_key").cast("bigint").alias("last"))
+
+
+@registry.add("""
+    SELECT kind, false AS visible_after_failure, count(*) AS n, sum(c_custkey)::BIGINT AS ids FROM customer, (VALUES ('moved'), ('in place')) k(kind) GROUP BY kind
+""")
+def export_failed(spark, sf_dir):
+    """A query that fails in a late fragment leaves nothing visible, with a folder move or with a manifest; the next try does."""
+    scratch, customer = Scratch(spark), table(spark, sf_dir, "customer").select("c_custkey")
+    half = customer.count() // 2
+    out = None
+    for kind, in_place in (("moved", False), ("in place", True)):
+        path = scratch.path("export")
+        # the third fragment's task stops half way
+        broken = customer.select(F.when(F.col("c_custkey") == half, F.raise_error(F.lit("lost"))).otherwise(F.col("c_custkey")).cast("bigint").alias("c_custkey"))
+        try:
+            export(broken, path, max_rows=max(1, half // 3), order_by=["c_custkey"], unique=True, in_place=in_place)
+        except Exception as error:  # noqa: BLE001  the failure that is looked at
+            if "lost" not in str(error):
+                raise
+        visible = Storage(spark).exists(path)
+        export(customer, path, max_rows=max(1, half // 3), order_by=["c_custkey"], unique=True, in_place=in_place)
+        rows = read_export(spark, path) if in_place else spark.read.parquet(path)
+        one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").cast("bigint").alias("ids")).select(F.lit(kind).alias("kind"), F.lit(visible).alias("visible_after_failure"), "n", "ids")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@registry.add("""
+    SELECT 'insert' AS statement, count(*) AS read_rows, count(*) FILTER (WHERE c_custkey % 3 = 0) AS written_rows, 0 AS result_rows, true AS bytes_known FROM customer
+    UNION ALL SELECT 'select', count(*), 0, count(DISTINCT c_nationkey), true FROM customer
+    UNION ALL SELECT 'join', (SELECT count(*) FROM customer) + (SELECT count(*) FROM nation), 0, (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0), true
+""")
+def statement_bytes(spark, sf_dir):
+    """Rows and bytes that statements read, wrote and gave, from the figures Spark keeps of a plan it ran."""
+    scratch = Scratch(spark)
+    name, mark = f"bytes_{scratch.root[-32:]}", scratch.root[-32:]
+    for t in ("customer", "nation"):
+        table(spark, sf_dir, t).createOrReplaceTempView(f"{t}_{mark}")
+    S.create_table(spark, name, [ColumnSpec("c_custkey", "Int64")], path=scratch.path("table"))
+    done = {
+        "insert": S.insert_select(spark, name, f"SELECT c_custkey FROM customer_{mark} WHERE c_custkey % 3 = 0"),
+        "select": S.run(spark, f"SELECT c_nationkey, count(*) AS n FROM customer_{mark} GROUP BY c_nationkey"),
+        "join": S.run(spark, f"SELECT c_custkey, n_name FROM customer_{mark} JOIN nation_{mark} ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0"),
+    }
+    S.drop(spark, name)
+    files = {t: Storage(spark).size(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation")}
+    rows = []
+    for statement, s in done.items():
+        known = s.read_bytes == files["customer"] + (files["nation"] if statement == "join" else 0) and (s.written_bytes > 0 if statement == "insert" else s.result_bytes > 0)
+        rows.append((statement, s.read_rows, s.written_rows, s.result_rows, known))
+    return spark.createDataFrame(rows, "statement string, read_rows bigint, written_rows bigint, result_rows bigint, bytes_known boolean")

@@ -329,26 +329,44 @@ def reject_reasons(spark, sf_dir):
 
 
 @registry.add("""
-    SELECT kase, 1 AS refused, (SELECT count(*) FROM customer) AS n
-    FROM (VALUES ('unknown field'), ('computed column'), ('nothing matches'), ('type of the other path'), ('doubled name')) cases(kase)
+    SELECT kase, true AS refused, count(*) AS n, sum(CASE WHEN kase = 'doubled name' THEN length(c_name) ELSE c_custkey END)::BIGINT AS total
+    FROM customer, (VALUES ('unknown field'), ('computed column'), ('nothing matches'), ('type of the other path'), ('doubled name')) cases(kase) GROUP BY kase
 """)
 def refusals(spark, sf_dir):
-    """Frames over the customers that must be refused before any row is read."""
+    """Frames over the customers that are refused before any row is read, and the rows of the same frames put right."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    key = ColumnSpec("c_custkey", "Int64")
+    key, name = ColumnSpec("c_custkey", "Int64"), ColumnSpec("c_name", "String")
+    mapped = customer.select("c_custkey", F.create_map(F.lit("k"), F.col("c_name")).alias("c_name"))
     cases = {
-        "unknown field": lambda: align(customer, [key]),
-        "computed column": lambda: align(customer, [key, ColumnSpec("c_name", "String", computed=True)]),
-        "nothing matches": lambda: align(customer.select(F.col("c_name").alias("other")), [key, ColumnSpec("c_name", "String")]),
-        "type of the other path": lambda: align(customer, [key, ColumnSpec("c_name", "Map(String, String)")]),
-        "doubled name": lambda: normalize(customer.select("c_custkey", F.col("c_name").alias("c_custkey"))),
+        "unknown field": (lambda df: align(df, [key]), customer, customer.drop("c_name")),
+        "computed column": (lambda df: align(df, [key, ColumnSpec("c_name", "String", computed=True)]), customer, customer.drop("c_name")),
+        "nothing matches": (lambda df: align(df, [key, name]), customer.select(F.col("c_name").alias("other")), customer),
+        "type of the other path": (lambda df: align(df, [key, ColumnSpec("c_name", "Map(String, String)")], typed=len(df.columns) == 1 or df is not mapped), customer, mapped),
+        "doubled name": (normalize, customer.select("c_custkey", F.col("c_name").alias("c_custkey")), customer.select("c_custkey", F.col("c_name").alias("name"))),
     }
-    found = []
-    for name, attempt in cases.items():
+    out = None
+    for case, (attempt, wrong, right) in cases.items():
         try:
-            attempt()
-            found.append((name, 0))
+            attempt(wrong)
+            refused = False
         except (AlignmentError, ResultError):
-            found.append((name, 1))
-    listed = F.array(*[F.struct(F.lit(n).alias("kase"), F.lit(r).alias("refused")) for n, r in found])
-    return customer.agg(F.count(F.lit(1)).alias("n")).select(F.explode(listed).alias("c"), "n").select("c.kase", "c.refused", "n")
+            refused = True
+        done = attempt(right)
+        counted = F.length("name") if case == "doubled name" else F.col("c_custkey")
+        one = done.agg(F.count(F.lit(1)).alias("n"), F.sum(counted).cast("bigint").alias("total")).select(F.lit(case).alias("kase"), F.lit(refused).alias("refused"), "n", "total")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@registry.add("""
+    SELECT name, true AS nullable, count(*) AS n FROM customer, (VALUES ('c_custkey'), ('c_name'), ('tags'), ('pair')) f(name) GROUP BY name
+""")
+def nullable_output(spark, sf_dir):
+    """Every field of a result may be null, whatever the query says, and each row has them all."""
+    rows = table(spark, sf_dir, "customer").select(
+        F.coalesce("c_custkey", F.lit(0)).alias("c_custkey"), F.coalesce("c_name", F.lit("")).alias("c_name"),
+        F.array(F.lit("a"), F.coalesce("c_name", F.lit(""))).alias("tags"), F.struct(F.lit(1).alias("x"), F.coalesce("c_custkey", F.lit(0)).alias("y")).alias("pair"),
+    )
+    done = normalize(rows)
+    told = F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.nullable).alias("nullable"), F.col(f.name).isNotNull().alias("there")) for f in done.schema])
+    return done.select(F.explode(told).alias("f")).where("f.there").groupBy("f.name", "f.nullable").agg(F.count(F.lit(1)).alias("n"))

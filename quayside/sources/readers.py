@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from quayside.functions.convert import ERRORS, UNREADABLE, raw_shape
 from quayside.functions.jsontext import unknown_fields, unknown_in
 from quayside.functions.normalize import type_text
+from quayside.operators.log import Log
 from quayside.plans.storage import Storage
 from quayside.types import ColumnSpec
 
@@ -155,6 +157,58 @@ def high_water_mark(target: DataFrame, key: str):
     return target.agg(F.max(key)).first()[0]
 
 
+# Keys up to this many are sorted in one task; above, ranges are counted first.
+SORTED_KEYS = 100_000
+_RANGES = 1000
+
+
+def _kth_key(keys: DataFrame, key: str, k: int):
+    """The ``k``-th smallest key (the largest if there are fewer), None without any.
+
+    Keys that are numbers or times are counted in ``_RANGES`` ranges, the one with the k-th is counted again, and so on until
+    it holds few keys or one value: each round reads one range, and no task gets more than a share of it. Other keys are
+    dealt by range and counted per task, and only the task with the k-th is looked into.
+    """
+    kind = keys.schema[key].dataType
+    c = F.col(f"`{key}`")
+    if k > SORTED_KEYS and isinstance(kind, (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DoubleType, T.FloatType)):
+        number = {T.DateType: F.unix_date(c), T.TimestampType: F.unix_micros(c)}.get(type(kind), F.unix_micros(c.cast("timestamp")) if isinstance(kind, T.TimestampNTZType) else c)
+        exact = not isinstance(kind, (T.DoubleType, T.FloatType))
+        number = number.cast("double" if not exact else kind if isinstance(kind, T.DecimalType) else "decimal(38,0)")
+        while True:
+            low, high, n = keys.agg(F.min(number), F.max(number), F.count(number)).first()
+            if not n or low == high or n <= k or k <= SORTED_KEYS:
+                break
+            width = (high - low) / _RANGES
+            if width == 0:
+                break
+            part = F.least(F.floor((number - F.lit(low)) / F.lit(width)).cast("int"), F.lit(_RANGES - 1))
+            counts = sorted(keys.groupBy(part.alias("part")).count().collect())
+            before = 0
+            for at, size in counts:
+                if before + size >= k:
+                    break
+                before += size
+            if before == 0 and size == n:
+                break
+            keys, k = keys.where(part == at), k - before
+    if k <= SORTED_KEYS:
+        return keys.orderBy(c).limit(k).agg(F.max(c)).first()[0]
+    dealt = keys.repartitionByRange(c).select(c, F.spark_partition_id().alias("_task"))
+    counts = sorted(dealt.groupBy("_task").agg(F.count(F.lit(1)).alias("n"), F.max(c).alias("last")).collect())
+    before = 0
+    for at, size, last in counts:
+        if before + size >= k:
+            few = dealt.where(F.col("_task") == at)
+            rank = few.groupBy(c).count().orderBy(c).toLocalIterator()
+            for value, n in rank:
+                before += n
+                if before >= k:
+                    return value
+        before += size
+    return counts[-1]["last"] if counts else None
+
+
 def pull_increment(source: DataFrame, target: DataFrame | None, key: str, max_rows: int, after=None) -> DataFrame:
     """The next rows of ``source`` above the target's largest ``key``, about ``max_rows`` of them.
 
@@ -166,10 +220,24 @@ def pull_increment(source: DataFrame, target: DataFrame | None, key: str, max_ro
     mark = after if target is None else high_water_mark(target, key)
     ahead = source if mark is None else source.where(F.col(key) > F.lit(mark))
     ahead = ahead.where(F.col(key).isNotNull())
-    last = ahead.select(key).orderBy(key).limit(max_rows).agg(F.max(key)).first()[0]
+    last = _kth_key(ahead.select(key), key, max_rows)
     return ahead.where(F.lit(False)) if last is None else ahead.where(F.col(key) <= F.lit(last))
 
 
+def pulled_to(spark: SparkSession, ledger_path: str, name: str, dtype: T.DataType):
+    """How far the pull ``name`` came by its ledger, as a value of its key's type; None at the start. The target is not read."""
+    text = Log(spark, ledger_path).snapshot().marks.get(name)
+    return None if text is None else spark.range(1).select(F.lit(text).cast(dtype)).first()[0]
+
+
+def note_pulled(spark: SparkSession, ledger_path: str, name: str, pulled: DataFrame, key: str) -> None:
+    """Note in the ledger's log how far a pull came, after its rows were loaded; nothing when it was empty."""
+    last = pulled.agg(F.max(key).cast("string")).first()[0]
+    log = Log(spark, ledger_path)
+    while last is not None and not log.put({"commit": uuid.uuid4().hex, "marks": {name: last}}, log.snapshot()):
+        continue
+
+
 def table_spec(spark: SparkSession, table: str) -> list[ColumnSpec]:
     """The columns of a table in position order, read afresh, so an added column is seen at once.
 
