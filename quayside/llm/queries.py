@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's token ids, as read back from the token files."""
     scratch = Scratch(spark)
-    files = tokenfile.write(table(spark, sf_dir, "documents"), scratch.path("ids"), scratch, f"{TOKENIZERS}/byte_bpe_50k.json")
+    files = tokenfile.write(table(spark, sf_dir, "documents"), scratch.path("ids"), scratch, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenfile.read(files)
 
 

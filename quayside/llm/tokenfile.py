@@ -46,12 +46,24 @@ _CLASS[128:] = _LETTER
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
-    """One tokenizer per worker process; the strings of special tokens are ordinary text to it."""
+    """One tokenizer per worker process, as the library reads it: the string of a special token in a text gives its id."""
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=2)
+def _special(path: str) -> tuple[str, ...]:
+    """The strings of a tokenizer's special tokens."""
+    return tuple(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
+
+
+def _without_special(array: pa.Array, path: str) -> np.ndarray:
+    """Texts that hold the string of no special token."""
+    out = np.ones(len(array), bool)
+    for text in _special(path):
+        out &= ~np.asarray(pc.match_substring(array, text))
+    return out
 
 
 def _plain(array: pa.Array) -> np.ndarray:
@@ -136,7 +148,7 @@ def encode(array: pa.Array, path: str, end_id: int | None) -> tuple[np.ndarray,
     batch. All others go to it whole.
     """
     coder = tokenizer(path)
-    plain = _plain(array)
+    plain = (_plain(array) & _without_special(array, path))
     counts = np.zeros(len(array), np.int64)
     parts: list[tuple[np.ndarray, np.ndarray]] = []  # (texts, ids) in order
     easy = np.flatnonzero(plain)

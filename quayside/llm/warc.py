@@ -21,6 +21,8 @@ MIN_REVISIT = 1000
 # An archive is closed once it has this many bytes.
 ARCHIVE_BYTES = 256_000_000
 CHUNK = 1 << 16
+# A header line ends within so many bytes, more than any url of a page makes (three a byte of at most 2 GB would not fit a row).
+LONGEST_LINE = 1 << 30
 # Fixed values of the WARC 1.1 format.
 _VERSION = b"WARC/1.1\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -116,11 +118,17 @@ class _Member:
         return True
 
     def line(self) -> bytes:
-        while b"\r\n" not in self.ready:
-            if len(self.ready) > 1 << 20 or not self.more():
+        parts, size = [], 0
+        while (at := self.ready.find(b"\r\n")) < 0:
+            # all but the last byte, which may be half of the line's end
+            parts.append(self.ready[:-1])
+            size += len(parts[-1])
+            self.ready = self.ready[-1:]
+            if size > LONGEST_LINE or not self.more():
                 raise ValueError("a header line has no end")
-        out, self.ready = self.ready.split(b"\r\n", 1)
-        return out
+        parts.append(self.ready[:at])
+        self.ready = self.ready[at + 2 :]
+        return b"".join(parts)
 
     def block(self, size: int) -> Iterator[bytes]:
         while size:

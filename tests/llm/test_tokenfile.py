@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from quayside.llm import tokenfile
 from quayside.llm.queries import TOKENIZERS
@@ -46,11 +47,11 @@ def test_ranges_by_the_index():
 
 def test_ids_are_the_tokenizers():
     texts = [
-        "", "a", "  ", " a  b\n\n c  ", "don't it's", "x\n", "\n x", "  \n  y", "\t\tz", "É é×÷ ü  12ab34 ,,,!!", "<|endoftext|> hi", "  x", "a\x85b", "a\xa0b", "你好 ", "a\x1cb \x1d c", "1²",
+        "", "a", "  ", " a  b\n\n c  ", "don't it's", "x\n", "\n x", "  \n  y", "\t\tz", "É é×÷ ü  12ab34 ,,,!!", "<|endoftext|> hi", "hello <|endoftext|> world", "a<|endoftext|><|endoftext|>b", "<|endoftext| >", "  x", "a\x85b", "a\xa0b", "你好 ", "a\x1cb \x1d c", "1²",
         "a\x0bb\x0c c\r\nd", "...  ...\n...", "ʰ ɐ ə", "w" * 5000, " ".join(f"wörd{i}" for i in range(3000)),
     ]
     starts, ids = tokenfile.encode(pa.array(texts, pa.large_string()), PATH, 2)
-    plain = tokenfile.tokenizer(PATH)
+    plain = Tokenizer.from_file(PATH)
     for k, text in enumerate(texts):
         assert ids[starts[k] : starts[k + 1]].tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2], text
 
@@ -60,7 +61,7 @@ def test_files_against_the_library(spark, scratch, odd_documents):
     docs = docs.unionByName(odd_documents.select(F.col("doc_id") - 100, "text").toDF("doc_id", "text"))
     files = tokenfile.write(docs.repartition(6), scratch.path("ids"), scratch, PATH)
     got = [tuple(r) for r in tokenfile.read(files).orderBy("start").collect()]
-    plain, start, expected = tokenfile.tokenizer(PATH), 0, []
+    plain, start, expected = Tokenizer.from_file(PATH), 0, []
     for i, text in sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
         ids = [*plain.encode(text, add_special_tokens=False).ids, 2]
         expected.append((i, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))

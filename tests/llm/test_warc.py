@@ -67,6 +67,21 @@ def test_a_record_needs_little_memory():
     tracemalloc.stop()
 
 
+def test_a_very_long_url_between_others(spark, scratch):
+    pages = spark.createDataFrame([(1, "u", "one"), (2, "é" * 600_000, "two"), (3, "v", "three")], "page_id long, url string, html string").coalesce(1)
+    archives = warc.write(pages, scratch.path("long"), scratch)
+    got = sorted((r["page_id"], r["payload_bytes"], r["error"]) for r in warc.read(archives).collect())
+    assert archives.count() == 1 and got == [(1, 3, None), (2, 3, None), (3, 5, None)]
+
+
+def test_a_full_archive_is_followed_by_another(spark, scratch, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    pages = spark.range(40).selectExpr("id AS page_id", "'u' AS url", "concat('page ', id) AS html").coalesce(1)
+    archives = warc.write(pages, scratch.path("rolled"), scratch)
+    got = warc.read(archives).collect()
+    assert archives.count() > 3 and sorted(r["page_id"] for r in got) == list(range(40)) and all(r["error"] is None for r in got)
+
+
 def test_archives_roll_over_and_empty_tables(spark, scratch, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 300)
     member = [warc.record(i, "u", b"x", "0" * 40, None, False) for i in range(3)]
