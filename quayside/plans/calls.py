@@ -66,8 +66,8 @@ def load_concurrent(spark, sf_dir):
     rows = read_target(spark, path, _ORDERS)
     by = rows.groupBy((F.col("o_orderkey") % 4).cast("string").alias("writer")).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").cast("bigint").alias("ids"))
     told = L.read_ledger(spark, book).where(F.col("status") == L.ACCEPTED).agg(F.sum("rows").alias("n"), F.count_distinct("seq").alias("a"), F.count(F.lit(1)).alias("b"))
-    ids = rows.agg(F.sum("o_orderkey").cast("bigint").alias("ids"))
-    total = told.join(ids).select(F.lit("ledger").alias("writer"), "n", "ids", (F.col("a") == F.col("b")).alias("all_in"))
+    ids = rows.agg(F.sum("o_orderkey").cast("bigint")).first()[0]
+    total = told.select(F.lit("ledger").alias("writer"), "n", F.lit(ids).cast("bigint").alias("ids"), (F.col("a") == F.col("b")).alias("all_in"))
     return by.withColumn("all_in", F.lit(True)).unionByName(total)
 
 
