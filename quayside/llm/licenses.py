@@ -50,6 +50,11 @@ def _needed(size: int, containment: float) -> int:
     return math.ceil(round(containment * size, 9))
 
 
+def window_words(text: str, containment: float) -> int:
+    """Words of a text block for a template: as many as the template has, with room for others between them."""
+    return math.ceil(round(len(text.split()) / containment, 9))
+
+
 class Templates:
     """Template word sets in the global order: rarest in the corpus first, ties by the word."""
 
@@ -58,6 +63,7 @@ class Templates:
         rank = {w: i for i, w in enumerate(self.order)}
         self.sets = [sorted(set(text.split()), key=rank.get) for _, text in templates]
         self.needed = [_needed(len(s), containment) for s in self.sets]
+        self.windows = [window_words(text, containment) for _, text in templates]
         # a block that shares `needed` words shares one of the first size - needed + 1
         self.postings = [(w, t, place, len(s), need) for t, (s, need) in enumerate(zip(self.sets, self.needed, strict=True)) for place, w in enumerate(s[: len(s) - need + 1])]
 
@@ -66,42 +72,56 @@ def _literals(items: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in items])
 
 
-def blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``(id, h, block, shared)``: per line the distinct words that any template has; lines with none are left out."""
-    line = docs.select("id", "h", F.posexplode(F.split("words", "\n")).alias("block", "line"))
-    shared = line.select("id", "h", "block", F.array_intersect(words_of(F.col("line")), _literals(vocabulary)).alias("shared"))
-    return shared.where(F.size("shared") > 0)
+def _near(words: Column, at: Column, back: int, ahead: int) -> Column:
+    """The words from ``back`` before place ``at`` to ``ahead`` after it, as far as the text goes; only these are read."""
+    last = F.least(at + ahead, F.size(words) - 1)
+    return F.transform(F.sequence(F.greatest(at - back, F.lit(0)), last), lambda i: F.get(words, i))
 
 
 def notices(
     docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None, containment: float = CONTAINMENT
 ) -> DataFrame:
-    """``(id, h, block, label, containment)``: every line of every text that holds the share ``containment`` of a template's words.
+    """``(id, h, block, label, containment)``: every text block that holds the share ``containment`` of a template's words.
+
+    ``h`` is the hash of the text. A block is a window of ``window_words`` consecutive words, as many as the template has over
+    ``containment`` (fewer at the end of a text), that starts with one of the template's words; ``block`` is the number of that word
+    in the text. Line ends do not matter, so a wrapped notice counts, and words scattered over a long line do not.
 
-    ``h`` is the hash of the text; lines are numbered from 0. Words that no template has cannot be shared, so a block is
-    its template words, in the global order of how many blocks hold them. Blocks meet templates over the words of the
-    template's prefix; the length filter asks for enough words, the positional filter for enough after the shared one;
-    the shared words are then counted exactly. A block counts once per template it meets.
+    Words are in the global order of how many texts hold them, rarest first. Blocks meet templates over the words of the
+    template's prefix: such words are looked up with what stands around them, whatever the length of the text. The length filter asks for
+    enough template words in the block, the positional filter for enough after the shared one; the shared words are then
+    counted exactly. A block counts once per template it meets.
     """
     templates = TEMPLATES if templates is None else templates
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.coalesce(F.col(text_col), F.lit("")).alias("words"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), words_of(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))
     vocabulary = sorted({w for _, text in templates for w in text.split()})
-    counted = blocks(rows, vocabulary).select(F.explode("shared").alias("word")).groupBy("word").count().collect()  # a row per template word
+    counted = rows.select(F.explode(F.array_intersect("words", _literals(vocabulary))).alias("word")).groupBy("word").count().collect()  # a row per template word
     known = Templates(templates, {r["word"]: r["count"] for r in counted}, containment)
     spark = docs.sparkSession
 
-    prefixes = sorted({w for w, *_ in known.postings})
-    least = min(known.needed)
-    hopeful = blocks(rows, vocabulary).where((F.size("shared") >= least) & F.arrays_overlap("shared", _literals(prefixes)))
-    # the block's words in the global order: words of the ordered vocabulary that it has
-    ranked = hopeful.withColumn("shared", F.array_intersect(_literals(known.order), F.col("shared")))
+    prefixes = _literals(sorted({w for w, *_ in known.postings}))
+    reach = max(known.windows)
+    anchors = F.filter(F.transform("words", lambda w, i: F.when(F.array_contains(prefixes, w), i)), lambda i: i.isNotNull())
+    met = F.transform(anchors, lambda i: F.struct(i.alias("at"), F.get("words", i).alias("word"), _near(F.col("words"), i, reach - 1, reach - 1).alias("near")))
+    each = rows.where(F.arrays_overlap("words", prefixes)).select("id", "h", F.explode(met).alias("met")).select("id", "h", "met.*")
+
     postings = spark.createDataFrame(known.postings, "word string, template int, place int, size int, needed int")
-    each = ranked.select("id", "h", "block", "shared", F.posexplode("shared").alias("at", "word"))
-    reach = 1 + F.least(F.col("size") - F.col("place"), F.size("shared") - F.col("at")) - 1
-    meet = each.join(F.broadcast(postings), "word").where((F.size("shared") >= F.col("needed")) & (reach >= F.col("needed")))
-    sets = spark.createDataFrame([(t, label, s) for t, ((label, _), s) in enumerate(zip(templates, known.sets, strict=True))], "template int, label string, own array<string>")
-    overlap = F.size(F.array_intersect("shared", "own"))
-    verified = meet.join(F.broadcast(sets), "template").withColumn("overlap", overlap).where(F.col("overlap") >= F.col("needed"))
+    sets = spark.createDataFrame(
+        [(t, label, window, own) for t, ((label, _), window, own) in enumerate(zip(templates, known.windows, known.sets, strict=True))], "template int, label string, window int, own array<string>"
+    )
+    # `first` is the number of the first word of `near`
+    first = F.greatest(F.col("at") - (reach - 1), F.lit(0))
+    pairs = each.withColumn("first", first).join(F.broadcast(postings.join(sets, "template")), "word").where(F.size(F.array_intersect("own", "near")) >= F.col("needed"))
+    starts = F.sequence(F.greatest(F.col("at") - F.col("window") + 1, F.lit(0)), F.col("at"))
+    starts = F.filter(starts, lambda j: F.array_contains("own", F.get("near", j - F.col("first"))))
+    windows = pairs.select("*", F.explode(starts).alias("block"))
+    # the block's words in the global order: words of the ordered vocabulary that it has
+    inside = F.slice("near", F.col("block") - F.col("first") + 1, F.col("window"))
+    windows = windows.withColumn("inside", F.array_intersect(_literals(known.order), inside))
+    place = F.array_position("inside", F.col("word")) - 1
+    after = F.least(F.col("size") - F.col("place"), F.size("inside") - place)
+    hopeful = windows.where((F.size("inside") >= F.col("needed")) & (after >= F.col("needed")))
+    verified = hopeful.withColumn("overlap", F.size(F.array_intersect("inside", "own"))).where(F.col("overlap") >= F.col("needed"))
     found = verified.select("id", "h", "block", "template", "label", (F.col("overlap") / F.col("size")).alias("containment"))
     return found.distinct().drop("template")
 
