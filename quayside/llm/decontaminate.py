@@ -18,7 +18,9 @@ WIDTH = 5
 THRESHOLD = 0.8
 # Fingerprints within this many of 64 bits are candidates: passages at the threshold differ in about 10, three standard deviations are 9.
 RADIUS = 19
-BLOCKS = 4
+BLOCKS = 5
+# Where the blocks of a fingerprint begin and end.
+_CUTS = [64 * b // BLOCKS for b in range(BLOCKS + 1)]
 # Items that go to the tasks at a time; more items mean more passes over the documents.
 ITEMS_PER_PASS = 10_000
 BYTES_PER_PASS = 32_000_000
@@ -74,10 +76,13 @@ class Items:
             self.sizes[n] = (members, prints, [_block_table(prints, b, radius // BLOCKS) for b in range(BLOCKS)])
 
 
+def _block(prints: np.ndarray, block: int) -> np.ndarray:
+    return ((prints >> np.uint64(_CUTS[block])) & np.uint64((1 << (_CUTS[block + 1] - _CUTS[block])) - 1)).astype(np.int64)
+
+
 def _block_table(prints: np.ndarray, block: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, members): which of ``prints`` have a value within ``reach`` bits of v in this block, for each v."""
-    step = 64 // BLOCKS
-    own = ((prints >> np.uint64(step * block)) & np.uint64((1 << step) - 1)).astype(np.int64)
+    own, step = _block(prints, block), _CUTS[block + 1] - _CUTS[block]
     masks = np.array([sum(1 << b for b in c) for k in range(reach + 1) for c in combinations(range(step), k)], dtype=np.int64)
     values = (own[:, None] ^ masks).ravel().astype(np.uint16)
     order = np.argsort(values, kind="stable")
@@ -88,10 +93,9 @@ def _block_table(prints: np.ndarray, block: int, reach: int) -> tuple[np.ndarray
 def _candidates(prints: np.ndarray, size: tuple, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(window, item number in this size) of all pairs within ``radius`` bits."""
     members, own, tables = size
-    step = 64 // BLOCKS
     found = []
     for b, (offsets, rows) in enumerate(tables):
-        value = ((prints >> np.uint64(step * b)) & np.uint64((1 << step) - 1)).astype(np.int64)
+        value = _block(prints, b)
         n = offsets[value + 1] - offsets[value]
         window = np.repeat(np.arange(len(prints)), n)
         item = rows[np.repeat(offsets[value], n) + np.arange(len(window)) - np.repeat(np.cumsum(n) - n, n)]
