@@ -15,13 +15,17 @@ from pyspark.sql import DataFrame
 SLICE_BYTES = 1_000_000
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str | None = None, size: int = SLICE_BYTES) -> DataFrame:
-    """``df.mapInArrow`` with a function of one batch; batches are cut to about ``size`` bytes of column ``text``."""
+def map_arrow(df: DataFrame, fn: Callable, schema: str, text: str | None = None, size: int = SLICE_BYTES, per_task: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with a function of one batch; batches are cut to about ``size`` bytes of column ``text``.
+
+    With ``per_task``, ``fn()`` gives each task a function of its own, which may keep state between batches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = fn() if per_task else fn
         for batch in batches:
             for part in slices(batch, text, size) if text else (batch,):
-                out = fn(part)
+                out = one(part)
                 if out is not None and out.num_rows:
                     yield out
         _release()

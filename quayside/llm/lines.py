@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ THRESHOLD = 0.8
 CELLS = 1 << 18
 _CELL_SHIFT = np.uint64(64 - 18)
 _BLOCK = 1 << 14
+# Line sets a task remembers to have dealt out; it starts anew beyond, which costs repeated postings and changes no result.
+REMEMBERED = 500_000
 # Line numbers that may be broadcast in all.
 BROADCAST_LINES = 2_000_000
 
@@ -148,7 +150,7 @@ def _runs(held: list, batch: pa.RecordBatch) -> tuple[pa.Table | None, list]:
 
 
 def shared_runs(postings: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(token, low, place)``: the postings of tokens that several classes share, one token for each set of classes."""
+    """``(token, low)``: the postings of tokens that several classes share, one token for each set of classes."""
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -176,12 +178,12 @@ def shared_runs(postings: DataFrame, scratch: Scratch) -> DataFrame:
         name = np.repeat(mix(np.add.reduceat(mix(low), first)).view(np.int64), np.diff(np.append(first, len(token))))
         yield from left.append_column("name", pa.array(name)).to_batches()
 
-    dealt = postings.select("token", "low", "place").repartition("token").sortWithinPartitions("token", "low")
-    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, place int, name long"), "runs")
+    dealt = postings.select("token", "low").repartition("token").sortWithinPartitions("token", "low")
+    runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, name long"), "runs")
     # copies share many tokens: of runs with the same classes the one of the first token in order is enough, as it is the
     # first that any two of them share
     once = runs.groupBy("name").agg(F.min(_unsigned(F.col("token"))).alias("least"))
-    return scratch.keep(runs.join(once, "name").where(_unsigned(F.col("token")) == F.col("least")).select("token", "low", "place"), "first-runs")
+    return scratch.keep(runs.join(once, "name").where(_unsigned(F.col("token")) == F.col("least")).select("token", "low"), "first-runs")
 
 
 def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
@@ -200,14 +202,17 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     keyed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("words"))
     sent = docs.sparkSession.sparkContext.broadcast(token_frequencies(keyed, "words", width))
 
-    def each_line(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    def each_line(batch: pa.RecordBatch, seen: list[np.ndarray]) -> pa.RecordBatch:
         lines, counts = split_lines(texts(batch, "words"))
         sets = LineSets(lines, sent.value, width)
         doc = np.repeat(np.arange(len(counts)), counts)
         number = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
         some = np.flatnonzero(sets.sizes)
-        # the prefix of a class once per slice
-        _, new = np.unique(sets.low[some], return_index=True)
+        # the prefix of a class once per task
+        low, new = np.unique(sets.low[some], return_index=True)
+        fresh = ~np.isin(low, seen[0], assume_unique=True)
+        new = new[fresh]
+        seen[0] = np.union1d(seen[0], low[fresh]) if len(seen[0]) + len(new) <= REMEMBERED else low
         first = np.zeros(len(some), np.int64)
         first[new] = prefix_length(sets.sizes[some[new]], threshold)
         at = np.repeat(sets.starts[some] - (np.cumsum(first) - first), first) + np.arange(first.sum())
@@ -219,10 +224,14 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         ]
         return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "line", "low", "high", "prefix"])
 
-    lines = scratch.keep(map_arrow(keyed, each_line, "id long, h long, line int, low long, high long, prefix array<long>", "words"), "lines")
+    def per_task() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        seen = [np.zeros(0, np.uint64)]
+        return lambda batch: each_line(batch, seen)
+
+    lines = scratch.keep(map_arrow(keyed, per_task, "id long, h long, line int, low long, high long, prefix array<long>", "words", per_task=True), "lines")
     place = F.struct("id", "h", "line")
     classes = scratch.keep(lines.groupBy("low", "high").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "classes")
-    postings = lines.select("low", F.posexplode("prefix").alias("place", "token"))
+    postings = lines.select("low", F.explode("prefix").alias("token"))
     runs = shared_runs(postings, scratch)
     wanted = runs.select("low").distinct().join(classes, "low").select("first")
     wanted = scratch.keep(wanted.groupBy("first.id", "first.h").agg(F.collect_list("first.line").alias("numbers")), "wanted")
@@ -241,7 +250,7 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "line", "low", "high", "tokens"])
 
     sets = map_arrow(texts_again, sets_again, "id long, h long, line int, low long, high long, tokens array<long>", "words")
-    meeting = runs.join(sets, "low").select("token", "id", "h", "line", "low", "high", "place", "tokens")
+    meeting = runs.join(sets, "low").select("token", "id", "h", "line", "low", "high", "tokens")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -258,7 +267,9 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         cut = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
         lists = pa.concat_arrays(table.column("tokens").chunks)
         starts = np.asarray(lists.offsets, dtype=np.int64)
-        tokens, places = np.asarray(lists.values), np.asarray(table.column("place"), dtype=np.int64)
+        tokens = np.asarray(lists.values)
+        # a set has its token once, and where it stands is its place in the order
+        places = np.flatnonzero(tokens[starts[0] : starts[-1]] == np.repeat(token, np.diff(starts))) - (starts[:-1] - starts[0])
         out = np.zeros(len(token), bool)
         for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
             out[a:b] = _later_matches(tokens[starts[a] : starts[b]], starts[a : b + 1] - starts[a], places[a:b], threshold)
