@@ -14,7 +14,7 @@ from quayside.operators.route import route
 from quayside.plans.session import Scratch
 from quayside.plans.tables import Registry, table
 from quayside.sources.readers import pull_increment, read_checked, read_json_strict, read_records
-from quayside.streaming.stream import drop_replayed, stream_load
+from quayside.streaming.stream import drop_replayed, pending_units, stream_load
 from quayside.types import ColumnSpec, spec
 
 registry = Registry()
@@ -359,6 +359,39 @@ def retry_select(spark, sf_dir):
     return L.retry_select(pending, _failures(spark, sf_dir), max_attempts=12)
 
 
+_PENDING_FILES = 12
+
+
+@registry.add(f"""
+    SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, {_PENDING_FILES}::BIGINT AS units,
+           true AS few_writes, 0::BIGINT AS waiting
+    FROM events GROUP BY event_type
+""")
+def stream_pending(spark, sf_dir):
+    """A file a micro-batch, loaded by rows: five or more units a write, the rest at the end, each under a token."""
+    scratch = Scratch(spark)
+    inbox, path, book = scratch.path("inbox"), scratch.path("target"), scratch.path("ledger")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    numbered = events.withColumn("k", F.col("event_id") % _PENDING_FILES)
+    numbered.repartition(_PENDING_FILES, "k").write.partitionBy("k").parquet(inbox)
+    least = numbered.groupBy("k").count().agg(F.max("count")).first()[0] * 5
+    units = []
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(inbox)
+    target = spec(("event_id", "Int64"), ("event_type", "String"))
+    query = stream_load(
+        stream, path, target, book, scratch.path("checkpoint"), "events", pending_path=scratch.path("pending"), pending_rows=least, pending_age=3600.0, on_batch=lambda _, last: units.append(last),
+    )
+    query.awaitTermination()
+    pending = pending_units(query)
+    pending.flush()
+    loads = L.read_ledger(spark, book).select("load_id").distinct().count()
+    rows = read_target(spark, path, target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    return rows.select(
+        "event_type", "n", "ids", F.lit(units[-1] + 1).cast("bigint").alias("units"), F.lit(loads == len(units) and loads <= 3).alias("few_writes"),
+        F.lit(len(pending.units())).cast("bigint").alias("waiting"),
+    )
+
+
 @registry.add("""
     SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, sum(user_id)::BIGINT AS users
     FROM events GROUP BY event_type

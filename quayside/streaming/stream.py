@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quayside.functions.convert import ERRORS
 from quayside.operators.batches import MAX_ROWS
 from quayside.operators.load import LoadResult, load
+from quayside.streaming.buffer import Pending
 from quayside.types import ColumnSpec
 
 
@@ -43,6 +44,9 @@ def stream_load(
     local_zone: str = "UTC",
     typed: bool = True,
     on_batch: Callable[[LoadResult, int], None] | None = None,
+    pending_path: str | None = None,
+    pending_rows: int = MAX_ROWS,
+    pending_age: float = 60.0,
 ) -> StreamingQuery:
     """Load a stream into ``path``; a micro-batch run again after a crash writes nothing twice.
 
@@ -54,6 +58,11 @@ def stream_load(
     into one write instead; it is refused together with a token, which would promise a
     replay check per unit.
 
+    With ``pending_path`` micro-batches wait there until they have ``pending_rows`` rows or the oldest is ``pending_age`` seconds
+    old (looked at while the stream is idle, too), then go in as one load ``<name>-<query id>-<first>-<last>``, and are cleared after it;
+    ``on_batch`` gets the last number. A crash at any point neither loses nor doubles them. What still waits when the stream ends is
+    loaded by its next start under the same checkpoint, or by ``pending_units(...).flush()``.
+
     Rows that are not loaded go to ``rejected_path`` with their reasons: the bad ones, with ``unit="load"`` all of a
     micro-batch that has one (no reasons on the good rows). A batch run again writes them again in the same
     place. Without ``rejected_path`` a row that cannot be loaded stops the stream, before anything of its batch is loaded.
@@ -62,6 +71,8 @@ def stream_load(
         raise StreamSettingError(f"the name {name!r} may only have letters, digits, '-' and '_'")
     if buffer is not None and token != "none":
         raise StreamSettingError("buffering cannot be combined with a token; pass token='none'")
+    if pending_path is not None and (buffer is not None or pending_rows < 1 or pending_age < 0):
+        raise StreamSettingError("pending_path goes without buffer, with a positive number of rows and an age of 0 or more")
     if buffer is not None and trigger is not None:
         raise StreamSettingError("buffer sets the trigger; pass one of the two")
 
@@ -73,7 +84,7 @@ def stream_load(
             ids["own"] = json.loads(told)["id"].replace("-", "")
         return ids["own"]
 
-    def write(rows: DataFrame, batch_id: int) -> None:
+    def write(rows: DataFrame, batch_id: int | str) -> None:
         load_id = f"{name}-{query_id(rows)}-{batch_id}"
 
         result = load(
@@ -87,9 +98,23 @@ def stream_load(
                 back = result.rejected.select(F.lit(load_id).alias("load"), record, ERRORS)
                 back.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(rejected_path)
             if on_batch:
-                on_batch(result, batch_id)
+                on_batch(result, int(str(batch_id).rsplit("-", 1)[-1]))
         finally:
             result.close()
 
     when = {"processingTime": buffer} if buffer else (trigger or {"availableNow": True})
-    return stream.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**when).start()
+    if pending_path is None:
+        return stream.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**when).start()
+    pending = Pending(stream.sparkSession, pending_path, pending_rows, pending_age, write)
+    query = stream.writeStream.queryName(name).foreachBatch(pending.add).option("checkpointLocation", checkpoint).trigger(**when).start()
+    _PENDING[str(query.runId)] = pending
+    pending.watch(query, min(pending_age / 2, 10.0))
+    return query
+
+
+_PENDING: dict[str, Pending] = {}
+
+
+def pending_units(query: StreamingQuery) -> Pending:
+    """The units that wait for a load of this query, which was started with a ``pending_path`` in this session."""
+    return _PENDING[str(query.runId)]
