@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,12 @@ ORDER = 7
 SPACE, END = 32, 10
 # Symbols before a word that its first ones depend on.
 BEFORE = 3
-# An n-gram stays in the trie if it makes up this share of all n-grams (and occurs twice), so a level has at most 1 / SHARE.
-SHARE = 1e-7
+# An n-gram stays in the trie if it occurs this often; there is no other bound, so the trie grows with the corpus.
+LEAST = 2
+# About how many n-grams a part of the trie has; a task builds one at a time.
+PART_ROWS = 2_000_000
 # Steps per factor of two in stored probabilities.
-STEPS = 2048
+STEPS = 1024
 # Tokens whose counts travel to every task; picked from a sample, all others go by shuffle. Both ways give exact counts.
 FREQUENT = 100_000
 SAMPLE_DOCS = 4000
@@ -96,77 +99,133 @@ class EliasFano:
 
 
 # --- the trie -------------------------------------------------------------------------------------------------------
+#
+# Orders 1 and 2 are plain tables over all bytes and pairs of bytes. N-grams of three symbols and more are dealt by their first
+# three symbols to parts, each a trie of its own under the 65,536 pairs, so that a part is built by one task from its own rows.
 
 
-def build(levels: list[tuple[np.ndarray, ...]]) -> bytes:
-    """The trie's file from (grams ascending, counts, count of their context, distinct successors of it) of orders 1 to n.
+def _mask(k: int) -> np.uint64:
+    return np.uint64((1 << (8 * k)) - 1)
 
-    Probabilities are interpolated Witten-Bell: P(s | c) = (n(cs) + (T(c) + counts pruned under c) P(s | shorter c)) / (N(c) + T(c)),
-    below order 1 uniform over 256 bytes. They are stored as -log2, rounded up, so that none gets more than its due.
-    """
-    arrays: dict[str, np.ndarray] = {}
-    grams, counts, total, distinct = levels[0]
-    n, t = (float(total[0]), float(distinct[0])) if len(grams) else (0.0, 1.0)
-    p = np.full(256, (n - counts.sum() + t) / (n + t) / 256)
-    p[grams.astype(np.int64)] += counts / (n + t)
-    before, before_p = np.arange(256, dtype=np.uint64), p
-    arrays["cost1"] = _stored(p)
-    for k in range(2, len(levels) + 1):
-        grams, counts, total, distinct = levels[k - 1]
-        parent = np.searchsorted(before, grams >> np.uint64(8))
-        if not ((parent < len(before)) & (before[np.minimum(parent, len(before) - 1)] == grams >> np.uint64(8))).all():
-            raise ValueError("an n-gram's context is not in the trie")
-        kept = np.bincount(parent, weights=counts, minlength=len(before))
-        whole, kinds = np.zeros(len(before)), np.zeros(len(before))
-        whole[parent], kinds[parent] = total, distinct
-        rest = np.where(whole > 0, (whole - kept + kinds) / np.maximum(whole + kinds, 1), 1.0)
-        tail = np.searchsorted(before, grams & np.uint64((1 << (8 * (k - 1))) - 1))
-        p = counts / (total + distinct) + rest[parent] * before_p[tail]
-        symbol = (grams & np.uint64(255)).astype(np.int64)
-        pointers = np.searchsorted(parent, np.arange(len(before) + 1))
-        # each context's symbols are counted on from where the one before it ended, which makes the level increase
-        last = np.append(np.diff(parent) > 0, True) if len(grams) else np.zeros(0, bool)
-        steps = np.where(last, symbol + 1, 0)
-        base = np.cumsum(steps) - steps
-        first_of = pointers[:-1][parent]
-        level = base[first_of] + symbol if len(grams) else symbol
-        arrays[f"cost{k}"], arrays[f"rest{k - 1}"] = _stored(p), _stored(rest)
-        arrays |= {f"pointers{k}.{x}": a for x, a in ef_arrays(pointers.astype(np.uint64)).items()}
-        arrays |= {f"symbols{k}.{x}": a for x, a in ef_arrays(level.astype(np.uint64)).items()}
-        before, before_p = grams, p
+
+def part_of(lead, parts: int):
+    """The part of an n-gram by its first three symbols as an integer: a number, an array or a Column."""
+    return lead * 2654435761 % 2147483647 % parts
+
+
+def _stored(p: np.ndarray) -> np.ndarray:
+    """-log2 in steps, rounded up, so that no probability gets more than its due; the least that fits is 2 ** -63."""
+    return np.minimum(np.ceil(-np.log2(p) * STEPS - 1e-6), 65535).astype(np.uint16)
+
+
+def _packed(arrays: dict[str, np.ndarray]) -> bytes:
     head, at, parts = {}, 0, []
     for name, a in arrays.items():
         data = a.tobytes()
         head[name] = (a.dtype.str, len(a), at)
         parts.append(data + bytes(-len(data) % 8))
         at += len(parts[-1])
-    text = json.dumps({"order": len(levels), "arrays": head}).encode()
+    text = json.dumps(head).encode()
     text += b" " * (-len(text) % 8)
     return len(text).to_bytes(8, "little") + text + b"".join(parts)
 
 
-def _stored(p: np.ndarray) -> np.ndarray:
-    return np.minimum(np.ceil(-np.log2(np.maximum(p, 1e-9)) * STEPS - 1e-6), 65535).astype(np.uint16)
+def _mapped(path: str) -> dict[str, np.ndarray]:
+    data = np.memmap(path, dtype=np.uint8, mode="r")
+    size = int.from_bytes(data[:8].tobytes(), "little")
+    told = json.loads(data[8 : 8 + size].tobytes())
+    return {name: data[8 + size + at : 8 + size + at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, n, at) in told.items()}
 
 
-class Trie:
-    """A trie file, memory-mapped."""
-
-    def __init__(self, path: str) -> None:
-        data = np.memmap(path, dtype=np.uint8, mode="r")
-        size = int.from_bytes(data[:8].tobytes(), "little")
-        told = json.loads(data[8 : 8 + size].tobytes())
-        arrays = {name: data[8 + size + at : 8 + size + at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, n, at) in told["arrays"].items()}
-        self.order = told["order"]
-        self.cost = [arrays[f"cost{k}"] for k in range(1, self.order + 1)]
-        self.rest = [arrays[f"rest{k}"] for k in range(1, self.order)]
-        part = lambda name: EliasFano({x: arrays[f"{name}.{x}"] for x in ("width", "low", "high", "ones")})
-        self.pointers = [part(f"pointers{k}") for k in range(2, self.order + 1)]
-        self.symbols = [part(f"symbols{k}") for k in range(2, self.order + 1)]
+def low_orders(k: np.ndarray, gram: np.ndarray, own: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Probabilities of all 256 bytes, then of all pairs of bytes, from the rows of orders 1 and 2 as ``smoothed`` takes them."""
+    one = np.full(256, 1 / 256)
+    on = k == 1
+    if on.any():
+        one *= rest[on][0]
+        one[gram[on]] += own[on]
+    on = k == 2
+    left = np.ones(256)
+    left[gram[on] >> 8] = rest[on]
+    two = left[:, None] * one[None, :]
+    two[gram[on] >> 8, gram[on] & 255] += own[on]
+    return np.concatenate((one, two.ravel()))
+
+
+def smoothed(k: np.ndarray, gram: np.ndarray, own: np.ndarray, rest: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Interpolated Witten-Bell probabilities of n-grams of three symbols and more; of each, all its endings must be given too.
+
+    P(s | c) = (n(cs) + (T(c) + counts pruned under c) P(s | shorter c)) / (N(c) + T(c)); ``own`` is the part of n(cs), ``rest``
+    the factor of the shorter context's probability.
+    """
+    p = np.zeros(len(k))
+    gram = gram.astype(np.uint64)
+    before = before_p = None
+    for order in range(3, ORDER + 1):
+        on = np.flatnonzero(k == order)
+        on = on[np.argsort(gram[on])]
+        ending = gram[on] & _mask(order - 1)
+        if order == 3:
+            lower = low[256 + ending.astype(np.int64)]
+        else:
+            at = np.minimum(np.searchsorted(before, ending), max(len(before) - 1, 0))
+            if len(on) and not (len(before) and (before[at] == ending).all()):
+                raise ValueError("an n-gram's ending is not in the model")
+            lower = before_p[at] if len(on) else np.zeros(0)
+        p[on] = own[on] + rest[on] * lower
+        before, before_p = gram[on], p[on]
+    return p
+
+
+def build_head(low: np.ndarray, pairs: np.ndarray, rest: np.ndarray) -> bytes:
+    """The file of orders 1 and 2, and what each pair of symbols leaves to shorter contexts."""
+    left = np.zeros(1 << 16, np.uint16)
+    left[pairs] = _stored(rest)
+    return _packed({"cost1": _stored(low[:256]), "cost2": _stored(low[256:]), "rest2": left})
+
+
+def build_part(k: np.ndarray, gram: np.ndarray, cost: np.ndarray, rest: np.ndarray) -> bytes:
+    """The file of one part from its n-grams, their costs and what their contexts leave, all rows of one order ascending."""
+    arrays: dict[str, np.ndarray] = {}
+    before = np.arange(1 << 16, dtype=np.uint64)
+    for order in range(3, ORDER + 1):
+        on = np.flatnonzero(k == order)
+        grams = gram[on].astype(np.uint64)
+        parent = np.searchsorted(before, grams >> np.uint64(8))
+        if not ((parent < len(before)).all() and (before[parent] == grams >> np.uint64(8)).all()):
+            raise ValueError("an n-gram's context is not in the trie")
+        pointers = np.searchsorted(parent, np.arange(len(before) + 1))
+        symbol = (grams & np.uint64(255)).astype(np.int64)
+        # each context's symbols are counted on from where the one before it ended, which makes the level increase
+        last = np.append(np.diff(parent) > 0, True) if len(on) else np.zeros(0, bool)
+        steps = np.where(last, symbol + 1, 0)
+        base = np.cumsum(steps) - steps
+        level = base[pointers[:-1][parent]] + symbol if len(on) else symbol
+        arrays[f"cost{order}"] = cost[on].astype(np.uint16)
+        if order > 3:
+            left = np.zeros(len(before), np.uint16)
+            left[parent] = rest[on]
+            arrays[f"rest{order - 1}"] = left
+        arrays |= {f"pointers{order}.{x}": a for x, a in ef_arrays(pointers.astype(np.uint64)).items()}
+        arrays |= {f"symbols{order}.{x}": a for x, a in ef_arrays(level.astype(np.uint64)).items()}
+        before = grams
+    return _packed(arrays)
+
+
+class Part:
+    """One part's file, memory-mapped. A node is an n-gram's place in its level; those of order 2 are the pairs themselves."""
+
+    def __init__(self, path: str, rest2: np.ndarray) -> None:
+        arrays = _mapped(path)
+        self.cost = {k: arrays[f"cost{k}"] for k in range(3, ORDER + 1)}
+        self.rest = {2: rest2} | {k: arrays[f"rest{k}"] for k in range(3, ORDER)}
+        level = lambda name: EliasFano({x: arrays[f"{name}.{x}"] for x in ("width", "low", "high", "ones")})
+        self.pointers = {k: level(f"pointers{k}") for k in range(3, ORDER + 1)}
+        self.symbols = {k: level(f"symbols{k}") for k in range(3, ORDER + 1)}
 
     def child(self, k: int, parent: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """Node of order k under each parent (of order k - 1) with this symbol, -1 for none."""
-        pointers, level = self.pointers[k - 2], self.symbols[k - 2]
+        pointers, level = self.pointers[k], self.symbols[k]
         out = np.full(len(parent), -1, np.int64)
         begin, end = pointers[parent], pointers[parent + 1]
         some = np.flatnonzero(end > begin)
@@ -186,32 +245,65 @@ class Trie:
         out[some[hit]] = low[hit]
         return out
 
-    def costs(self, data: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """-log2 of each symbol's probability after the earlier ones of its string, which ``place`` counts."""
-        symbol = data.astype(np.int64)
-        cost = self.cost[0][symbol].astype(np.float64)
-        node = symbol.copy()
-        for k in range(2, self.order + 1):
-            context = np.full(len(node), -1, np.int64)
-            context[1:] = node[:-1]
-            context[place < k - 1] = -1
-            node = np.full(len(symbol), -1, np.int64)
-            on = np.flatnonzero(context >= 0)
+    def find(self, k: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cost, found) of ascending n-grams of order k; of one not found, the cost is what its context leaves."""
+        node = (grams >> np.uint64(8 * (k - 2))).astype(np.int64)
+        for j in range(3, k + 1):
+            prefix = grams >> np.uint64(8 * (k - j))
+            new = np.append(True, prefix[1:] != prefix[:-1])
+            first, which = np.flatnonzero(new), np.cumsum(new) - 1
+            parent = node[first]
+            child = np.full(len(first), -1, np.int64)
+            on = np.flatnonzero(parent >= 0)
+            child[on] = self.child(j, parent[on], (prefix[first[on]] & np.uint64(255)).astype(np.int64))
+            parents, node = node, child[which]
+        cost = np.zeros(len(grams), np.int64)
+        found = node >= 0
+        cost[found] = self.cost[k][node[found]]
+        left = np.flatnonzero(~found & (parents >= 0))
+        cost[left] = self.rest[k - 1][parents[left]]
+        return cost, found
+
+
+class Trie:
+    """The head and the parts (by number; parts without n-grams have no file)."""
+
+    def __init__(self, head: str, parts: dict[int, str], of: int) -> None:
+        arrays = _mapped(head)
+        self.cost1, self.cost2 = arrays["cost1"], arrays["cost2"]
+        self.parts, self.of = {i: Part(path, arrays["rest2"]) for i, path in parts.items()}, of
+
+    def find(self, k: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As of a part, each n-gram in its own."""
+        cost, found = np.zeros(len(grams), np.int64), np.zeros(len(grams), bool)
+        part = part_of((grams >> np.uint64(8 * (k - 3))).astype(np.int64), self.of)
+        order = np.argsort(part, kind="stable")
+        begins = np.searchsorted(part[order], np.arange(self.of + 1))
+        for i, known in self.parts.items():
+            on = order[begins[i] : begins[i + 1]]
             if len(on):
-                pair, back = np.unique(context[on] * 256 + symbol[on], return_inverse=True)
-                node[on] = self.child(k, pair // 256, pair % 256)[back]
-                found = on[node[on] >= 0]
-                cost[found] = self.cost[k - 1][node[found]]
-                lost = on[node[on] < 0]
-                cost[lost] += self.rest[k - 2][context[lost]]
-        return cost / STEPS
+                cost[on], found[on] = known.find(k, grams[on])
+        return cost, found
 
     def gram_costs(self, keys: np.ndarray) -> np.ndarray:
-        """The cost of the last symbol of each n-gram, given as ``_keys`` makes them."""
-        j = np.arange(ORDER)
-        symbols = ((keys[:, None] >> (8 * (ORDER - 1 - j)).astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
-        place = j - (ORDER - (keys >> np.uint64(56)).astype(np.int64))[:, None]
-        return self.costs(symbols.ravel(), place.ravel())[ORDER - 1 :: ORDER]
+        """-log2 of the probability of the last symbol of each n-gram after the others; n-grams as ``_keys`` makes them.
+
+        The longest ending that the trie holds has the cost stored; each longer context that it holds adds what it leaves.
+        """
+        length = (keys >> np.uint64(56)).astype(np.int64)
+        out = np.zeros(len(keys), np.int64)
+        open_ = np.arange(len(keys))
+        for k in range(ORDER, 2, -1):
+            long = length[open_] >= k
+            on = open_[long]
+            if len(on):
+                grams, back = np.unique(keys[on] & _mask(k), return_inverse=True)
+                cost, found = self.find(k, grams)
+                out[on] += cost[back]
+                open_ = np.concatenate((open_[~long], on[~found[back]]))
+        pair = (keys[open_] & np.uint64(0xFFFF)).astype(np.int64)
+        out[open_] += np.where(length[open_] > 1, self.cost2[pair].astype(np.int64), self.cost1[pair & 255].astype(np.int64))
+        return out / STEPS
 
 
 # --- counting and scoring -------------------------------------------------------------------------------------------
@@ -307,44 +399,108 @@ def count(docs: DataFrame, frequent: np.ndarray, text_col: str) -> DataFrame:
     return map_arrow(docs.select(text_col), run, "kind int, key long, n long", text_col, SLICE).groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-def learn(counts: DataFrame, scratch: Scratch, share: float = SHARE) -> bytes:
-    """The trie file from counted n-grams. What reaches the driver are the n-grams that stay: at most 1 / ``share`` of each order."""
+@dataclass(frozen=True)
+class Model:
+    """Names of the model's files in the scratch folder, and as every executor gets them once shared."""
+
+    head: str
+    parts: dict[int, str]
+    of: int
+
+
+def _whole_groups(batches: Iterable[pa.RecordBatch], group: str, names: list[str], apart: bool) -> Iterator[list[np.ndarray]]:
+    """Columns of whole groups out of rows sorted by group, one at a time if ``apart``. One group and one batch are held."""
+    held: list[pa.RecordBatch] = []
+
+    def taken() -> list[np.ndarray]:
+        whole = pa.Table.from_batches(held)
+        held.clear()
+        return [np.asarray(whole.column(c)) for c in names]
+
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        of = np.asarray(batch.column(group))
+        cuts = (np.flatnonzero(np.diff(of)) + 1).tolist()
+        if held and last != of[0]:
+            cuts.insert(0, 0)
+        begin = 0
+        for end in cuts if apart else cuts[-1:]:
+            held.append(batch.slice(begin, end - begin))
+            yield taken()
+            begin = end
+        held.append(batch.slice(begin))
+        last = of[-1]
+    if held:
+        yield taken()
+
+
+def learn(counts: DataFrame, scratch: Scratch, least: int = LEAST) -> Model:
+    """The model from counted n-grams: all that were met ``least`` times, whatever their number.
+
+    Tasks smooth and lay out the n-grams of three symbols and more; the driver sees those of one and two (at most 65,792), what
+    the 65,536 pairs leave, and a name for each part of about ``PART_ROWS`` n-grams.
+    """
     grams = counts.where(F.col("kind").between(1, ORDER))
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    least = max(2, math.ceil(share * total))
     cut = lambda k: F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))
     shorter = F.explode(F.array_compact(F.array(*[F.when(F.col("kind") >= k, F.struct(F.lit(k).alias("k"), cut(k).alias("gram"))) for k in range(1, ORDER + 1)])))
     every = grams.select("n", shorter.alias("g")).groupBy("g.k", "g.gram").agg(F.sum("n").alias("n"))
     every = scratch.keep(every.withColumn("context", F.shiftright("gram", 8)), "grams")
-    contexts = every.groupBy("k", "context").agg(F.sum("n").alias("whole"), F.count("*").alias("kinds"))
-    kept = every.where(F.col("n") >= least).join(contexts, ["k", "context"]).select("k", "gram", "n", "whole", "kinds").toArrow()
-    k, gram, n, whole, kinds = (np.asarray(kept.column(c)) for c in ("k", "gram", "n", "whole", "kinds"))
-    levels = []
-    for order in range(1, ORDER + 1):
-        mine = np.flatnonzero(k == order)
-        mine = mine[np.argsort(gram[mine].view(np.uint64))]
-        levels.append((gram[mine].view(np.uint64), n[mine].astype(np.float64), whole[mine].astype(np.float64), kinds[mine].astype(np.float64)))
-    return build(levels)
-
-
-def share_file(data: bytes, scratch: Scratch) -> str:
-    """The name under which every executor gets the file; it lies in the shared folder and each maps its own copy."""
-    name = f"trie-{uuid.uuid4().hex}.bin"
-    with written(f"{scratch.root}/{name}") as out:
-        out.write(data)
-    scratch.spark.sparkContext.addFile(f"{scratch.root}/{name}")
-    return name
+    stays = F.col("n") >= least
+    contexts = every.groupBy("k", "context").agg(F.sum("n").alias("whole"), F.count("*").alias("kinds"), F.sum(F.when(stays, F.col("n")).otherwise(0)).alias("kept"))
+    whole = F.col("whole") + F.col("kinds")
+    kept = every.where(stays).join(contexts.where(F.col("kept") > 0), ["k", "context"])
+    kept = scratch.keep(kept.select("k", "gram", (F.col("n") / whole).alias("own"), ((whole - F.col("kept")) / whole).alias("rest")), "kept")
+
+    few = kept.where(F.col("k") <= 2).toArrow()
+    low = low_orders(*(np.asarray(few.column(c)) for c in ("k", "gram", "own", "rest")))
+    pairs = kept.where(F.col("k") == 3).groupBy(F.shiftright("gram", 8).alias("pair")).agg(F.max("rest").alias("rest")).toArrow()
+    name = f"trie-{uuid.uuid4().hex}"
+    head = f"{name}.bin"
+    with written(f"{scratch.root}/{head}") as out:
+        out.write(build_head(low, np.asarray(pairs.column("pair")), np.asarray(pairs.column("rest"))))
+    sent = scratch.spark.sparkContext.broadcast(low)
+
+    def smooth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, gram, own, rest in _whole_groups(batches, "ending", ["k", "gram", "own", "rest"], apart=False):
+            cost = _stored(smoothed(k, gram, own, rest, sent.value)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(gram), pa.array(cost), pa.array(_stored(rest).astype(np.int32))], names=["k", "gram", "cost", "rest"])
+
+    # an n-gram's endings of three symbols and more share the two symbols before its last
+    long = kept.where(F.col("k") >= 3).withColumn("ending", F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)))
+    costs = long.repartition("ending").sortWithinPartitions("ending").mapInArrow(smooth, "k int, gram long, cost int, rest int")
+    costs = scratch.keep(costs, "costs")
+    of = max(1, math.ceil(costs.count() / PART_ROWS))
+    root = scratch.root
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, *rows in _whole_groups(batches, "part", ["part", "k", "gram", "cost", "rest"], apart=True):
+            with written(f"{root}/{name}-{part[0]}.bin") as out:
+                out.write(build_part(*rows))
+            yield pa.RecordBatch.from_arrays([pa.array(part[:1])], names=["part"])
+
+    lead = F.expr("shiftright(gram, 8 * (k - 3))")
+    dealt = costs.withColumn("part", part_of(lead, of)).repartition(of, "part").sortWithinPartitions("part", "k", "gram")
+    parts = {r["part"]: f"{name}-{r['part']}.bin" for r in dealt.mapInArrow(lay, "part long").collect()}
+    return Model(head, parts, of)
+
+
+def share(model: Model, scratch: Scratch) -> None:
+    """Let every executor get the files; they lie in the shared folder and each maps its own copies."""
+    for name in (model.head, *model.parts.values()):
+        scratch.spark.sparkContext.addFile(f"{scratch.root}/{name}")
 
 
 _tries: dict[str, Trie] = {}
 
 
-def trie(name: str) -> Trie:
+def trie(model: Model) -> Trie:
     """The mapped trie, once per worker."""
-    if name not in _tries:
+    if model.head not in _tries:
         _tries.clear()
-        _tries[name] = Trie(SparkFiles.get(name))
-    return _tries[name]
+        _tries[model.head] = Trie(SparkFiles.get(model.head), {i: SparkFiles.get(name) for i, name in model.parts.items()}, model.of)
+    return _tries[model.head]
 
 
 def _keys(data: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -355,22 +511,22 @@ def _keys(data: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
 _remembered: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _gram_costs(name: str, keys: np.ndarray) -> np.ndarray:
+def _gram_costs(model: Model, keys: np.ndarray) -> np.ndarray:
     """Costs of distinct n-grams, ascending; the trie is asked for those this worker has not met lately."""
-    known, cost = _remembered.get(name, (np.zeros(0, np.uint64), np.zeros(0)))
+    known, cost = _remembered.get(model.head, (np.zeros(0, np.uint64), np.zeros(0)))
     at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
     hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
     out = np.zeros(len(keys))
     out[hit] = cost[at[hit]]
     new = keys[~hit]
     if len(new):
-        out[~hit] = trie(name).gram_costs(new)
+        out[~hit] = trie(model).gram_costs(new)
         if len(known) + len(new) > REMEMBERED:
             known, cost = known[:0], cost[:0]
         both = np.concatenate((known, new))
         order = np.argsort(both)
         _remembered.clear()
-        _remembered[name] = both[order], np.concatenate((cost, out[~hit]))[order]
+        _remembered[model.head] = both[order], np.concatenate((cost, out[~hit]))[order]
     return out
 
 
@@ -387,7 +543,7 @@ def frequent_words(docs: DataFrame, text_col: str, id_col: str, rows: int = SAMP
     return np.sort(np.asarray(counted.column("word")))
 
 
-def scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
+def scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """``(<id_col>, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row, learnt from the rows not held out.
 
     Tokens are the words of the text (A-Z folded) and one end. ``base_score`` is the sum of log10((c + 1) / (N + V + 1));
@@ -401,7 +557,8 @@ def scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     training = rows.where(~F.col("out"))
     frequent = frequent_words(training, "words", "id")
     counts = scratch.keep(count(training, frequent, "words"), "counts")
-    file = share_file(learn(counts, scratch, share), scratch)
+    model = learn(counts, scratch, least)
+    share(model, scratch)
     small = counts.where(F.col("kind").isin(_TOKEN, _TOTAL, _TOTAL + 1)).toArrow()
     kind, key, n = (np.asarray(small.column(c)) for c in ("kind", "key", "n"))
     total = int(n[kind == _TOTAL].sum())
@@ -444,7 +601,7 @@ def scores(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
         own = np.zeros(len(data))
         on = _own(begins)
         grams, back = np.unique(_keys(data, place, on), return_inverse=True)
-        own[on] = _gram_costs(file, grams)[back]
+        own[on] = _gram_costs(model, grams)[back]
         spelled = np.add.reduceat(own, begins[:-1])[of] * -math.log10(2)
         texts_at = b.words.starts[:-1] + np.arange(batch.num_rows)
         codes, starts = b.words.codes, b.words.starts

@@ -19,16 +19,15 @@ def out(i, folds=7):
 
 
 class PlainModel:
-    """Interpolated Witten-Bell over bytes within words, by dictionaries, with the same n-grams left out."""
+    """Interpolated Witten-Bell over bytes within words, by dictionaries, without n-grams met less than ``least`` times."""
 
-    def __init__(self, texts, share):
+    def __init__(self, texts, least):
         self.known = {}
         self.grams = [Counter() for _ in range(lm.ORDER + 1)]
         for text in texts:
             for strings, _ in self.steps(text):
                 for k in range(1, len(strings) + 1):
                     self.grams[k][strings[-k:]] += 1
-        least = max(2, math.ceil(share * sum(self.grams[1].values())))
         self.kept = [{g: n for g, n in level.items() if n >= least} for level in self.grams]
         self.context = [{} for _ in self.grams]
         for k, level in enumerate(self.grams):
@@ -67,10 +66,10 @@ class PlainModel:
         return sum(math.log10(self.p(s)) for s, _ in self.steps(text))
 
 
-def plain_scores(rows, share):
+def plain_scores(rows, least):
     train = Counter(t for i, text in rows if not out(i) for t in tokens(text))
     n, v = sum(train.values()), len(train)
-    model = PlainModel([tokens(text) for i, text in rows if not out(i)], share)
+    model = PlainModel([tokens(text) for i, text in rows if not out(i)], least)
     result = []
     for i, text in rows:
         mine = tokens(text)
@@ -79,40 +78,67 @@ def plain_scores(rows, share):
     return result
 
 
-@pytest.mark.parametrize("share", [5e-8, 1e-4])
-def test_against_dictionaries(spark, scratch, odd_documents, monkeypatch, share):
+@pytest.mark.parametrize(("least", "part_rows"), [(2, 2_000_000), (2, 2_000), (20, 5_000)])
+def test_against_dictionaries(spark, scratch, odd_documents, monkeypatch, least, part_rows):
+    monkeypatch.setattr(lm, "PART_ROWS", part_rows)
     monkeypatch.setattr(lm, "FREQUENT", 50)
     monkeypatch.setattr(lm.frequent_words, "__defaults__", (30, 50))
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     docs = docs.unionByName(odd_documents.select(F.col("doc_id") - 100, "text").toDF("doc_id", "text"))
-    got = sorted(map(tuple, lm.scores(docs.repartition(4), scratch, share=share).collect()), key=lambda r: (r[0] is None, r[0] or 0))
-    expected = sorted(plain_scores([tuple(r) for r in docs.collect()], share), key=lambda r: (r[0] is None, r[0] or 0))
+    got = sorted(map(tuple, lm.scores(docs.repartition(4), scratch, least=least).collect()), key=lambda r: (r[0] is None, r[0] or 0))
+    expected = sorted(plain_scores([tuple(r) for r in docs.collect()], least), key=lambda r: (r[0] is None, r[0] or 0))
     assert len(got) == len(expected)
     for g, e in zip(got, expected, strict=True):
         assert g[:5] == e[:5]
         assert math.isclose(g[5], e[5], rel_tol=1e-9)
-        # stored costs are rounded up by up to 1/2048 of a factor of two, for each of up to six steps
+        # stored costs are rounded up by up to 1/1024 of a factor of two, for each of up to six steps
         symbols = 40 * g[2]
-        assert e[6] - symbols * 6 / 2048 * math.log10(2) - 1e-6 <= g[6] <= e[6] + 1e-6 * abs(e[6])
+        assert e[6] - symbols * 6 / lm.STEPS * math.log10(2) - 1e-6 <= g[6] <= e[6] + 1e-6 * abs(e[6])
     held = [r for r in got if r[1] and r[0] is not None and r[0] >= 0]
     assert held and sum(r[6] for r in held) > 1.5 * sum(r[5] for r in held)
 
 
-def test_probabilities_sum_to_one_at_most(tmp_path):
-    model = PlainModel([["the", "then", "that", "a", None], ["an", "and", "é", "the", "the", None], ["the", "then", "a", None]] * 2, 0)
-    levels = []
+def plain_trie(model, folder, of):
+    """The trie's files from a plain model's counts."""
+    rows = []
     for k in range(1, lm.ORDER + 1):
-        rows = sorted((int.from_bytes(g, "big"), n, *model.context[k][g[:-1]][:2]) for g, n in model.kept[k].items())
-        levels.append(tuple(np.array([r[c] for r in rows], dtype=kind) for c, kind in enumerate((np.uint64, float, float, float))))
-    path = tmp_path / "trie.bin"
-    path.write_bytes(lm.build(levels))
-    found = lm.Trie(str(path))
-    for context in (b" ", b"e t", b" th", b" the", b" q", b" \xc3", b"thenthe", b" \n"):
-        total = 0.0
+        for g, n in model.kept[k].items():
+            whole, kinds, kept = model.context[k][g[:-1]]
+            rows.append((k, int.from_bytes(g, "big"), n / (whole + kinds), (whole - kept + kinds) / (whole + kinds)))
+    k, gram, own, rest = (np.array(c, dtype=t) for c, t in zip(zip(*sorted(rows), strict=True), (int, np.int64, float, float), strict=True))
+    low = lm.low_orders(k, gram, own, rest)
+    three, long = k == 3, k >= 3
+    (folder / "head").write_bytes(lm.build_head(low, gram[three] >> 8, rest[three]))
+    k, gram, own, rest = k[long], gram[long], own[long], rest[long]
+    cost, rest, part = lm._stored(lm.smoothed(k, gram, own, rest, low)), lm._stored(rest), lm.part_of(gram >> 8 * (k - 3), of)
+    files = {}
+    for i in sorted(set(part.tolist())):
+        files[i] = str(folder / f"part{i}")
+        (folder / f"part{i}").write_bytes(lm.build_part(k[part == i], gram[part == i], cost[part == i], rest[part == i]))
+    return lm.Trie(str(folder / "head"), files, of)
+
+
+@pytest.mark.parametrize("of", [1, 5])
+def test_probabilities_sum_to_one_at_most(tmp_path, of):
+    model = PlainModel([["the", "then", "that", "a", None], ["an", "and", "é", "the", "the", None], ["the", "then", "a", None]] * 2, 0)
+    found = plain_trie(model, tmp_path, of)
+    for context in (b"", b" ", b"e t", b" th", b" the", b" q", b" \xc3", b"hen the"[1:], b" \n"):
+        keys = [int.from_bytes(context + bytes([s]), "big") | len(context) + 1 << 56 for s in range(256)]
+        p = 2.0 ** -found.gram_costs(np.array(keys, np.uint64))
+        assert 0.99 < p.sum() <= 1.0000001
         for s in range(256):
-            data = np.frombuffer(context + bytes([s]), dtype=np.uint8)
-            total += 2.0 ** -found.costs(data, np.arange(len(data)))[-1]
-        assert 0.99 < total <= 1.0000001
+            # a cost is rounded up once where found and once for each longer context left
+            assert model.p(context + bytes([s])) * 2 ** (-6 / lm.STEPS) <= p[s] * 1.0000001 <= model.p(context + bytes([s])) * 1.000001
+
+
+def test_the_model_grows_with_the_corpus(spark, scratch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    sizes = []
+    for rows in (docs.limit(100), docs):
+        counts = scratch.keep(lm.count(rows, np.zeros(0, np.int64), "text"), "counts")
+        model = lm.learn(counts, scratch)
+        sizes.append(sum(len(open(f"{scratch.root}/{name}", "rb").read()) for name in model.parts.values()))
+    assert sizes[1] > 3 * sizes[0]
 
 
 def test_elias_fano():
