@@ -46,7 +46,7 @@ def held_out(id_col: str, folds: int = 7, fold: int = 2) -> Column:
 
 # --- Elias-Fano -----------------------------------------------------------------------------------------------------
 
-_ONES = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
+_EACH_BYTE = np.uint64(0x0101010101010101)
 _SELECT = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for k in range(8)] for b in range(256)], dtype=np.uint8)
 
 
@@ -78,18 +78,16 @@ class EliasFano:
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
         word = np.searchsorted(self.ones, at, side="right") - 1
-        left = at - self.ones[word].astype(np.int64)
+        left = at.astype(np.uint64) - self.ones[word]
         bits = self.high[word]
-        base = word.astype(np.int64) * 64
-        on = np.ones(len(at), bool)
-        found = np.zeros(len(at), np.int64)
-        for k in range(8):
-            byte = ((bits >> np.uint64(8 * k)) & np.uint64(255)).astype(np.int64)
-            ones = _ONES[byte]
-            here = on & (left < ones)
-            found[here] = base[here] + 8 * k + _SELECT[byte[here], left[here]]
-            on &= ~here
-            left = np.where(on, left - ones, left)
+        # ones up to the end of each byte of the word, side by side; then the bytes that end before the wanted one
+        ones = bits - ((bits >> np.uint64(1)) & np.uint64(0x5555555555555555))
+        ones = (ones & np.uint64(0x3333333333333333)) + ((ones >> np.uint64(2)) & np.uint64(0x3333333333333333))
+        ones = ((ones + (ones >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH_BYTE
+        earlier = ((left * _EACH_BYTE) | (_EACH_BYTE << np.uint64(7))) - ones
+        shift = np.bitwise_count(earlier & (_EACH_BYTE << np.uint64(7))).astype(np.uint64) << np.uint64(3)
+        left -= ((ones << np.uint64(8)) >> shift) & np.uint64(255)
+        found = word * 64 + shift.astype(np.int64) + _SELECT[((bits >> shift) & np.uint64(255)).astype(np.int64), left.astype(np.int64)]
         high = (found - at).astype(np.uint64) << np.uint64(self.width)
         if not self.width:
             return high.astype(np.int64)
