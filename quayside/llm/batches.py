@@ -28,12 +28,12 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str, text: str | None = None,
                 out = one(part)
                 if out is not None and out.num_rows:
                     yield out
-        _release()
+        release()
 
     return df.mapInArrow(run, schema)
 
 
-def _release() -> None:
+def release() -> None:
     """Give freed memory back to the system: workers outlive their tasks and sit beside others on an executor."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

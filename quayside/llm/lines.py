@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.batches import Words, column, hash64, map_arrow, mix, raw, shingle_hashes, slices, texts
+from quayside.llm.batches import Words, column, hash64, map_arrow, mix, raw, release, shingle_hashes, slices, texts
 from quayside.plans.session import BROADCAST_ROWS, Scratch, hinted
 
 WIDTH = 5
@@ -21,6 +22,12 @@ _CELL_SHIFT = np.uint64(64 - 18)
 _BLOCK = 1 << 14
 # Line sets a task remembers to have dealt out; it starts anew beyond, which costs repeated postings and changes no result.
 REMEMBERED = 500_000
+# Postings that a task sorts and deals at a time; about how many a group of tokens has, and how many groups there are at least.
+PACKED = 1 << 19
+GROUP = 1 << 18
+LEAST_GROUPS = 1024
+_HASH = np.uint64((1 << 56) - 1)
+_KEY_CELL = np.uint64(56 - 18)
 # Line numbers that may be broadcast in all.
 BROADCAST_LINES = 2_000_000
 
@@ -113,9 +120,13 @@ def _compatible(size: np.ndarray, place: np.ndarray, with_size: int, with_place:
     return (np.minimum(size, with_size) >= threshold * np.maximum(size, with_size) - 1e-9) & (reach >= need)
 
 
-def _later_matches(tokens: np.ndarray, starts: np.ndarray, place: np.ndarray, threshold: float) -> np.ndarray:
-    """Which sets of a run, in line order, are similar to an earlier one. Each set meets only those still without a match."""
-    size = np.diff(starts)
+def _later_matches(tokens: np.ndarray, starts: np.ndarray, size: np.ndarray, threshold: float) -> np.ndarray:
+    """Which sets of a run, in line order, are similar to an earlier one. Each set meets only those still without a match.
+
+    Of a set of ``size`` tokens those from the run's own token on are given.
+    """
+    given = np.diff(starts)
+    place = size - given
     _, ids = np.unique(tokens, return_inverse=True)
     flag = np.zeros(len(tokens) + 1, bool)
     matched = np.zeros(len(size), bool)
@@ -127,12 +138,12 @@ def _later_matches(tokens: np.ndarray, starts: np.ndarray, place: np.ndarray, th
             continue
         own = ids[starts[i] : starts[i + 1]]
         flag[own] = True
-        many = size[near]
+        many = given[near]
         bounds = np.concatenate(([0], np.cumsum(many)))
         at = np.repeat(starts[near] - bounds[:-1], many) + np.arange(bounds[-1])
         shared = np.add.reduceat(flag[ids[at]], bounds[:-1], dtype=np.int64)
         flag[own] = False
-        hit = near[shared >= threshold * (many + size[i] - shared) - 1e-9]
+        hit = near[shared >= threshold * (size[near] + size[i] - shared) - 1e-9]
         matched[hit] = True
         rest = rest[~matched[rest]]
     return matched
@@ -149,36 +160,80 @@ def _runs(held: list, batch: pa.RecordBatch) -> tuple[pa.Table | None, list]:
     return table.slice(0, cut), table.slice(cut).combine_chunks().to_batches()
 
 
-def shared_runs(postings: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(token, low)``: the postings of tokens that several classes share, one token for each set of classes."""
+def _packed(key: np.ndarray, low: np.ndarray) -> bytes:
+    """Postings as bytes: the 56 bits of the tokens byte by byte (of ascending ones the upper bytes compress well), then the classes."""
+    return key.view(np.uint8).reshape(-1, 8)[:, :7].T.tobytes() + low.tobytes()
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 15
+    key = np.zeros((n, 8), np.uint8)
+    key[:, :7] = np.frombuffer(data, np.uint8, 7 * n).reshape(7, n).T
+    return key.view("<u8").ravel(), np.frombuffer(data, "<u8", n, 7 * n)
+
+
+def shared_runs(lines: DataFrame, rarity: Broadcast, scratch: Scratch) -> DataFrame:
+    """``(token, low)``: of the postings ``(low, prefix)`` those of tokens that several classes share, one token for each set of classes.
+
+    Postings are dealt by ranges of the token's hash, many to a row.
+    """
+    many = lines.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    groups = max(LEAST_GROUPS, -(-many // GROUP))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            prefix = column(batch, "prefix")
+            low = np.repeat(np.asarray(column(batch, "low")).view(np.uint64), np.asarray(pc.list_value_length(prefix)))
+            held.append((np.asarray(prefix.flatten()).view(np.uint64) & _HASH, low))
+            if sum(len(k) for k, _ in held) >= PACKED:
+                yield by_group(held)
+                held = []
+        if held:
+            yield by_group(held)
+        release()
+
+    def by_group(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, low = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(key)
+        key, low = key[order], low[order]
+        group = ((key >> np.uint64(24)) * np.uint64(groups)) >> np.uint64(32)
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [len(key)])).tolist()
+        rows = [_packed(key[a:b], low[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([pa.array(group[cuts[:-1]].astype(np.int32)), pa.array(rows, pa.binary())], names=["group", "postings"])
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+        held: list[bytes] = []
+        last = None
         for batch in batches:
-            whole, held = _runs(held, batch)
-            if whole is not None:
-                yield from repeated(whole)
+            for group, data in zip(column(batch, "group").to_pylist(), column(batch, "postings").to_pylist(), strict=True):
+                if held and group != last:
+                    yield repeated(held)
+                    held = []
+                held.append(data)
+                last = group
         if held:
-            yield from repeated(pa.Table.from_batches(held))
-
-    def repeated(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        token, low = np.asarray(table.column("token")), np.asarray(table.column("low"))
-        new = np.ones(len(token), bool)  # the first of each class in a run
-        new[1:] = (token[1:] != token[:-1]) | (low[1:] != low[:-1])
-        token = token[new]
-        same = np.zeros(len(token), bool)
-        same[1:] = token[1:] == token[:-1]
-        same[:-1] |= same[1:]
-        left = table.take(pa.array(np.flatnonzero(new)[same])).combine_chunks()
-        if not left.num_rows:
-            return
+            yield repeated(held)
+        release()
+
+    def repeated(held: list[bytes]) -> pa.RecordBatch:
+        key, low = (np.concatenate(c) for c in zip(*map(_unpacked, held), strict=True))
+        order = np.argsort(key)
+        on = order[_met_again(key[order])]
+        on = on[np.lexsort((low[on], key[on]))]
+        key, low = key[on], low[on]
+        new = np.ones(len(key), bool)  # the first of each class in a run
+        new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1])
+        key, low = key[new], low[new]
+        on = _met_again(key)
+        key, low = key[on], low[on]
+        token = (rarity.value[(key >> _KEY_CELL).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | key
         # runs with the same classes have the same name
-        token, low = np.asarray(left.column("token")), np.asarray(left.column("low")).view(np.uint64)
-        first = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1))
-        name = np.repeat(mix(np.add.reduceat(mix(low), first)).view(np.int64), np.diff(np.append(first, len(token))))
-        yield from left.append_column("name", pa.array(name)).to_batches()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        name = np.repeat(mix(np.add.reduceat(mix(low), first)), np.diff(np.append(first, len(key)))) if len(key) else low
+        return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in (token, low, name)], names=["token", "low", "name"])
 
-    dealt = postings.select("token", "low").repartition("token").sortWithinPartitions("token", "low")
+    dealt = lines.where(F.size("prefix") > 0).select("low", "prefix").mapInArrow(pack, "group int, postings binary").repartition("group").sortWithinPartitions("group")
     runs = scratch.keep(dealt.mapInArrow(shared, "token long, low long, name long"), "runs")
     # copies share many tokens: of runs with the same classes the one of the first token in order is enough, as it is the
     # first that any two of them share
@@ -186,6 +241,14 @@ def shared_runs(postings: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(runs.join(once, "name").where(_unsigned(F.col("token")) == F.col("least")).select("token", "low"), "first-runs")
 
 
+def _met_again(key: np.ndarray) -> np.ndarray:
+    """Which of ascending keys stand there more than once."""
+    out = np.zeros(len(key), bool)
+    out[1:] = key[1:] == key[:-1]
+    out[:-1] |= out[1:].copy()
+    return out
+
+
 def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """``(id, h, line)``: the lines, numbered from 0, that have an earlier line with the same or a similar token set.
 
@@ -197,7 +260,8 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     2. lines with equal sets are one class, pre-aggregated, so a line that stands everywhere is one row;
     3. two similar sets share one of their first ``n - ceil(threshold * n) + 1`` tokens: classes, here named by half their
        128 bits, are dealt by these, and only tokens that several classes share go on, one for each set of classes;
-    4. in a run of classes with such a token, length and positional filters and the exact Jaccard similarity decide.
+    4. in a run of classes with such a token, length and positional filters and the exact Jaccard similarity decide; all that
+       two sets share stands from the first token they share on, so a run gets a set's tokens from its own on.
     """
     keyed = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("words"))
     sent = docs.sparkSession.sparkContext.broadcast(token_frequencies(keyed, "words", width))
@@ -231,26 +295,44 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     lines = scratch.keep(map_arrow(keyed, per_task, "id long, h long, line int, low long, high long, prefix array<long>", "words", per_task=True), "lines")
     place = F.struct("id", "h", "line")
     classes = scratch.keep(lines.groupBy("low", "high").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "classes")
-    postings = lines.select("low", F.explode("prefix").alias("token"))
-    runs = shared_runs(postings, scratch)
-    wanted = runs.select("low").distinct().join(classes, "low").select("first")
-    wanted = scratch.keep(wanted.groupBy("first.id", "first.h").agg(F.collect_list("first.line").alias("numbers")), "wanted")
-    texts_again = keyed.join(few(wanted, "numbers"), ["id", "h"]).dropDuplicates(["id", "h"])
-
-    def sets_again(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    runs = shared_runs(lines, sent, scratch)
+    wanted = runs.join(classes, "low").groupBy("first.id", "first.h").agg(F.collect_list(F.struct("first.line", "token")).alias("runs"))
+    wanted = scratch.keep(wanted.select("id", "h", F.col("runs.line").alias("numbers"), F.col("runs.token").alias("run")), "wanted")
+    texts_again = keyed.join(few(wanted, "numbers"), ["id", "h"])
+
+    def sets_again(batch: pa.RecordBatch, seen: list[np.ndarray]) -> pa.RecordBatch | None:
+        # rows with the same id and text once per task; the others of a run are left out where it is checked
+        name, new = np.unique(mix(np.asarray(column(batch, "id")).view(np.uint64)) ^ np.asarray(column(batch, "h")).view(np.uint64), return_index=True)
+        fresh = ~np.isin(name, seen[0], assume_unique=True)
+        seen[0] = np.union1d(seen[0], name[fresh]) if len(seen[0]) + len(name) <= REMEMBERED else name
+        if not fresh.any():
+            return None
+        batch = batch.take(pa.array(np.sort(new[fresh])))
         lines, counts = split_lines(texts(batch, "words"))
         begin = np.cumsum(counts) - counts
-        numbers = pa.concat_arrays([column(batch, "numbers")])
+        numbers, of_run = column(batch, "numbers"), column(batch, "run")
         many = np.asarray(pc.list_value_length(numbers), dtype=np.int64)
         doc = np.repeat(np.arange(len(counts)), many)
-        number = np.asarray(numbers.flatten(), dtype=np.int64)
-        sets = LineSets(pa.concat_arrays([lines.take(pa.array(begin[doc] + number))]), sent.value, width)
-        tokens = pa.ListArray.from_arrays(pa.array(sets.starts.astype(np.int32)), pa.array(sets.tokens.view(np.int64)))
-        arrays = [column(batch, "id").take(pa.array(doc)), column(batch, "h").take(pa.array(doc)), pa.array(number.astype(np.int32)), pa.array(sets.low.view(np.int64)), pa.array(sets.high.view(np.int64)), tokens]
-        return pa.RecordBatch.from_arrays(arrays, names=["id", "h", "line", "low", "high", "tokens"])
+        line, which = np.unique(begin[doc] + np.asarray(numbers.flatten(), dtype=np.int64), return_inverse=True)
+        sets = LineSets(pa.concat_arrays([lines.take(pa.array(line))]), sent.value, width)
+        # a line's tokens from that of the run on, which it has once, for each of its runs
+        run = np.asarray(of_run.flatten()).view(np.uint64)
+        size, start = sets.sizes[which], sets.starts[:-1][which]
+        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        on = sets.tokens[at] >= np.repeat(run, size)
+        given = np.add.reduceat(on, np.cumsum(size) - size, dtype=np.int64) if len(size) else size
+        tokens = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(given))).astype(np.int32)), pa.array(sets.tokens[at[on]].view(np.int64)))
+        arrays = [
+            pa.array(run.view(np.int64)), column(batch, "id").take(pa.array(doc)), column(batch, "h").take(pa.array(doc)), pa.array((line[which] - begin[doc]).astype(np.int32)),
+            pa.array(sets.low[which].view(np.int64)), pa.array(sets.high[which].view(np.int64)), pa.array(size.astype(np.int32)), tokens,
+        ]
+        return pa.RecordBatch.from_arrays(arrays, names=["token", "id", "h", "line", "low", "high", "size", "tokens"])
+
+    def again_per_task() -> Callable[[pa.RecordBatch], pa.RecordBatch | None]:
+        seen = [np.zeros(0, np.uint64)]
+        return lambda batch: sets_again(batch, seen)
 
-    sets = map_arrow(texts_again, sets_again, "id long, h long, line int, low long, high long, tokens array<long>", "words")
-    meeting = runs.join(sets, "low").select("token", "id", "h", "line", "low", "high", "tokens")
+    meeting = map_arrow(texts_again, again_per_task, "token long, id long, h long, line int, low long, high long, size int, tokens array<long>", "words", per_task=True)
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -262,17 +344,18 @@ def removed_lines(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
             yield from later(pa.Table.from_batches(held))
 
     def later(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = table.combine_chunks()
-        token = np.asarray(table.column("token"))
+        place = [np.asarray(table.column(c)) for c in ("token", "id", "h", "line")]
+        new = np.ones(table.num_rows, bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in place], axis=0)
+        table = (table if new.all() else table.filter(pa.array(new))).combine_chunks()
+        token, size = np.asarray(table.column("token")), np.asarray(table.column("size"), dtype=np.int64)
         cut = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
         lists = pa.concat_arrays(table.column("tokens").chunks)
         starts = np.asarray(lists.offsets, dtype=np.int64)
         tokens = np.asarray(lists.values)
-        # a set has its token once, and where it stands is its place in the order
-        places = np.flatnonzero(tokens[starts[0] : starts[-1]] == np.repeat(token, np.diff(starts))) - (starts[:-1] - starts[0])
         out = np.zeros(len(token), bool)
         for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
-            out[a:b] = _later_matches(tokens[starts[a] : starts[b]], starts[a : b + 1] - starts[a], places[a:b], threshold)
+            out[a:b] = _later_matches(tokens[starts[a] : starts[b]], starts[a : b + 1] - starts[a], size[a:b], threshold)
         yield from table.select(["low", "high"]).filter(pa.array(out)).to_batches()
 
     dealt = meeting.repartition("token").sortWithinPartitions("token", "id", "h", "line")

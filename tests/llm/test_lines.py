@@ -1,9 +1,12 @@
 import math
 import random
+import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from quayside.llm import lines
+from quayside.plans.session import Scratch
 
 
 def plain_removed(docs, width=5, threshold=0.8):
@@ -63,3 +66,34 @@ def test_odd_rows(spark, scratch, odd_documents):
 
 def test_empty_table(spark, scratch, odd_documents):
     assert lines.without_repeats(odd_documents.where(F.lit(False)), scratch).count() == 0
+
+
+def test_postings_travel_sorted_and_packed():
+    rng = np.random.default_rng(0)
+    key, low = np.sort(rng.integers(0, 1 << 56, 1000, dtype=np.uint64)), rng.integers(0, 1 << 64, 1000, dtype=np.uint64)
+    data = lines._packed(key, low)
+    assert len(data) == 15 * len(key)
+    assert all((a == b).all() for a, b in zip(lines._unpacked(data), (key, low), strict=True))
+
+
+def test_texts_are_not_dealt_again_for_a_few_lines(spark, monkeypatch):
+    rng = random.Random(5)
+    docs = []
+    for i in range(60):
+        w = [f"w{k}" for k in range(60)]
+        w[rng.randrange(60)] = f"x{rng.randrange(9)}"
+        docs.append((i, " ".join(w[: rng.randrange(40, 60)]) + "\nnone like this " + str(i)))
+    docs += docs[:30] * 3  # rows with the same id and text are one document
+    plans = {}
+
+    class Seen(Scratch):
+        def keep(self, df, label):
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+            return super().keep(df, label)
+
+    scratch = Seen(spark)
+    monkeypatch.setattr(lines, "LEAST_GROUPS", 7, raising=False)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    assert removed(df, scratch) == plain_removed(set(docs))
+    assert not re.findall(r"hashpartitioning\(id", plans["matched"])
+    scratch.clear()
