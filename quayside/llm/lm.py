@@ -15,7 +15,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.batches import Words, column, doc_ids_type, hash64, map_arrow, raw, slices, texts
+from quayside.llm.batches import Words, column, doc_ids_type, hash64, map_arrow, mix, raw, release, slices, texts
 from quayside.llm.files import written
 from quayside.plans.session import Scratch
 
@@ -35,8 +35,12 @@ FREQUENT = 100_000
 SAMPLE_DOCS = 4000
 _TOKEN, _TOTAL = 0, 100
 SLICE = 1_500_000
-# N-grams whose costs a worker remembers.
-REMEMBERED = 1_500_000
+# N-grams that a task counts together before it hands them on.
+HELD = 2_000_000
+# Rows of them in one Arrow batch.
+SENT = 100_000
+# Places, two to this power, in which a worker remembers costs of n-grams.
+REMEMBERED = 21
 
 
 def held_out(id_col: str, folds: int = 7, fold: int = 2) -> Column:
@@ -366,35 +370,68 @@ def _own(begins: np.ndarray) -> np.ndarray:
     return np.flatnonzero(out)
 
 
-def _grams(data: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The n-gram of the highest order that ends at each place, as an integer; shorter ones near a text's start have zeros before."""
-    out = data.astype(np.uint64)
-    for j in range(1, ORDER):
-        on = np.flatnonzero(place >= j)
-        out[on] |= data[on - j].astype(np.uint64) << np.uint64(8 * j)
-    return out
+_ENDINGS = np.array([(1 << (8 * k)) - 1 for k in range(ORDER + 1)], np.uint64)
+
+
+def _keys(data: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The n-grams of the highest order that end at these places, as integers with their length in the top byte."""
+    grams = data.astype(np.uint64)
+    for j in (1, 2, 4):  # of two symbols, of four, of eight
+        grams[j:] |= grams[:-j] << np.uint64(8 * j)
+    length = np.minimum(place[at] + 1, ORDER)
+    return (grams[at] & _ENDINGS[length]) | (length.astype(np.uint64) << np.uint64(8 * ORDER))
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sum of what stands by each."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.add.reduceat(n[order], first) if len(keys) else n
+
+
+def _counted(batches: Iterable[pa.RecordBatch], text_col: str, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``(kind, key, n)`` of a task's texts, counted together until about ``HELD`` different n-grams have come."""
+    often, total = np.zeros(len(frequent), np.int64), np.zeros(2, np.int64)
+    keys, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        for part in slices(batch, text_col, SLICE):
+            b = _Batch(texts(part, text_col))
+            total += len(b.words.codes) + part.num_rows, part.num_rows
+            if len(frequent) and len(b.hashes):
+                at = np.minimum(np.searchsorted(frequent, b.hashes), len(frequent) - 1)
+                hit = frequent[at] == b.hashes
+                often[at[hit]] += np.bincount(b.words.codes, minlength=len(b.hashes))[hit]
+            data, place, begins, of = b.units()
+            on = _own(begins)
+            waiting.append(_summed(_keys(data, place, on), np.repeat(np.bincount(of, minlength=len(begins) - 1), np.diff(begins))[on]))
+            if sum(len(k) for k, _ in waiting) >= HELD:
+                keys, n = _summed(*(np.concatenate(c) for c in zip((keys, n), *waiting, strict=True)))
+                waiting = []
+                if len(keys) >= HELD:
+                    yield from _rows(keys, n)
+                    keys, n = keys[:0], n[:0]
+    if total.any():
+        yield from _rows(*_summed(*(np.concatenate(c) for c in zip((keys, n), *waiting, strict=True))))
+        some = np.flatnonzero(often)
+        kind = np.append(np.full(len(some), _TOKEN, np.int32), np.array([_TOTAL, _TOTAL + 1], np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.append(frequent[some], [0, 0])), pa.array(np.append(often[some], total))], names=["kind", "key", "n"])
+    release()
+
+
+def _rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    kind, key = (keys >> np.uint64(8 * ORDER)).astype(np.int32), (keys & _mask(ORDER)).view(np.int64)
+    whole = pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(n)], names=["kind", "key", "n"])
+    for begin in range(0, len(keys), SENT):
+        yield whole.slice(begin, SENT)
 
 
 def count(docs: DataFrame, frequent: np.ndarray, text_col: str) -> DataFrame:
     """``(kind, key, n)`` over all rows: n-grams (kind: their length), frequent words (0, their hash), tokens and rows (100)."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        b = _Batch(texts(batch, text_col))
-        often = np.bincount(b.words.codes, minlength=len(b.hashes))
-        data, place, begins, of = b.units()
-        on = _own(begins)
-        grams, back = np.unique(_grams(data, place)[on], return_inverse=True)
-        n = np.bincount(back, weights=np.repeat(np.bincount(of, minlength=len(begins) - 1), np.diff(begins))[on])
-        length = np.zeros(len(grams), np.int64)
-        np.maximum.at(length, back, np.minimum(place[on] + 1, ORDER))
-        known = np.isin(b.hashes, sent.value)
-        kind = np.concatenate((length, np.full(int(known.sum()), _TOKEN), [_TOTAL, _TOTAL + 1]))
-        key = np.concatenate((grams.view(np.int64), b.hashes[known], [0, 0]))
-        value = np.concatenate((n.astype(np.int64), often[known], [len(b.words.codes) + batch.num_rows, batch.num_rows]))
-        return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(key), pa.array(value)], names=["kind", "key", "n"])
-
-    return map_arrow(docs.select(text_col), run, "kind int, key long, n long", text_col, SLICE).groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counted = docs.select(text_col).mapInArrow(lambda batches: _counted(batches, text_col, sent.value), "kind int, key long, n long")
+    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -501,30 +538,23 @@ def trie(model: Model) -> Trie:
     return _tries[model.head]
 
 
-def _keys(data: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The n-grams of the highest order that end at these places, with their length in the top byte."""
-    return _grams(data, place)[at] | (np.minimum(place[at] + 1, ORDER).astype(np.uint64) << np.uint64(56))
-
-
 _remembered: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _gram_costs(model: Model, keys: np.ndarray) -> np.ndarray:
-    """Costs of distinct n-grams, ascending; the trie is asked for those this worker has not met lately."""
-    known, cost = _remembered.get(model.head, (np.zeros(0, np.uint64), np.zeros(0)))
-    at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
-    hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
-    out = np.zeros(len(keys))
-    out[hit] = cost[at[hit]]
-    new = keys[~hit]
-    if len(new):
-        out[~hit] = trie(model).gram_costs(new)
-        if len(known) + len(new) > REMEMBERED:
-            known, cost = known[:0], cost[:0]
-        both = np.concatenate((known, new))
-        order = np.argsort(both)
+    """Costs of distinct n-grams; the trie is asked for those this worker has not met lately. Each has one place, which the last to come keeps."""
+    if model.head not in _remembered:
         _remembered.clear()
-        _remembered[model.head] = both[order], np.concatenate((cost, out[~hit]))[order]
+        _remembered[model.head] = np.zeros(1 << REMEMBERED, np.uint64), np.zeros(1 << REMEMBERED)
+    known, cost = _remembered[model.head]
+    at = (mix(keys) >> np.uint64(64 - REMEMBERED)).astype(np.int64)
+    out = cost[at]
+    new = np.flatnonzero(known[at] != keys)
+    if len(new):
+        out[new] = trie(model).gram_costs(keys[new])
+        # of several n-grams with one place the same one must leave its key and its cost
+        place, last = np.unique(at[new], return_index=True)
+        known[place], cost[place] = keys[new[last]], out[new[last]]
     return out
 
 

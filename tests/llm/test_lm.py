@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,41 @@ def test_empty_tables(spark, scratch, odd_documents):
     assert lm.scores(odd_documents.where(F.lit(False)), scratch).count() == 0
     (row,) = lm.scores(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), scratch).collect()
     assert row["n_tokens"] == 3 and row["train_tokens"] in (0, 3)
+
+
+def test_a_task_hands_its_ngrams_on_once(monkeypatch):
+    texts = ["the then that thing", "an and \x00 \u00e9 the", None, "", "zz top"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    frequent = np.sort(lm._Batch(pa.array(["the", "zz", "never"], pa.large_string())).hashes)
+    expected = Counter()
+    for text in texts:
+        for strings, _ in PlainModel.steps(tokens(text)):
+            expected[len(strings), int.from_bytes(strings, "big")] += 10
+
+    def rows(held):
+        monkeypatch.setattr(lm, "HELD", held)
+        return [tuple(r.values()) for b in lm._counted([batch] * 10, "text", frequent) for r in b.to_pylist()]
+
+    got = rows(2_000_000)
+    grams = {(kind, key): n for kind, key, n in got if 0 < kind <= lm.ORDER}
+    assert grams == expected and len(got) == len(expected) + 2 + 2
+    assert sorted(n for kind, _, n in got if kind == 0) == [10, 20] and [n for kind, _, n in got if kind >= 100] == [160, 50]
+    summed = Counter()
+    for kind, key, n in rows(50):
+        summed[kind, key] += n
+    assert summed == {(kind, key): n for kind, key, n in got}
+
+
+def test_costs_remembered_in_few_places(monkeypatch):
+    class Plain:
+        def gram_costs(self, keys):
+            return keys * 0.5
+
+    monkeypatch.setattr(lm, "REMEMBERED", 3)
+    monkeypatch.setattr(lm, "_remembered", {})
+    monkeypatch.setattr(lm, "trie", lambda model: Plain())
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        keys = np.unique(rng.integers(1, 40, 20).astype(np.uint64))
+        assert (lm._gram_costs(lm.Model("head", {}, 1), keys) == keys * 0.5).all()
+        assert all(len(a) == 8 for a in lm._remembered["head"])
